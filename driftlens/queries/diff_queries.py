@@ -75,8 +75,8 @@ def _(fx):
     return feed(fx).names.select("layout_from", "layout_to", F.col("name").alias("type_name"))
 
 
-# Member names stand for types here, because every layout of the fixture holds the same type names.
-DIF_NAMED = ("dif_named", "select layout, member as type_name, max(off+sz) as size from fx_members group by layout, member")
+# Qualified member names stand for types here, because every layout of the fixture holds the same type names.
+DIF_NAMED = ("dif_named", "select layout, type_name||'.'||member as type_name, max(off+sz) as size from fx_members group by 1, 2")
 
 
 @query("q_joi2_type_status", """
@@ -84,7 +84,7 @@ select p.lf as layout_from, p.lt as layout_to, n.type_name, case when max(case w
   max(case when n.layout = p.lf then n.size else -1 end) as size_from, max(case when n.layout = p.lt then n.size else -1 end) as size_to
 from dif_pairs p join dif_named n on n.layout = p.lf or n.layout = p.lt group by 1,2,3 having count(*) = 1""", *DIFF_VIEWS, DIF_NAMED)
 def _(fx):
-    named = fx.table("fx_members").withColumn("type_name", F.col("member"))
+    named = fx.table("fx_members").withColumn("type_name", F.concat_ws(".", "type_name", "member"))
     return Feed(fx.builds(), named).status.fillna(-1, ["size_from", "size_to"]).select(
         "layout_from", "layout_to", F.col("name").alias("type_name"), "status", "size_from", "size_to")
 

@@ -119,19 +119,19 @@ def _(fx):
     return q.check_constant_width(fx.sql(DQ_RAW[1])).drop("rule")
 
 
-# Offsets stretched so that some moves exceed the limit.
+# Offsets stretched, and sizes declared by member count, so that some moves exceed the limit.
 DQ_WIDE = ("dq_wide", "select layout, type_name, member, off * 100 as off, sz, bit_position, bit_count, mtype from fx_members")
 DQ_CONT = ("dq_cont", """
 select p.lf, p.lt, a.type_name, abs(tb.s - ta.s) as grew, count(*) as moved, max(abs(b.off-a.off)) as worst, arg_min(a.member, struct_pack(d := -abs(b.off-a.off), o := b.off, m := a.member)) as worst_member
 from dif_pairs p join dq_wide a on a.layout = p.lf join dq_wide b on b.layout = p.lt and b.type_name = a.type_name and b.member = a.member
- join (select layout, type_name, max(off+sz) as s from dq_wide group by 1,2) ta on ta.layout=p.lf and ta.type_name=a.type_name
- join (select layout, type_name, max(off+sz) as s from dq_wide group by 1,2) tb on tb.layout=p.lt and tb.type_name=a.type_name
+ join (select layout, type_name, count(*)*64 as s from dq_wide group by 1,2) ta on ta.layout=p.lf and ta.type_name=a.type_name
+ join (select layout, type_name, count(*)*64 as s from dq_wide group by 1,2) tb on tb.layout=p.lt and tb.type_name=a.type_name
 where abs(b.off-a.off) > abs(tb.s - ta.s) + 4096 group by 1,2,3,4""")
 
 
 def continuity(fx, pairs):
     wide = fx.sql(DQ_WIDE[1])
-    sizes = wide.groupBy("layout", "type_name").agg(F.max(F.col("off") + F.col("sz")).alias("type_size"))
+    sizes = wide.groupBy("layout", "type_name").agg((F.count("*") * 64).alias("type_size"))
     return q.continuity(pairs, wide, sizes)
 
 
@@ -170,10 +170,10 @@ def _(fx):
 select a.layout, a.type_name, a.member as earlier, b.member as later, a.off as a_off, a.off+a.sz as a_end, b.off as b_off
 from fx_members a join fx_members b on a.layout=b.layout and a.type_name=b.type_name and b.off >= a.off and b.off < a.off + a.sz
   and (a.off < b.off or (a.off = b.off and a.member < b.member))
-where a.bit_count = 0 and b.bit_count = 0 and a.sz > 0 and b.sz > 0 and (length(a.member) % 4 = 0 or length(a.member) % 4 <> length(b.member) % 4)""")
+where a.bit_count = 0 and b.bit_count = 0 and a.sz > 0 and b.sz > 0 and ((a.off // 8) % 3 = 0 or (a.off // 8) % 3 <> (b.off // 8) % 3)""")
 def _(fx):
-    # Lengths of names stand for union groups, with 0 as no group.
-    m = fx.table("fx_members").withColumn("union_group", F.length("member") % 4)
+    # Eight-byte slots stand for union groups, with 0 as no group.
+    m = fx.table("fx_members").withColumn("union_group", F.expr("(off div 8) % 3"))
     return q.overlaps(m, q.type_summary(m, fx.types()), need_groups=False)
 
 
