@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftlens.functions.text import hex_lower
+from driftlens.operators.diffing import STEP
 from driftlens.operators.ordering import with_next
 
 # Widths a bitfield or enum may be stored in, and how far a member may move beyond
@@ -144,29 +145,21 @@ def self_consistency(members: DataFrame, types: DataFrame, constants: DataFrame
     return found.select(*FINDING)
 
 
-def continuity(pairs: DataFrame, members: DataFrame, types: DataFrame) -> DataFrame:
+def continuity(resolved: DataFrame, member_changes: DataFrame) -> DataFrame:
     """Per layout pair and type: members that moved further than the size change explains.
 
-    Compare distinct pairs only, then join the findings back to the transitions that share them.
+    Works on the member rows the diff already holds, once per distinct body step, and fans out to pairs.
     """
-    keys = ["layout_from", "layout_to", "type_name"]
-
-    def side(rows: DataFrame, own: str, keep: dict[str, str]) -> DataFrame:
-        return pairs.join(rows.withColumnRenamed("layout", own), own).select(
-            "layout_from", "layout_to", "type_name", *[F.col(old).alias(new) for old, new in keep.items()])
-
-    sizes = side(types, "layout_from", {"type_size": "size_from"}).join(
-        side(types, "layout_to", {"type_size": "size_to"}), keys).withColumn("grew", F.abs(F.col("size_to") - F.col("size_from")))
-    before = side(members, "layout_from", {"member": "member", "off": "off_from"})
-    after = side(members, "layout_to", {"member": "member", "off": "off_to", "sz": "sz", "bit_position": "bit_position",
-                                        "bit_count": "bit_count", "mtype": "mtype"})
-    far = (before.join(after, [*keys, "member"]).join(sizes.select(*keys, "grew"), keys)
+    sizes = resolved.select(*STEP, F.abs(F.col("size_to") - F.col("size_from")).alias("grew")).distinct()
+    far = (member_changes.filter(F.col("in_left") & F.col("in_right") & (F.col("off_from") != F.col("off_to"))).join(sizes, STEP)
            .withColumn("distance", F.abs(F.col("off_to") - F.col("off_from")))
            .filter(F.col("distance") > F.col("grew") + CONTINUITY_LIMIT))
     # Of equally far members the first in member order is named.
-    rank = F.struct(-F.col("distance"), "off_to", "member", "sz", "bit_position", "bit_count", "mtype")
-    return far.groupBy(*keys, "grew").agg(
+    rank = F.struct(-F.col("distance"), "off_to", "member", "sz_to", "bit_position_to", "bit_count_to", "mtype_to")
+    found = far.groupBy(*STEP, "grew").agg(
         F.count("*").alias("moved"), F.min_by("member", rank).alias("worst_member"), F.max("distance").alias("worst"))
+    return resolved.select("layout_from", "layout_to", *STEP).join(found, STEP).select(
+        "layout_from", "layout_to", F.col("name").alias("type_name"), "grew", "moved", "worst_member", "worst")
 
 
 def continuity_message(findings: DataFrame) -> DataFrame:

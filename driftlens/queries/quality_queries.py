@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from driftlens.operators import quality as q
-from driftlens.operators import sequences as seq
+from driftlens.plans import validate
 from driftlens.queries.diff_queries import DIFF_VIEWS
 from driftlens.queries.registry import query
-from driftlens.runtime import durable
 
 # Declared sizes that provoke the rules: the last offset instead of the end, and zero for one layout in a thousand bytes.
 DQ_TYPES = ("dq_types", """
@@ -129,10 +128,10 @@ from dif_pairs p join dq_wide a on a.layout = p.lf join dq_wide b on b.layout =
 where abs(b.off-a.off) > abs(tb.s - ta.s) + 4096 group by 1,2,3,4""")
 
 
-def continuity(fx, pairs):
+def wide_feed(fx, loaded=None):
     wide = fx.sql(DQ_WIDE[1])
     sizes = wide.groupBy("layout", "type_name").agg((F.count("*") * 64).alias("type_size"))
-    return q.continuity(pairs, wide, sizes)
+    return validate.Continuity(fx.builds(), wide, sizes, loaded)
 
 
 @query("q_dq10_continuity", """
@@ -140,8 +139,7 @@ select lf as layout_from, lt as layout_to, type_name, moved, worst_member, worst
  type_name||': '||cast(moved as varchar)||' member(s) moved further than the 0x'||lower(to_hex(grew))||' byte size change explains, worst '||worst_member||' by 0x'||lower(to_hex(worst)) as message
 from dq_cont""", *DIFF_VIEWS, DQ_WIDE, DQ_CONT)
 def _(fx):
-    pairs = seq.layout_pairs(seq.changed(seq.transitions(seq.adjacency(fx.builds()))))
-    return q.continuity_message(continuity(fx, pairs)).drop("grew")
+    return q.continuity_message(wide_feed(fx).findings).drop("grew")
 
 
 @query("q_dq11_incremental_continuity", """
@@ -149,9 +147,7 @@ select r.label, r.machine, r.symbol_key as from_key, r.next_key as to_key, c.typ
 where right(r.symbol_key,1) = '1' or right(r.next_key,1) = '1'""", *DIFF_VIEWS, DQ_WIDE, DQ_CONT)
 def _(fx):
     loaded = fx.builds().filter(F.col("symbol_key").endswith("1"))
-    touched = durable(q.touched(seq.transitions(seq.adjacency(fx.builds())), loaded), "touched")
-    found = continuity(fx, seq.layout_pairs(seq.changed(touched)))
-    return touched.join(found, ["layout_from", "layout_to"]).select("label", "machine", "from_key", "to_key", "type_name", "moved", "worst")
+    return wide_feed(fx, loaded).per_transition().select("label", "machine", "from_key", "to_key", "type_name", "moved", "worst")
 
 
 @query("q_dq12_admission", """

@@ -31,6 +31,14 @@ def all_lines(fx):
     return type_lines(fx).unionByName(hashing.enum_lines(fx.table("fx_constants")))
 
 
+def second_sizes(fx):
+    return fx.table("fx_members_b").groupBy("layout", "type_name").agg(F.max(F.col("off") + F.col("sz")).alias("type_size"))
+
+
+def second_lines(fx):
+    return hashing.type_lines(fx.table("fx_members_b"), second_sizes(fx))
+
+
 def full_manifest(fx):
     return durable(hashing.manifest(all_lines(fx)), "manifest")
 
@@ -55,12 +63,21 @@ def _(fx):
     return hashing.layout_hash(all_lines(fx))
 
 
+VER_T = ("ver_t", """
+select layout, type_name as name, max(off+sz) as size, 'T '||type_name||' '||max(off+sz)||chr(10)||string_agg('M '||off||' '||member||' '||sz||' '||bit_position||' '||bit_count||' '||mtype, chr(10) order by off, member) as text
+from fx_members_b group by layout, type_name""")
+
+
 @query("q_hsh5_new_blobs", """
-select distinct kind, name, blob from hsh_m where blob not in (select blob from hsh_m where layout in (select layout from fx_builds))""", *HSH)
+select 'blob' as kind, name, blob as id, 'new' as outcome from (select distinct name, blob from hsh_m where kind = 'type') t where blob not in (select substr(sha256(text),1,12) from ver_t)
+union all select 'layout', '', hash, case when layout in (select layout from fx_builds where machine = 'x86') then 'reused' else 'written' end from hsh_l""", *HSH, VER_T)
 def _(fx):
-    found = full_manifest(fx)
-    stored = found.join(fx.builds().select("layout").distinct(), "layout", "left_semi").select("blob").distinct()
-    return hashing.new_blobs(found, stored).select("kind", "name", "blob")
+    found = hashing.manifest(type_lines(fx))
+    stored = hashing.manifest(second_lines(fx)).select("blob").distinct()
+    hashes = durable(hashing.layout_hash(all_lines(fx)), "hashes")
+    held = hashes.join(fx.builds().filter("machine = 'x86'").select("layout").distinct(), "layout", "left_semi")
+    return hashing.new_blobs(found, stored).select(F.lit("blob").alias("kind"), "name", F.col("blob").alias("id"), F.lit("new").alias("outcome")).unionByName(
+        hashing.new_layouts(hashes, held).select(F.lit("layout").alias("kind"), F.lit("").alias("name"), F.col("hash").alias("id"), "outcome"))
 
 
 @query("q_hsh6_documents", """
@@ -162,7 +179,7 @@ def _(fx):
 
 
 DIC_REC = ("dic_rec", """
-select lpad(cast(l_orderkey as string),12,'0') as build, 'Sym' || cast(l_partkey % 50 as string) as name, l_partkey * 10 + l_linenumber as ord,
+select lpad(cast(l_orderkey as string),12,'0') as build, 'Sym' || cast(l_partkey % 50 as string) as name, (l_suppkey * 100000 + l_partkey) * 10 + l_linenumber as ord,
   case when l_suppkey % 5 = 0 then null else 4096*l_suppkey + l_linenumber end as rva from lineitem""")
 
 
@@ -172,11 +189,11 @@ def _(fx):
 
 
 @query("q_dic6_preferred_source", """
-select build, name, arg_min(rva, ord + case when l_returnflag = 'A' then 0 else 1000000000 end) as rva from
- (select lpad(cast(l_orderkey as string),12,'0') as build, 'Sym' || cast(l_partkey % 50 as string) as name, l_partkey * 10 + l_linenumber as ord,
+select build, name, arg_min(rva, ord + case when l_returnflag = 'A' then 0 else 1000000000000 end) as rva from
+ (select lpad(cast(l_orderkey as string),12,'0') as build, 'Sym' || cast(l_partkey % 50 as string) as name, (l_suppkey * 100000 + l_partkey) * 10 + l_linenumber as ord,
   case when l_suppkey % 5 = 0 then 0 else 4096*l_suppkey + l_linenumber end as rva, l_returnflag from lineitem where l_returnflag <> 'R') t where rva <> 0 group by 1, 2""")
 def _(fx):
-    records = fx.sql("""select lpad(cast(l_orderkey as string),12,'0') as build, 'Sym' || cast(l_partkey % 50 as string) as name, l_partkey * 10 + l_linenumber as ord,
+    records = fx.sql("""select lpad(cast(l_orderkey as string),12,'0') as build, 'Sym' || cast(l_partkey % 50 as string) as name, (l_suppkey * 100000 + l_partkey) * 10 + l_linenumber as ord,
   case when l_suppkey % 5 = 0 then 0 else 4096*l_suppkey + l_linenumber end as rva, case l_returnflag when 'A' then 'data' when 'N' then 'public' else 'thunk' end as tag from lineitem""")
     return dictionary.first_non_zero(records)
 
@@ -191,10 +208,6 @@ def _(fx):
 
 # ---- verification -------------------------------------------------------------------------------------
 
-# Re-derived: one member of every eighth slot is read at another offset.
-VER_T = ("ver_t", """
-select layout, type_name as name, max(off+sz) as size, 'T '||type_name||' '||max(off+sz)||chr(10)||string_agg('M '||off||' '||member||' '||sz||' '||bit_position||' '||bit_count||' '||mtype, chr(10) order by off, member) as text
-from fx_members_b group by layout, type_name""")
 VER_NAMES = ("ver_names", """
 select coalesce(a.layout, b.layout) as layout, coalesce(a.name, b.name) as name, substr(sha256(a.text),1,12) as blob_published, substr(sha256(b.text),1,12) as blob_ours
 from hsh_t a full join ver_t b on a.layout = b.layout and a.name = b.name""")
@@ -208,10 +221,8 @@ def published(fx):
 
 
 def reread(fx):
-    m = fx.table("fx_members_b")
-    sizes = m.groupBy("layout", "type_name").agg(F.max(F.col("off") + F.col("sz")).alias("type_size"))
-    bodies = diffing.type_bodies(m, sizes).select("layout", "kind", "name", F.col("blob").alias("body"))
-    return hashing.manifest(hashing.type_lines(m, sizes)).join(bodies, ["layout", "kind", "name"]).withColumn("symbol_key", F.col("layout"))
+    bodies = diffing.type_bodies(fx.table("fx_members_b"), second_sizes(fx)).select("layout", "kind", "name", F.col("blob").alias("body"))
+    return hashing.manifest(second_lines(fx)).join(bodies, ["layout", "kind", "name"]).withColumn("symbol_key", F.col("layout"))
 
 
 @query("q_joi19_verify_types", """
