@@ -130,6 +130,11 @@ def feed_order() -> list[Column]:
             *[F.col(name).asc() for name in ORDER]]
 
 
+def feed_order_columns() -> list[Column]:
+    """The columns of :func:`feed_order`, with a missing date as empty text."""
+    return [F.coalesce("date", F.lit("")).alias("date"), F.col("label"), F.col("machine"), *[F.col(name) for name in ORDER]]
+
+
 def in_feed_order(changes: DataFrame, out: str = "feed_pos") -> DataFrame:
     return positions(changes, feed_order(), out)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ("sequence_queries", "diff_queries", "quality_queries", "reconcile_queries", "store_queries", "ingest_queries")
+AREAS = ("sequence_queries", "diff_queries", "quality_queries", "reconcile_queries", "store_queries", "ingest_queries", "publish_queries", "hierarchy_queries")
 
 
 def load():

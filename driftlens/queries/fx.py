@@ -116,13 +116,14 @@ def with_views(sql: str, *extra: tuple[str, str]) -> str:
     """Prefix ``sql`` with the CTEs of every view it needs, directly or through another view."""
     named = {**VIEWS, **dict(extra)}
     needed: list[str] = []
+    seen: set[str] = set()
 
     def visit(text: str) -> None:
         for name in re.findall(r"\b[a-z]+_[a-z_0-9]+\b", text):
-            if name in named and name not in needed:
+            if name in named and name not in seen:
+                seen.add(name)
                 visit(named[name])
-                if name not in needed:
-                    needed.append(name)
+                needed.append(name)
 
     visit(sql)
     if not needed:
