@@ -14,7 +14,8 @@ from driftlens.operators.compare import any_of, both_set_and_differ, differs, la
 
 MEMBER = ["off", "sz", "bit_position", "bit_count", "mtype"]
 PAIR = ["layout_from", "layout_to"]
-STEP = ["kind", "name", "rep_from", "rep_to"]
+STEP = ["step_a", "step_b"]
+BODIES = ["kind", "name", "rep_from", "rep_to"]
 
 
 def _fingerprint(*columns: str) -> Column:
@@ -57,6 +58,12 @@ def enum_bodies(constants: DataFrame) -> DataFrame:
         F.concat_ws(".", "_body", F.col("size").cast("string")).alias("blob"))
 
 
+def with_representative(manifest: DataFrame) -> DataFrame:
+    """Add ``rep``, for each distinct body the one layout its rows are read from."""
+    reps = manifest.groupBy("kind", "name", "blob").agg(F.min("layout").alias("rep"))
+    return manifest.join(reps, ["kind", "name", "blob"])
+
+
 def changed_names(pairs: DataFrame, manifest: DataFrame) -> DataFrame:
     """Per layout pair the (kind, name) whose body differs, including names on one side only.
 
@@ -64,9 +71,9 @@ def changed_names(pairs: DataFrame, manifest: DataFrame) -> DataFrame:
     """
     def side(own: str) -> DataFrame:
         return (pairs.join(manifest.withColumnRenamed("layout", own), own)
-                .select(*PAIR, "kind", "name", "size", "blob"))
+                .select(*PAIR, "kind", "name", "size", "blob", "rep"))
 
-    return two_sided(side("layout_from"), side("layout_to"), [*PAIR, "kind", "name"], ["size", "blob"]).filter(differs("blob"))
+    return two_sided(side("layout_from"), side("layout_to"), [*PAIR, "kind", "name"], ["size", "blob", "rep"]).filter(differs("blob"))
 
 
 def status(names: DataFrame) -> DataFrame:
@@ -75,48 +82,44 @@ def status(names: DataFrame) -> DataFrame:
         "status", F.when(F.col("in_left"), F.lit("removed")).otherwise(F.lit("added")))
 
 
-def representatives(manifest: DataFrame) -> DataFrame:
-    """For each distinct body one layout that holds it."""
-    return manifest.groupBy("kind", "name", "blob").agg(F.min("layout").alias("rep"))
-
+def resolve_steps(names: DataFrame) -> DataFrame:
+    """Changed definitions held by both sides of a pair, under the key of their step.
 
-def with_representatives(names: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Attach to each changed definition, held by both sides, the layouts its two bodies are read from."""
-    reps = representatives(manifest)
+    A step is one body turning into another. Its key is 128 bits from two independently seeded hashes,
+    so later joins carry two numbers instead of a name and two layout hashes.
+    """
     both = names.filter(F.col("in_left") & F.col("in_right"))
-    old = reps.select("kind", "name", F.col("blob").alias("blob_from"), F.col("rep").alias("rep_from"))
-    new = reps.select("kind", "name", F.col("blob").alias("blob_to"), F.col("rep").alias("rep_to"))
-    return both.join(old, ["kind", "name", "blob_from"]).join(new, ["kind", "name", "blob_to"])
+    return both.select(*PAIR, *BODIES, "size_from", "size_to",
+                       F.xxhash64(F.lit("a"), *BODIES).alias("step_a"), F.xxhash64(F.lit("b"), *BODIES).alias("step_b"))
 
 
 def steps(resolved: DataFrame) -> DataFrame:
-    """Distinct body steps: each is compared once, however many pairs take it."""
-    return resolved.select(*STEP).distinct()
+    """Distinct steps: each is compared once, however many pairs take it."""
+    return resolved.select(*STEP, *BODIES).distinct()
 
 
-def _side_rows(body_steps: DataFrame, rows: DataFrame, own: str, item: str, attrs: list[str]) -> DataFrame:
-    return (body_steps.join(rows.withColumnRenamed("layout", own), [own, "name"])
+def _side_rows(wanted: DataFrame, rows: DataFrame, own: str, item: str, attrs: list[str]) -> DataFrame:
+    return (wanted.select(*STEP, "name", own).join(rows.withColumnRenamed("layout", own), [own, "name"])
             .select(*STEP, item, *attrs))
 
 
-def member_changes(body_steps: DataFrame, members: DataFrame) -> DataFrame:
+def member_changes(step_rows: DataFrame, members: DataFrame) -> DataFrame:
     """Members that differ within a step: one row each with both sides' attributes."""
     rows = members.withColumnRenamed("type_name", "name")
-    wanted = body_steps.filter(F.col("kind") == "type")
+    wanted = step_rows.filter(F.col("kind") == "type")
     compared = two_sided(_side_rows(wanted, rows, "rep_from", "member", MEMBER),
                          _side_rows(wanted, rows, "rep_to", "member", MEMBER), [*STEP, "member"], MEMBER)
     return compared.filter(any_of([differs(attr) for attr in MEMBER]))
 
 
-def constant_changes(body_steps: DataFrame, constants: DataFrame) -> DataFrame:
+def constant_changes(step_rows: DataFrame, constants: DataFrame) -> DataFrame:
     rows = constants.withColumnRenamed("name", "constant").withColumnRenamed("enum_name", "name")
-    wanted = body_steps.filter(F.col("kind") == "enum")
+    wanted = step_rows.filter(F.col("kind") == "enum")
     compared = two_sided(_side_rows(wanted, rows, "rep_from", "constant", ["value"]),
                          _side_rows(wanted, rows, "rep_to", "constant", ["value"]), [*STEP, "constant"], ["value"])
     return compared.filter(differs("value"))
 
 
-BOTH = F.col
 SHARED = "in_left and in_right"
 
 
@@ -188,12 +191,46 @@ def itemise_constants(changes: DataFrame) -> DataFrame:
 LISTS = ("added", "removed", "moved", "resized", "rebitted", "retyped", "renamed", "renumbered")
 
 
-def entries(resolved: DataFrame, items: DataFrame) -> DataFrame:
+def member_counts(changes: DataFrame) -> DataFrame:
+    """Length of each member list per step, before renames are taken off."""
+    both = F.col("in_left") & F.col("in_right")
+    return changes.groupBy(*STEP).agg(
+        F.count_if(~F.col("in_left")).alias("_added"), F.count_if(~F.col("in_right")).alias("_removed"),
+        F.count_if(both & differs("off")).alias("_moved"), F.count_if(both & differs("sz")).alias("_resized"),
+        F.count_if(both & (differs("bit_position") | differs("bit_count"))).alias("_rebitted"),
+        F.count_if(both & both_set_and_differ("mtype")).alias("_retyped"))
+
+
+def constant_counts(changes: DataFrame) -> DataFrame:
+    both = F.col("in_left") & F.col("in_right")
+    return changes.groupBy(*STEP).agg(
+        F.count_if(~F.col("in_left")).alias("_c_added"), F.count_if(~F.col("in_right")).alias("_c_removed"),
+        F.count_if(both).alias("_renumbered"))
+
+
+def entries(resolved: DataFrame, members: DataFrame, renamed: DataFrame, constants: DataFrame | None = None) -> DataFrame:
     """One row per changed definition of a layout pair, with the length of each list.
 
-    Emitted iff the size differs or a list has items. The items themselves stay in long form.
+    Emitted iff the size differs or a list has items. The items themselves stay in long form, and the
+    counts come from partial aggregates of the change rows. A confirmed rename leaves both the added and
+    the removed list.
     """
-    counts = items.groupBy(*STEP).agg(*[F.count_if(F.col("list") == name).alias(f"n_{name}") for name in LISTS])
-    joined = resolved.join(counts, STEP, "left").fillna(0, [f"n_{name}" for name in LISTS])
-    return joined.filter(differs("size") | any_of([F.col(f"n_{name}") > 0 for name in LISTS])).select(
-        *PAIR, *STEP, F.col("size_from"), F.col("size_to"), *[f"n_{name}" for name in LISTS])
+    joined = (resolved.join(member_counts(members), STEP, "left")
+              .join(renamed.groupBy(*STEP).agg(F.count("*").alias("n_renamed")), STEP, "left"))
+    if constants is not None:
+        joined = joined.join(constant_counts(constants), STEP, "left")
+    else:
+        joined = joined.select("*", *[F.lit(0).cast("bigint").alias(c) for c in ("_c_added", "_c_removed", "_renumbered")])
+
+    def count(*names: str) -> Column:
+        total = F.coalesce(names[0], F.lit(0).cast("bigint"))
+        for name in names[1:]:
+            total = total + F.coalesce(name, F.lit(0).cast("bigint"))
+        return total
+
+    listed = joined.select(
+        *PAIR, *STEP, "kind", "name", "size_from", "size_to",
+        (count("_added", "_c_added") - count("n_renamed")).alias("n_added"), (count("_removed", "_c_removed") - count("n_renamed")).alias("n_removed"),
+        *[count(f"_{name}").alias(f"n_{name}") for name in ("moved", "resized", "rebitted", "retyped")],
+        count("n_renamed").alias("n_renamed"), count("_renumbered").alias("n_renumbered"))
+    return listed.filter(differs("size") | any_of([F.col(f"n_{name}") > 0 for name in LISTS]))

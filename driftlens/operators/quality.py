@@ -158,7 +158,7 @@ def continuity(resolved: DataFrame, member_changes: DataFrame) -> DataFrame:
     rank = F.struct(-F.col("distance"), "off_to", "member", "sz_to", "bit_position_to", "bit_count_to", "mtype_to")
     found = far.groupBy(*STEP, "grew").agg(
         F.count("*").alias("moved"), F.min_by("member", rank).alias("worst_member"), F.max("distance").alias("worst"))
-    return resolved.select("layout_from", "layout_to", *STEP).join(found, STEP).select(
+    return resolved.select("layout_from", "layout_to", *STEP, "name").join(found, STEP).select(
         "layout_from", "layout_to", F.col("name").alias("type_name"), "grew", "moved", "worst_member", "worst")
 
 

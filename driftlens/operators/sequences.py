@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from driftlens.functions.version import channel_label, family, filled, version_key
 from driftlens.operators.ordering import positions, with_next
+from driftlens.runtime import durable
 
 SEQUENCE = ["label", "machine"]
 CARRIED = ["layout", "symbol_key", "file_version", "release_date", "kb"]
@@ -62,8 +63,12 @@ ORDER = ["o1", "o2", "o3", "o4"]
 
 
 def adjacency(builds: DataFrame) -> DataFrame:
-    """Every placed row with its successor in ``next`` (null at the end of a sequence)."""
-    narrow = place(builds.select("channel", "machine", *CARRIED))
+    """Every placed row with its successor in ``next`` (null at the end of a sequence).
+
+    The narrow placed rows are written once: the completeness check, the sampling of slice bounds and
+    the slicing itself all read them.
+    """
+    narrow = durable(place(builds.select("channel", "machine", *CARRIED)), "placed")
     return with_next(ordered(narrow), SEQUENCE, ORDER, CARRIED)
 
 

@@ -40,7 +40,7 @@ class Feed:
         bodies = diffing.type_bodies(self.members, self.types)
         if self.constants is not None:
             bodies = bodies.unionByName(diffing.enum_bodies(self.constants))
-        return durable(bodies, "manifest")
+        return durable(diffing.with_representative(durable(bodies, "bodies")), "manifest")
 
     @cached_property
     def names(self) -> DataFrame:
@@ -53,7 +53,7 @@ class Feed:
 
     @cached_property
     def resolved(self) -> DataFrame:
-        return durable(diffing.with_representatives(self.names, self.manifest), "resolved")
+        return diffing.resolve_steps(self.names)
 
     @cached_property
     def steps(self) -> DataFrame:
@@ -65,7 +65,9 @@ class Feed:
 
     @cached_property
     def constant_changes(self) -> DataFrame | None:
-        return None if self.constants is None else diffing.constant_changes(self.steps, self.constants)
+        if self.constants is None:
+            return None
+        return durable(diffing.constant_changes(self.steps, self.constants), "constants")
 
     @cached_property
     def signatures(self) -> DataFrame:
@@ -83,11 +85,11 @@ class Feed:
     @cached_property
     def entries(self) -> DataFrame:
         """Changed definitions per layout pair, those on both sides."""
-        return diffing.entries(self.resolved, self.items)
+        return diffing.entries(self.resolved, self.member_changes, self.confirmed, self.constant_changes)
 
     def per_pair(self, rows: DataFrame) -> DataFrame:
         """Fan rows keyed by step out to every layout pair that takes the step."""
-        return self.resolved.select(*diffing.PAIR, *diffing.STEP).join(rows, diffing.STEP)
+        return self.resolved.select(*diffing.PAIR, *diffing.STEP, "kind", "name").join(rows, diffing.STEP)
 
     @cached_property
     def step_uses(self) -> DataFrame:
@@ -95,7 +97,7 @@ class Feed:
         pairs = self.changes.groupBy(*diffing.PAIR).agg(
             F.count("*").alias("_n"), F.min(F.struct(*sequences.SEQUENCE, *sequences.ORDER)).alias("_first"))
         return (self.resolved.filter(F.col("kind") == "type").join(pairs, diffing.PAIR)
-                .groupBy(*diffing.STEP).agg(F.sum("_n").alias("uses"), F.min("_first").alias("first_use")))
+                .groupBy(*diffing.STEP, "name").agg(F.sum("_n").alias("uses"), F.min("_first").alias("first_use")))
 
     @cached_property
     def used_renames(self) -> DataFrame:

@@ -17,6 +17,8 @@ def session(app: str = "driftlens", master: str | None = None, **conf: str) -> S
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Hash joins only where the measured shuffle partitions are small; anything larger sorts and can spill.
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
