@@ -151,6 +151,13 @@ def rebitted(changes: DataFrame) -> DataFrame:
     return changes.filter(SHARED).filter(differs("bit_position") | differs("bit_count"))
 
 
+def added_removed(changes: DataFrame, renamed: DataFrame) -> DataFrame:
+    """(step, item, list) of members on one side only, without those a confirmed rename explains."""
+    names = renamed.select(*STEP, F.explode(F.array("old", "new")).alias("member"))
+    return changes.filter(~(F.col("in_left") & F.col("in_right"))).join(names, [*STEP, "member"], "left_anti").select(
+        *STEP, F.col("member").alias("item"), F.when(F.col("in_left"), F.lit("removed")).otherwise(F.lit("added")).alias("list"))
+
+
 def itemise(changes: DataFrame, renamed: DataFrame | None = None) -> DataFrame:
     """Long form: one row per (step, list, item) with text ``was`` and ``now``.
 

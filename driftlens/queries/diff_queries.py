@@ -95,7 +95,7 @@ select lf as layout_from, lt as layout_to, d.type_name, d.member, case when m1 i
     or (m2 is null and not exists (select 1 from dif_ren r where r.lf=d.lf and r.lt=d.lt and r.type_name=d.type_name and r.old=d.member))""", *DIFF_VIEWS)
 def _(fx):
     f = feed(fx)
-    return pair_rows(f, f.items.filter(F.col("list").isin("added", "removed")), F.col("item").alias("member"), "list")
+    return pair_rows(f, diffing.added_removed(f.member_changes, f.confirmed), F.col("item").alias("member"), "list")
 
 
 @query("q_joi4_moved", "select lf as layout_from, lt as layout_to, type_name, member, off1 as was, off2 as now from dif_members where off1 <> off2", *DIFF_VIEWS)
