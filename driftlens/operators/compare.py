@@ -8,12 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def last_per_key(df: DataFrame, keys: list[str], order: list[str], keep: list[str]) -> DataFrame:
-    """One row per key, the last in ``order``; a partial aggregate, so a repeated key stays cheap."""
-    return (df.groupBy(*keys).agg(F.max_by(F.struct(*keep), F.struct(*order)).alias("_last"))
-            .select(*keys, *[F.col(f"_last.{name}").alias(name) for name in keep]))
-
-
 def two_sided(left: DataFrame, right: DataFrame, keys: list[str], attrs: list[str],
               suffixes: tuple[str, str] = ("_from", "_to")) -> DataFrame:
     """Full outer match of rows unique per ``keys``: attributes of both sides and ``in_left``/``in_right``.

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftlens.operators.compare import any_of, both_set_and_differ, differs, last_per_key, two_sided
+from driftlens.operators.compare import any_of, both_set_and_differ, differs, two_sided
 
 MEMBER = ["off", "sz", "bit_position", "bit_count", "mtype"]
 PAIR = ["layout_from", "layout_to"]
@@ -28,14 +28,13 @@ def _fingerprint(*columns: str) -> Column:
                     F.hex(F.bit_xor(F.xxhash64(F.lit("b"), *columns))), F.lit("."), F.hex(F.count("*")))
 
 
-def unique_members(members: DataFrame) -> DataFrame:
-    """One row per (layout, type, member); of repeated names the last in (offset, size, ...) order counts."""
-    return last_per_key(members, ["layout", "type_name", "member"],
-                        ["off", "sz", "bit_position", "bit_count", "mtype"], MEMBER)
+def last_of_name(rows: DataFrame, keys: list[str], attrs: list[str]) -> DataFrame:
+    """One row per key: of a name that occurs twice in a body the last in (offset, size, ...) order counts.
 
-
-def unique_constants(constants: DataFrame) -> DataFrame:
-    return last_per_key(constants, ["layout", "enum_name", "name"], ["value"], ["value"])
+    The keys are those of the comparison that follows, so this adds no shuffle of its own.
+    """
+    return (rows.groupBy(*keys).agg(F.max(F.struct(*attrs)).alias("_last"))
+            .select(*keys, *[F.col(f"_last.{attr}").alias(attr) for attr in attrs]))
 
 
 def type_bodies(members: DataFrame, types: DataFrame | None = None) -> DataFrame:
@@ -99,8 +98,8 @@ def steps(resolved: DataFrame) -> DataFrame:
 
 
 def _side_rows(wanted: DataFrame, rows: DataFrame, own: str, item: str, attrs: list[str]) -> DataFrame:
-    return (wanted.select(*STEP, "name", own).join(rows.withColumnRenamed("layout", own), [own, "name"])
-            .select(*STEP, item, *attrs))
+    met = wanted.select(*STEP, "name", own).join(rows.withColumnRenamed("layout", own), [own, "name"])
+    return last_of_name(met, [*STEP, item], attrs)
 
 
 def member_changes(step_rows: DataFrame, members: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from driftlens.functions.text import hex_lower
 from driftlens.operators.compare import both_set_and_differ, differs, two_sided
-from driftlens.operators.diffing import MEMBER, bits
+from driftlens.operators.diffing import MEMBER, bits, last_of_name
 from driftlens.operators.ordering import top_per_group
 
 SIDES = ("_want", "_got")
@@ -56,7 +56,9 @@ def type_findings(sides: DataFrame) -> DataFrame:
 def member_sides(oracle: DataFrame, subject: DataFrame) -> DataFrame:
     """Members of types that both readings hold."""
     shared = oracle.select(*TYPE).distinct().join(subject.select(*TYPE).distinct(), TYPE)
-    return two_sided(oracle.join(shared, TYPE, "left_semi"), subject.join(shared, TYPE, "left_semi"), [*TYPE, "member"], MEMBER, SIDES)
+    keys = [*TYPE, "member"]
+    want = last_of_name(oracle.join(shared, TYPE, "left_semi"), keys, MEMBER)
+    return two_sided(want, last_of_name(subject.join(shared, TYPE, "left_semi"), keys, MEMBER), keys, MEMBER, SIDES)
 
 
 def member_findings(oracle: DataFrame, subject: DataFrame) -> DataFrame:
@@ -87,7 +89,9 @@ def enum_sides(oracle: DataFrame, subject: DataFrame) -> DataFrame:
 def constant_sides(oracle: DataFrame, subject: DataFrame) -> DataFrame:
     key = ["layout", "enum_name"]
     shared = oracle.select(*key).distinct().join(subject.select(*key).distinct(), key)
-    return two_sided(oracle.join(shared, key, "left_semi"), subject.join(shared, key, "left_semi"), [*key, "name"], ["value"], SIDES)
+    keys = [*key, "name"]
+    want = last_of_name(oracle.join(shared, key, "left_semi"), keys, ["value"])
+    return two_sided(want, last_of_name(subject.join(shared, key, "left_semi"), keys, ["value"]), keys, ["value"], SIDES)
 
 
 def enum_findings(oracle: DataFrame, subject: DataFrame) -> DataFrame:

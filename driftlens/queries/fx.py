@@ -1,6 +1,7 @@
 """Adapter views that re-shape the driver's tables into builds, members, symbols and index entries.
 
-Each view is one SQL text that both engines read, so a query and its oracle start from equal rows.
+Each view is one SQL text that both engines read, so a query and its oracle start from equal rows. The
+views cover their tables whole; what differs between rows follows from column values.
 """
 
 from __future__ import annotations
@@ -25,11 +26,11 @@ select {BUILD_KEY} as symbol_key,
  case o_orderstatus when 'O' then 'amd64' when 'F' then 'x86' else 'arm64' end as machine,
  case when o_orderkey % 11 = 0 then null else cast(cast(o_orderdate as date) as string) end as release_date,
  'KB' || cast(5000000 + o_custkey as string) as kb, (o_custkey - o_custkey % 10) * 10 as layout
- from orders where o_orderkey % 10 < 5"""
+ from orders"""
 
 VIEWS["fx_build_channels"] = f"""
-select {BUILD_KEY} as symbol_key, o_orderpriority as channel from orders where o_orderkey % 10 < 5
- union all select {BUILD_KEY}, 'LTSC-' || substr(o_orderpriority,1,1) from orders where o_orderkey % 10 < 5 and o_orderkey % 4 = 0"""
+select {BUILD_KEY} as symbol_key, o_orderpriority as channel from orders
+ union all select {BUILD_KEY}, 'LTSC-' || substr(o_orderpriority,1,1) from orders where o_totalprice < 120000"""
 
 VIEWS["fx_members"] = """
 select layout, type_name, member, min(off) as off, min(sz) as sz, min(bp) as bit_position, min(bc) as bit_count,
@@ -51,17 +52,17 @@ select layout, type_name, member, case when off % 24 = 8 and sz = 4 then off + 4
  union all select layout, type_name, 'Invented', 640, 8, 0, 0, '' from fx_members where sz = 4 and bit_count = 0 and off = 0 group by layout, type_name"""
 
 VIEWS["fx_symbols"] = """
-select build, name, min(rva) as rva from (select lpad(cast(l_orderkey as string),12,'0') as build, 'Sym' || cast(l_partkey as string) as name, 4096*l_suppkey + l_linenumber as rva from lineitem where l_orderkey % 10 < 5) t group by build, name"""
+select build, name, min(rva) as rva from (select lpad(cast(l_orderkey as string),12,'0') as build, 'Sym' || cast(l_partkey as string) as name, 4096*l_suppkey + l_linenumber as rva from lineitem) t group by build, name"""
 
 VIEWS["fx_constants"] = """
 select layout, enum_name, name, min(value) as value, 4 as enum_size from (select l_orderkey - l_orderkey % 100 as layout, 'E_' || l_returnflag as enum_name, 'C' || cast(l_linenumber as string) || cast(l_partkey % 5 as string) as name, l_suppkey % 4 - 1 as value from lineitem) t group by layout, enum_name, name"""
 
 VIEWS["fx_index"] = f"""
-select 'ga' as dataset, {BUILD_KEY} as sha256, o_orderpriority as channel, o_orderkey % 97 as ts, o_orderkey % 13 as vsize from orders where o_orderkey % 3 <> 0
- union all select 'insider', {BUILD_KEY}, 'builds', o_orderkey % 97, o_orderkey % 13 from orders where o_orderkey % 5 = 0"""
+select 'ga' as dataset, {BUILD_KEY} as sha256, o_orderpriority as channel, o_orderkey % 97 as ts, o_orderkey % 13 as vsize from orders
+ union all select 'insider', {BUILD_KEY}, 'builds', o_orderkey % 97, o_orderkey % 13 from orders where o_totalprice < 100000"""
 
 VIEWS["fx_ledger"] = f"""
-select {BUILD_KEY} as sha256, case o_orderkey % 6 when 0 then 'binary_404' when 1 then 'pdb_404' when 2 then 'undownloadable' when 3 then 'duplicate_key' when 4 then 'inconsistent' else 'fetch_error' end as reason, o_orderpriority as channel from orders where o_orderkey % 10 in (5,6)"""
+select {BUILD_KEY} as sha256, case o_orderkey % 6 when 0 then 'binary_404' when 1 then 'pdb_404' when 2 then 'undownloadable' when 3 then 'duplicate_key' when 4 then 'inconsistent' else 'fetch_error' end as reason, o_orderpriority as channel from orders where o_totalprice > 400000"""
 
 VIEWS["fx_nodes"] = """
 select 'R' || cast(r_regionkey as string) as list_id, 'N' || cast(n_nationkey as string) as child_list, case when n_nationkey % 3 = 0 then '' else n_name end as member, n_nationkey % 5 * 1000 as off, case when n_nationkey % 2 = 0 then 'union' else 'class' end as kind
@@ -101,10 +102,10 @@ class Fx:
 
     def builds(self) -> DataFrame:
         """Build documents with their channel and KB lists, straight from one scan of ``orders``."""
-        second = F.when(F.col("_order") % 4 == 0, F.concat(F.lit("LTSC-"), F.substring("_priority", 1, 1)))
-        return (self.sql(VIEWS["fx_builds"].replace(" as layout\n", " as layout, o_orderkey as _order, o_orderpriority as _priority\n"))
+        second = F.when(F.col("_price") < 120000, F.concat(F.lit("LTSC-"), F.substring("_priority", 1, 1)))
+        return (self.sql(VIEWS["fx_builds"].replace(" as layout\n", " as layout, o_totalprice as _price, o_orderpriority as _priority\n"))
                 .withColumn("channel", F.array_compact(F.array(F.col("_priority"), second)))
-                .withColumn("kb", F.array("kb")).drop("_order", "_priority"))
+                .withColumn("kb", F.array("kb")).drop("_price", "_priority"))
 
     def types(self) -> DataFrame:
         """(layout, type_name, type_size): a type ends where its last member ends."""

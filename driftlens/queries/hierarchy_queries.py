@@ -99,11 +99,10 @@ HIE_C = ("hie_c", "select l_orderkey as list_id, 'C' || cast(l_linenumber as str
 
 
 @query("q_hie7_enum_continuations", """
-select distinct 'E' || o.list_id as enum_name, c.name, c.value from hie_l o join hie_c c on c.list_id <= o.list_id and c.list_id >= o.list_id - o.list_id % 6 where o.list_id % 6 = 5 or o.continuation is null""", HIE_L, HIE_C)
+select distinct 'E' || o.list_id as enum_name, c.name, c.value from hie_l o join hie_c c on c.list_id <= o.list_id and c.list_id >= o.list_id - o.list_id % 6""", HIE_L, HIE_C)
 def _(fx):
     lists = fx.sql(HIE_L[1])
-    heads = lists.filter((F.col("list_id") % 6 == 5) | F.col("continuation").isNull())
-    enums = heads.select(F.concat(F.lit("E"), F.col("list_id").cast("string")).alias("enum_name"), "list_id")
+    enums = lists.select(F.concat(F.lit("E"), F.col("list_id").cast("string")).alias("enum_name"), "list_id")
     return h.enum_constants(enums, lists, fx.sql(HIE_C[1]))
 
 

@@ -16,7 +16,7 @@ IDX = ("idx_rows", """
 select lpad(cast(o_orderkey as string),12,'0') as sha256, o_orderkey % 97 as ts, o_orderkey % 13 * 4096 as vs, o_custkey * 512 + 20480 as sz,
  case when o_orderkey % 3 <> 0 then o_custkey * 4096 end as va, 1024 as raw, case o_orderkey % 4 when 0 then 332 when 1 then 34404 when 2 then 43620 else 450 end as machine,
  '10.0.' || cast(20000 + o_custkey % 5 as string) || '.' || cast(o_custkey as string) as version, o_orderpriority as ch1, 'KB' || cast(5000000 + o_custkey as string) as kb1,
- cast(cast(o_orderdate as date) as string) as date1, case when o_orderkey % 4 = 0 then 'LTSC' end as ch2, 'KB' || cast(4000000 + o_custkey as string) as kb2 from orders""")
+ cast(cast(o_orderdate as date) as string) as date1, case when o_totalprice < 120000 then 'LTSC' end as ch2, 'KB' || cast(4000000 + o_custkey as string) as kb2 from orders""")
 IDX_S = ("idx_sized", """
 select *, case when vs <> 0 then cast(vs as varchar) when va is not null and va <> 0 then concat_ws(',', case when al > 8192 then cast(al - 8192 as varchar) end, case when al > 12288 then cast(al - 12288 as varchar) end) else '' end as sizes
 from (select *, (va + sz - raw + 4095) // 4096 * 4096 as al from idx_rows) t""")
@@ -334,11 +334,11 @@ def _(fx):
 
 @query("q_inc2_ledger_upsert", """
 select sha256, reason from (select coalesce(r.sha256, l.sha256) as sha256, coalesce(r.reason, l.reason) as reason from fx_ledger l full join
- (select sha256, arg_max(case dataset when 'ga' then 'binary_404' else 'fetch_error' end, dataset) as reason from fx_index where ts % 4 = 0 group by sha256) r on r.sha256 = l.sha256) t
+ (select sha256, arg_max(case dataset when 'ga' then 'binary_404' else 'fetch_error' end, dataset) as reason from fx_index where ts < 24 group by sha256) r on r.sha256 = l.sha256) t
 where sha256 not in (select symbol_key from fx_builds where machine = 'x86')""")
 def _(fx):
     reason = F.when(F.col("dataset") == "ga", "binary_404").otherwise("fetch_error")
-    recorded = fx.table("fx_index").filter("ts % 4 = 0").select("sha256", reason.alias("reason"), F.col("dataset").alias("ord"))
+    recorded = fx.table("fx_index").filter("ts < 24").select("sha256", reason.alias("reason"), F.col("dataset").alias("ord"))
     stored = fx.builds().filter("machine = 'x86'").select(F.col("symbol_key").alias("sha256"))
     return merging.upsert_ledger(fx.table("fx_ledger").select("sha256", "reason"), recorded, stored)
 

@@ -144,9 +144,9 @@ def _(fx):
 
 @query("q_dq11_incremental_continuity", """
 select r.label, r.machine, r.symbol_key as from_key, r.next_key as to_key, c.type_name, c.moved, c.worst from seq_runs r join dq_cont c on c.lf = r.layout and c.lt = r.next_layout
-where right(r.symbol_key,1) = '1' or right(r.next_key,1) = '1'""", *DIFF_VIEWS, DQ_WIDE, DQ_CONT)
+where coalesce(r.release_date,'') >= '1997-01-01' or coalesce(r.next_date,'') >= '1997-01-01'""", *DIFF_VIEWS, DQ_WIDE, DQ_CONT)
 def _(fx):
-    loaded = fx.builds().filter(F.col("symbol_key").endswith("1"))
+    loaded = fx.builds().filter(F.col("release_date") >= "1997-01-01")
     return wide_feed(fx, loaded).per_transition().select("label", "machine", "from_key", "to_key", "type_name", "moved", "worst")
 
 

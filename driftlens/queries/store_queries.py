@@ -131,8 +131,8 @@ select l_orderkey - l_orderkey % 100 as layout, 'E_' || l_returnflag as enum_nam
 
 # ---- dictionary ---------------------------------------------------------------------------------------
 
-# The stored dictionary knows the names of builds ending in 1; the rest is appended.
-DIC_OLD = ("dic_old", "select name, row_number() over (order by min(build), name) - 1 as pos from fx_symbols where build like '%1' group by name")
+# The stored dictionary knows the shorter names; the rest is appended.
+DIC_OLD = ("dic_old", "select name, row_number() over (order by min(build), name) - 1 as pos from fx_symbols where length(name) <= 6 group by name")
 DIC_ALL = ("dic_all", """
 select name, pos from dic_old union all select name, (select count(*) from dic_old) + row_number() over (order by min(build), name) - 1 from fx_symbols
  where name not in (select name from dic_old) group by name""")
@@ -140,7 +140,7 @@ DIC = (DIC_OLD, DIC_ALL)
 
 
 def stored_dictionary(fx):
-    return dictionary.extend(None, fx.table("fx_symbols").filter(F.col("build").endswith("1")))
+    return dictionary.extend(None, fx.table("fx_symbols").filter(F.length("name") <= 6))
 
 
 def full_dictionary(fx):
