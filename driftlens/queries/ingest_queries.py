@@ -140,9 +140,9 @@ def _(fx):
     return selection.in_tier(fx.builds(), ("1-URGENT", "LTSC-2", "LTSC-3")).select("symbol_key")
 
 
-@query("q_fil3_resume", "select distinct sha256 from fx_index where sha256 not in (select symbol_key from fx_builds)")
+@query("q_fil3_resume", "select distinct sha256 from fx_index where sha256 not in (select symbol_key from fx_builds where machine = 'x86')")
 def _(fx):
-    stored = fx.builds().withColumn("sha256", F.array("symbol_key"))
+    stored = fx.builds().filter("machine = 'x86'").withColumn("sha256", F.array("symbol_key"))
     return selection.not_yet_stored(fx.table("fx_index").select("sha256").distinct(), stored)
 
 
@@ -214,11 +214,10 @@ def _(fx):
 
 
 @query("q_joi26_key_cache", """
-select sha256, max(symbol_key) as symbol_key from (
- select i.sha256, coalesce(b.symbol_key || '-cached', i.sha256 || '-read') as symbol_key from (select distinct sha256 from fx_index) i left join fx_builds b on b.symbol_key = i.sha256
- union all select symbol_key, symbol_key || '-cached' from fx_builds where symbol_key not in (select sha256 from fx_index)) t group by sha256""")
+select i.sha256, coalesce(b.symbol_key || '-cached', i.sha256 || '-read') as symbol_key from (select distinct sha256 from fx_index) i
+left join (select * from fx_builds where machine <> 'arm64') b on b.symbol_key = i.sha256""")
 def _(fx):
-    cache = fx.builds().select(F.col("symbol_key").alias("sha256"), F.concat("symbol_key", F.lit("-cached")).alias("symbol_key"))
+    cache = fx.builds().filter("machine <> 'arm64'").select(F.col("symbol_key").alias("sha256"), F.concat("symbol_key", F.lit("-cached")).alias("symbol_key"))
     looked = resolve.with_cached_keys(fx.table("fx_index").select("sha256").distinct(), cache)
     read = looked.filter(F.col("symbol_key").isNull()).withColumn("symbol_key", F.concat("sha256", F.lit("-read")))
     return resolve.updated_cache(cache, read)
