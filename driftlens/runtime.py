@@ -22,18 +22,23 @@ def session(app: str = "driftlens", master: str | None = None, **conf: str) -> S
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
+    running = SparkSession.getActiveSession()
     for key, value in {**defaults, **conf}.items():
-        builder = builder.config(key, value)
+        if running is None or running.conf.get(key, None) is None:
+            builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a session that names none (local tests) gets a temporary folder of its own.
+    A local session that names none gets a temporary folder of its own. On a cluster the setting is required: executors
+    would otherwise write to disks of their own that the others cannot read.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="driftlens-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")

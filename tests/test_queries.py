@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registry
+from driftlens.queries import load
 from driftlens.queries.fx import TABLES, Fx
 
 FOLDER = "/root/testdata/sf0.001"
@@ -25,7 +26,8 @@ def test_query_equals_sql(spark, name):
 
 
 def test_every_query_has_sql():
-    assert set(registry.queries()) == set(registry.oracle_sql())
+    known, oracles = load()
+    assert set(known) == set(oracles)
 
 
 def test_scan_reads_only_needed_columns(spark):
