@@ -44,7 +44,7 @@ def op8(spark, folder):
 
 OP9_SQL = r"""
 WITH sized AS (
-  SELECT doc_id, source, coalesce(len(list_filter(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+'), x -> x <> '')), 0)::BIGINT AS size FROM documents),
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^ \t\n\x0B\f\r]+')), 0)::BIGINT AS size FROM documents),
 total AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
 ranked AS (SELECT *, 2 * source_size AS cap, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS w FROM total),
 ordered AS (
