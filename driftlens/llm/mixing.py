@@ -7,7 +7,7 @@ if its hash falls below the fraction of the rate: no state, no order, the same o
 Defined results: a null text has size 0; a null source is a source of its own and comes last; the draw depends on the
 seed and ``doc_id`` alone, so repeated rows of a document are drawn alike; a null id draws as the text "null"; sources
 without words get target 0 and rate 0; an empty table gives an empty table. Only ``taken``/copies are decided here, so
-extra columns pass through ``mix`` untouched; its own columns start with an underscore while it works.
+extra columns pass through ``mix`` untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -81,7 +81,8 @@ def mix(docs: DataFrame, seed: int = 42, id_col: str = "doc_id", text_col: str =
     """The mixed rows themselves: every column of ``docs``, each row as often as it is taken."""
     sizes = docs.select(F.col(source_col).cast("string").alias("_source"), n_words(F.col(text_col)).alias("size")).groupBy("_source").agg(F.sum("size").alias("size"))
     goal = targets(durable(sizes, "mix-sizes"), **settings).select(F.col("_source").alias("_of"), F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)).alias("_rate"))
-    joined = docs.join(goal, F.col(source_col).cast("string").eqNullSafe(F.col("_of")), "left")
-    copies = F.floor("_rate") + F.when(draw(seed, F.col(id_col)) < F.col("_rate") - F.floor("_rate"), 1).otherwise(0)
-    repeated = joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies.cast("int"))))
-    return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"))
+    joined = rows.join(goal, F.col("source").eqNullSafe(F.col("_of")), "left")
+    copies = F.floor("_rate") + F.when(draw(seed, F.col("id")) < F.col("_rate") - F.floor("_rate"), 1).otherwise(0)
+    repeated = joined.withColumn("copy", F.explode(F.array_repeat(F.lit(0), copies.cast("int"))))
+    return repeated.select(*[F.col(f"row.`{c}`") for c in docs.columns])

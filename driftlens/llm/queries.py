@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from driftlens.llm import mixing, pieces, simhash, tokens
+from driftlens.llm import lines, mixing, pieces, simhash, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,11 +32,22 @@ def op1(spark, folder):
     return simhash.groups(documents(spark, folder), words=3, seed=42, distance=3).drop("fp")
 
 
+@query("op4_line_dedup")
+def op4(spark, folder):
+    return lines.report(documents(spark, folder))
+
+
 @query("op6_token_counts")
 def op6(spark, folder):
     return tokens.count_tokens(documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
+@query("op7_toxicity")
+def op7(spark, folder):
+    docs = documents(spark, folder)
+    return toxicity.score(docs, toxicity.fit(docs, spark.read.parquet(f"{folder}/labels.parquet")))
+
+
 @query("op8_sentencepiece_codec")
 def op8(spark, folder):
     return pieces.digest(documents(spark, folder), public_tokenizers.path("piece_bpe_32k.model"))
@@ -51,7 +62,7 @@ ordered AS (
   SELECT *, coalesce(sum(cap) OVER (ORDER BY cap / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS spent,
          sum(w) OVER (ORDER BY cap / w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open FROM ranked),
 level AS (
-  SELECT min(((SELECT sum(source_size) FROM total) * 3 / 2 - spent) / open) AS v FROM ordered
+  SELECT arg_min(((SELECT sum(source_size) FROM total) * 3 / 2 - spent) / open, cap / w) AS v FROM ordered
   WHERE w * (((SELECT sum(source_size) FROM total) * 3 / 2 - spent) / open) < cap),
 goal AS (SELECT source, source_size, CASE WHEN v IS NULL OR w * v >= cap THEN cap::DOUBLE ELSE w * v END AS target FROM ranked, level),
 rated AS (
