@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from driftlens.llm import lines, mixing, pieces, simhash, tokens, toxicity
+from driftlens.llm import lines, mixing, pieces, quality, simhash, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,6 +32,11 @@ def op1(spark, folder):
     return simhash.groups(documents(spark, folder), words=3, seed=42, distance=3).drop("fp")
 
 
+@query("op2_quality_rules")
+def op2(spark, folder):
+    return quality.judge(documents(spark, folder)).drop("lang", "source")
+
+
 @query("op4_line_dedup")
 def op4(spark, folder):
     return lines.report(documents(spark, folder))
