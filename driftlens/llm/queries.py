@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from driftlens.llm import lines, mixing, pieces, quality, simhash, tokens, toxicity
+from driftlens.llm import chat, lines, mixing, pieces, quality, simhash, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,6 +37,36 @@ def op2(spark, folder):
     return quality.judge(documents(spark, folder)).drop("lang", "source")
 
 
+OP3_SQL = """
+WITH pairs AS (SELECT DISTINCT floor(conv_id / 2)::BIGINT AS pair_id FROM conversations WHERE conv_id IS NOT NULL),
+said AS (
+  SELECT floor(conv_id / 2)::BIGINT AS pair_id, conv_id % 2 AS side, role, text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS pos FROM conversations WHERE conv_id IS NOT NULL),
+both_sides AS (SELECT coalesce(a.pair_id, b.pair_id) AS pair_id, coalesce(a.pos, b.pos) AS pos,
+         a.pos IS NOT NULL AND b.pos IS NOT NULL AND a.role IS NOT DISTINCT FROM b.role AND a.text IS NOT DISTINCT FROM b.text AS alike
+  FROM (SELECT * FROM said WHERE side = 0) a FULL JOIN (SELECT * FROM said WHERE side = 1) b ON a.pair_id = b.pair_id AND a.pos = b.pos),
+prefix AS (SELECT pair_id, coalesce(min(pos) FILTER (WHERE NOT alike), max(pos) + 1) - 1 AS n FROM both_sides GROUP BY pair_id),
+made AS (
+  SELECT s.*, n, '<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10) AS r, CASE WHEN pos <= n THEN 2 ELSE side END AS part
+  FROM said s JOIN prefix USING (pair_id)),
+placed AS (SELECT *, coalesce(sum(length(r)) OVER (PARTITION BY pair_id, side, part ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 13 + length(coalesce(role, '')) AS b FROM made),
+parts AS (
+  SELECT pair_id, max(n) AS n, count(*) FILTER (WHERE part = 0) AS na, count(*) FILTER (WHERE part = 1) AS nb,
+         string_agg(r, '' ORDER BY pos) FILTER (WHERE part = 2 AND side = 0) AS p, string_agg(r, '' ORDER BY pos) FILTER (WHERE part = 0) AS a, string_agg(r, '' ORDER BY pos) FILTER (WHERE part = 1) AS c,
+         string_agg(b::BIGINT || '-' || (b + length(coalesce(text, '')))::BIGINT, ',' ORDER BY pos) FILTER (WHERE part = 0 AND role = 'assistant') AS ma,
+         string_agg(b::BIGINT || '-' || (b + length(coalesce(text, '')))::BIGINT, ',' ORDER BY pos) FILTER (WHERE part = 1 AND role = 'assistant') AS mb
+  FROM placed GROUP BY pair_id)
+SELECT pair_id, pair_id * 2 AS chosen_id, pair_id * 2 + 1 AS rejected_id, n::INT AS n_prompt_turns, na::INT AS n_chosen_turns, nb::INT AS n_rejected_turns,
+       coalesce(p, '') AS prompt, coalesce(a, '') AS chosen, coalesce(c, '') AS rejected, coalesce(ma, '') AS chosen_mask, coalesce(mb, '') AS rejected_mask FROM parts"""
+
+
+@query("op3_preference_format", OP3_SQL)
+def op3(spark, folder):
+    turns = spark.read.parquet(f"{folder}/conversations.parquet")
+    made = chat.preferences(turns, chat.neighbour_pairs(turns))
+    return made.withColumns({c: chat.mask_text(made[c]) for c in ("chosen_mask", "rejected_mask")})
+
+
 @query("op4_line_dedup")
 def op4(spark, folder):
     return lines.report(documents(spark, folder))
