@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from driftlens.llm import chat, lines, mixing, pieces, quality, simhash, tokens, toxicity
+from driftlens.llm import chat, lattice, lines, mixing, pieces, quality, simhash, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -72,6 +72,11 @@ def op4(spark, folder):
     return lines.report(documents(spark, folder))
 
 
+@query("op5_embedding_near_dedup")
+def op5(spark, folder):
+    return lattice.near_duplicates(spark.read.parquet(f"{folder}/embeddings.parquet"), least=0.98)
+
+
 @query("op6_token_counts")
 def op6(spark, folder):
     return tokens.count_tokens(documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
