@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from driftlens.llm import chat, lattice, lines, mixing, pieces, quality, simhash, tokens, toxicity
+from driftlens.llm import chat, lattice, lines, mixing, pieces, quality, simhash, suffixes, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -117,3 +117,8 @@ FROM rated"""
 @query("op9_source_mixing", OP9_SQL)
 def op9(spark, folder):
     return mixing.plan(documents(spark, folder), seed=42, weights=(3, 1, 2), share=(3, 2), most=2)
+
+
+@query("op10_suffix_array_dedup")
+def op10(spark, folder):
+    return suffixes.report(documents(spark, folder), length=100)
