@@ -5,14 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-PARTS = 4
+PARTS, DIGITS = 4, 38
 
 
 def version_key(version: Column) -> Column:
-    """``array<bigint>`` of four parts; parts that are not all digits are left out, short keys padded."""
+    """Array of four whole numbers; parts that are not all digits are left out, short keys padded.
+
+    Parts beyond 38 digits count as the largest number that fits, so no version string can fail a job.
+    """
     digits = F.regexp_extract_all(F.coalesce(version, F.lit("")), F.lit(r"(?:^|\.)(\d+)(?=\.|\z)"), 1)
-    zeros = F.array(*[F.lit(0).cast("bigint")] * PARTS)
-    return F.slice(F.concat(digits.cast("array<bigint>"), zeros), 1, PARTS)
+    def fitted(part: Column) -> Column:
+        plain = F.regexp_replace(part, "^0+(?=.)", "")
+        return F.when(F.length(plain) > DIGITS, F.lit("9" * DIGITS)).otherwise(plain)
+
+    zeros = F.array(*[F.lit(0).cast(f"decimal({DIGITS},0)")] * PARTS)
+    return F.slice(F.concat(F.transform(digits, fitted).cast(f"array<decimal({DIGITS},0)>"), zeros), 1, PARTS)
 
 
 def version_key_text(version: Column) -> Column:

@@ -57,22 +57,28 @@ def enum_bodies(constants: DataFrame) -> DataFrame:
         F.concat_ws(".", "_body", F.col("size").cast("string")).alias("blob"))
 
 
-def with_representative(manifest: DataFrame) -> DataFrame:
-    """Add ``rep``, for each distinct body the one layout its rows are read from."""
-    reps = manifest.groupBy("kind", "name", "blob").agg(F.min("layout").alias("rep"))
-    return manifest.join(reps, ["kind", "name", "blob"])
-
-
 def changed_names(pairs: DataFrame, manifest: DataFrame) -> DataFrame:
     """Per layout pair the (kind, name) whose body differs, including names on one side only.
 
     ``blob`` may be any content id: a fingerprint from here or a stored hash.
     """
     def side(own: str) -> DataFrame:
-        return (pairs.join(manifest.withColumnRenamed("layout", own), own)
-                .select(*PAIR, "kind", "name", "size", "blob", "rep"))
+        return pairs.join(manifest.withColumnRenamed("layout", own), own).select(*PAIR, "kind", "name", "size", "blob")
+
+    return two_sided(side("layout_from"), side("layout_to"), [*PAIR, "kind", "name"], ["size", "blob"]).filter(differs("blob"))
 
-    return two_sided(side("layout_from"), side("layout_to"), [*PAIR, "kind", "name"], ["size", "blob", "rep"]).filter(differs("blob"))
+
+def with_representatives(names: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Add ``rep_from`` and ``rep_to``, for each body of ``names`` the one layout its rows are read from.
+
+    Only bodies that take part in a change are looked up: one that all layouts share never meets itself.
+    """
+    body = ["kind", "name", "blob"]
+    used = names.select("kind", "name", F.explode(F.array_compact(F.array("blob_from", "blob_to"))).alias("blob")).distinct()
+    reps = manifest.join(used, body, "left_semi").groupBy(*body).agg(F.min("layout").alias("rep"))
+    for side in ("_from", "_to"):
+        names = names.join(reps.withColumnsRenamed({"blob": f"blob{side}", "rep": f"rep{side}"}), ["kind", "name", f"blob{side}"], "left")
+    return names
 
 
 def status(names: DataFrame) -> DataFrame:

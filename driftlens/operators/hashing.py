@@ -5,7 +5,9 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,9 +17,6 @@ from driftlens.operators.ordering import top_per_group
 LAYOUT_SCHEMA_VERSION = 2
 BLOB_DIGITS = 12
 
-# Groups up to this many lines are put together in one row; longer ones are hashed as a sorted stream.
-GATHER_LINES = 200_000
-
 BODY = ["layout", "kind", "name", "size"]
 
 
@@ -59,68 +58,71 @@ def _with_heads(mark: str, declared: DataFrame, rows: DataFrame) -> DataFrame:
 LINE_ORDER = ["rank", "at", "item", "rest"]
 
 
+def _changes(column: pa.Array) -> np.ndarray:
+    """Where a value of a column differs from the one before; null equals null."""
+    before, after = column.slice(0, len(column) - 1), column.slice(1)
+    other = pc.fill_null(pc.not_equal(before, after), False)
+    return pc.or_(other, pc.not_equal(pc.is_null(before), pc.is_null(after))).to_numpy(zero_copy_only=False)
+
+
 def _stream_digests(keys: list[str], tail: bytes):
-    """Digest of each run of equal keys in sorted lines, updated line by line."""
+    """Digest of each run of equal keys in sorted lines; the part of a run that a batch holds is joined and hashed at once."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, digest, begun = None, None, False
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, digest = None, None
         for batch in batches:
-            done = []
-            for row in batch.itertuples(index=False):
-                key, line = tuple(row[:-1]), row[-1]
-                if key != current:
-                    if current is not None:
-                        digest.update(tail)
-                        done.append((*current, digest.hexdigest()))
-                    current, digest, begun = key, hashlib.sha256(), False
-                digest.update((("\n" if begun else "") + line).encode())
-                begun = True
-            yield pd.DataFrame(done, columns=[*keys, "digest"])
+            if not batch.num_rows:
+                continue
+            changed = np.zeros(batch.num_rows - 1, bool)
+            for k in range(len(keys)):
+                changed |= _changes(batch.column(k))
+            edges = [0, *(np.nonzero(changed)[0] + 1), batch.num_rows]
+            lines, done = batch.column(len(keys)).to_pylist(), []
+            for begin, end in zip(edges[:-1], edges[1:], strict=True):
+                key, part = tuple(batch.column(k)[begin].as_py() for k in range(len(keys))), "\n".join(lines[begin:end]).encode()
+                if key == current:
+                    digest.update(b"\n" + part)
+                    continue
+                if current is not None:
+                    digest.update(tail)
+                    done.append((*current, digest.hexdigest()))
+                current, digest = key, hashlib.sha256(part)
+            yield finished(batch.schema, done)
         if current is not None:
             digest.update(tail)
-            yield pd.DataFrame([(*current, digest.hexdigest())], columns=[*keys, "digest"])
+            yield finished(batch.schema, [(*current, digest.hexdigest())])
+
+    def finished(schema: pa.Schema, done: list[tuple]) -> pa.RecordBatch:
+        kinds = [*(schema.field(k).type for k in range(len(keys))), pa.string()]
+        return pa.RecordBatch.from_arrays([pa.array([row[k] for row in done], kind) for k, kind in enumerate(kinds)], names=[*keys, "digest"])
 
     return run
 
 
-def digest_lines(lines: DataFrame, keys: list[str], order: list[str], trailing_newline: bool, gather: int | None = None) -> DataFrame:
+def digest_lines(lines: DataFrame, keys: list[str], order: list[str], trailing_newline: bool) -> DataFrame:
     """SHA-256 over the newline-joined ``line`` values of each group, in ``order``.
 
-    The digest is sequential by definition, so one group is read by one task; a group too long to sit in
-    a row is not gathered but streamed through that task from a sorted, spillable shuffle. The sizes are
-    counted first, which costs one partial aggregate.
+    The digest is sequential by definition, so one group is read by one task; it is never gathered there but streamed
+    from a sorted, spillable shuffle, however long it is.
     """
-    gather = GATHER_LINES if gather is None else gather
-    tail = "\n" if trailing_newline else ""
-    counts = lines.groupBy(*keys).agg(F.count("*").alias("_lines"))
-    longest = counts.agg(F.max("_lines")).head()[0] or 0
-
-    def gathered(rows: DataFrame) -> DataFrame:
-        return rows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*order, "line"))).alias("_l")).select(
-            *keys, F.sha2(F.concat(F.array_join(F.col("_l.line"), "\n"), F.lit(tail)), 256).alias("digest"))
-
-    if longest <= gather:
-        return gathered(lines)
-    long = counts.filter(F.col("_lines") > gather).select(*keys)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in lines.select(*keys).schema) + ", digest string"
-    streamed = (lines.join(long, keys, "left_semi").repartition(*keys).sortWithinPartitions(*keys, *order)
-                .select(*keys, "line").mapInPandas(_stream_digests(keys, tail.encode()), schema))
-    return gathered(lines.join(long, keys, "left_anti")).unionByName(streamed)
+    sorted_ = lines.repartition(*keys).sortWithinPartitions(*keys, *order).select(*keys, "line")
+    return sorted_.mapInArrow(_stream_digests(keys, b"\n" if trailing_newline else b""), schema)
 
 
 def blob_id(digest: Column) -> Column:
     return F.substring(digest, 1, BLOB_DIGITS)
 
 
-def manifest(lines: DataFrame, gather: int | None = None) -> DataFrame:
+def manifest(lines: DataFrame) -> DataFrame:
     """(layout, kind, name, size, blob): each definition under the id of its canonical text."""
-    return digest_lines(lines, BODY, LINE_ORDER, False, gather).select(*BODY, blob_id(F.col("digest")).alias("blob"))
+    return digest_lines(lines, BODY, LINE_ORDER, False).select(*BODY, blob_id(F.col("digest")).alias("blob"))
 
 
-def layout_hash(lines: DataFrame, gather: int | None = None) -> DataFrame:
+def layout_hash(lines: DataFrame) -> DataFrame:
     """(layout, hash) over all types by name, then all enums by name. Addresses and union groups are not part of it."""
     ranked = lines.withColumn("_section", F.when(F.col("kind") == "type", 0).otherwise(1))
-    digests = digest_lines(ranked, ["layout"], ["_section", "name", *LINE_ORDER], True, gather)
+    digests = digest_lines(ranked, ["layout"], ["_section", "name", *LINE_ORDER], True)
     return digests.select("layout", F.concat(F.lit(f"v{LAYOUT_SCHEMA_VERSION}:sha256:"), F.col("digest")).alias("hash"))
 
 

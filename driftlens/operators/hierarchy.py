@@ -1,7 +1,8 @@
 """Record tables with references: canonical records, flattening, sizes, declared types, continuations.
 
 References are followed level by level with joins. Each level is written once, so the plan stays short and
-a lost executor costs one level; the loops end as soon as no row is left, at the latest at the depth bound.
+a lost executor costs one level; the loops end when no row is left. Every row carries what it has passed, so a cycle is
+recognised where it closes, at any depth.
 """
 
 from __future__ import annotations
@@ -14,13 +15,6 @@ from driftlens.functions.primitives import primitive_name, primitive_size
 from driftlens.operators.ordering import positions_within
 from driftlens.runtime import durable
 
-# How deep anonymous nesting, declared types and enum continuations are followed.
-FLATTEN_DEPTH = 16
-RENDER_DEPTH = 12
-CONTINUATION_DEPTH = 8
-# Doubling rounds for size references; 2**6 hops. Longer chains can only be cycles.
-SIZE_ROUNDS = 6
-
 
 def canonical_records(records: DataFrame, group: tuple[str, ...] = ("kind_group", "name"), index: str = "idx") -> DataFrame:
     """One record per name: the last definition, or the first forward reference if there is no definition."""
@@ -49,35 +43,40 @@ def flatten(roots: DataFrame, fields: DataFrame) -> DataFrame:
 
     ``roots`` is (root, list_id); ``fields`` is (list_id, ord, member, off, kind, child_list). A member is
     expanded by its own name, not the name of its type. ``union_group`` numbers the outermost anonymous
-    unions of a root in walk order; their members, however deep, may share bytes.
+    unions of a root in walk order; their members, however deep, may share bytes. Equal members count once. A list
+    that contains itself has no members to write out: the job fails and names it.
     """
     path, opened = F.col("_path"), F.col("_union")
     level = durable(roots.select("root", "list_id", F.lit(0).cast("bigint").alias("_base"), F.array().cast("array<int>").alias("_path"),
-                                 F.lit(None).cast("array<int>").alias("_union")), "flatten")
+                                 F.lit(None).cast("array<int>").alias("_union"), F.array("list_id").alias("_passed")), "flatten")
     members, unions = None, None
-    for _ in range(FLATTEN_DEPTH + 1):
+    while True:
         met = level.join(fields, "list_id").withColumn("_path", F.concat(path, F.array(F.col("ord").cast("int"))))
         expands = is_transparent_member(F.col("member")) & F.col("kind").isin("class", "union")
         plain = met.filter(~expands).select("root", "member", (F.col("_base") + F.col("off")).alias("off"), "_path", "_union",
                                             *[c for c in fields.columns if c not in ("list_id", "ord", "member", "off", "child_list")])
         members = plain if members is None else members.unionByName(plain)
+        closes = F.raise_error(F.concat(F.lit("field list contains itself: "), F.col("child_list").cast("string")))
+        child = F.when(F.array_contains("_passed", F.col("child_list")), closes.cast(fields.schema["child_list"].dataType)).otherwise(F.col("child_list"))
         level = durable(met.filter(expands & F.col("child_list").isNotNull()).select(
-            "root", F.col("child_list").alias("list_id"), (F.col("_base") + F.col("off")).alias("_base"), "_path",
-            F.coalesce(opened, F.when(F.col("kind") == "union", path)).alias("_union")), "flatten")
+            "root", child.alias("list_id"), (F.col("_base") + F.col("off")).alias("_base"), "_path",
+            F.coalesce(opened, F.when(F.col("kind") == "union", path)).alias("_union"),
+            F.concat("_passed", F.array("child_list")).alias("_passed")), "flatten")
         begun = level.filter(opened == path).select("root", "_union")
         unions = begun if unions is None else unions.unionByName(begun)
         if _is_empty(level):
             break
     numbers = positions_within(unions, ["root"], ["_union"], "_nth").select("root", "_union", (F.col("_nth") + 1).alias("union_group"))
     return (members.join(numbers, ["root", "_union"], "left")
-            .withColumn("union_group", F.coalesce("union_group", F.lit(0).cast("bigint"))).drop("_union", "_path"))
+            .withColumn("union_group", F.coalesce("union_group", F.lit(0).cast("bigint"))).drop("_union", "_path").dropDuplicates())
 
 
 def resolve_sizes(records: DataFrame) -> DataFrame:
     """(idx, bytes) of what each record denotes.
 
     Every record either states its size or refers to one other record; references are followed by
-    doubling, so a chain of n hops takes log n joins.
+    doubling, so a chain of n hops takes log n joins. What still refers after as many rounds as all records
+    together could need is part of a cycle and denotes nothing: 0.
     """
     # A forward reference takes the size of its definition, found by name.
     chosen = canonical_records(records).select("kind_group", "name", F.col("idx").alias("_definition"))
@@ -88,7 +87,7 @@ def resolve_sizes(records: DataFrame) -> DataFrame:
     stated = (F.when(kind == "primitive", primitive_size(F.col("primitive"), F.col("indirection")))
               .when(aggregate | kind.isin("array", "pointer"), F.coalesce(F.col("size"), F.lit(0)).cast("bigint")).otherwise(F.lit(0).cast("bigint")))
     state = durable(records.join(chosen, ["kind_group", "name"], "left").select("idx", refers.alias("_to"), stated.alias("bytes")), "sizes")
-    for _ in range(SIZE_ROUNDS):
+    for _ in range(state.count().bit_length() + 1):
         if _is_empty(state.filter(F.col("_to").isNotNull())):
             break
         target = state.select(F.col("idx").alias("_to"), F.col("_to").alias("_next"), F.col("bytes").alias("_bytes"))
@@ -105,7 +104,7 @@ def render_types(records: DataFrame, sizes: DataFrame) -> DataFrame:
     """(idx, declared) with the C spelling of each record; '' where anything on the way is unresolvable.
 
     The chain from a record to its innermost type is collected as a list of wrappers, outermost first,
-    and folded from the inside out. An empty inner text makes the whole empty.
+    and folded from the inside out. An empty inner text makes the whole empty, and so does a cycle.
     """
     kind = F.col("kind")
     stride = sizes.select(F.col("idx").alias("underlying"), F.col("bytes").alias("_stride"))
@@ -119,9 +118,9 @@ def render_types(records: DataFrame, sizes: DataFrame) -> DataFrame:
     nodes = durable(records.join(stride, "underlying", "left").select(
         "idx", F.when(wraps, F.struct(kind.alias("kind"), extra.alias("extra"))).alias("_wrap"), F.when(wraps, F.col("underlying")).alias("_inner"), text.alias("_text")), "nodes")
 
-    level = nodes.select("idx", F.array_compact(F.array("_wrap")).alias("_wraps"), "_inner", "_text")
+    level = nodes.select("idx", F.array_compact(F.array("_wrap")).alias("_wraps"), "_inner", "_text", F.array("idx").alias("_passed"))
     finished = None
-    for _ in range(RENDER_DEPTH):
+    while True:
         level = durable(level, "render")
         done = level.filter(F.col("_inner").isNull()).select("idx", "_wraps", "_text")
         finished = done if finished is None else finished.unionByName(done)
@@ -129,11 +128,10 @@ def render_types(records: DataFrame, sizes: DataFrame) -> DataFrame:
         if _is_empty(open_):
             break
         inner = nodes.select(F.col("idx").alias("_inner"), F.col("_wrap").alias("_w"), F.col("_inner").alias("_next"), F.col("_text").alias("_t"))
+        again = F.array_contains("_passed", F.col("_inner"))
         level = open_.join(inner, "_inner", "left").select(
-            "idx", F.concat("_wraps", F.array_compact(F.array("_w"))).alias("_wraps"), F.col("_next").alias("_inner"), F.coalesce("_t", F.lit("")).alias("_text"))
-    else:
-        done = level.select("idx", "_wraps", F.when(F.col("_inner").isNull(), F.col("_text")).otherwise("").alias("_text"))
-        finished = finished.unionByName(done)
+            "idx", F.concat("_wraps", F.array_compact(F.array("_w"))).alias("_wraps"), F.when(~again, F.col("_next")).alias("_inner"),
+            F.when(again, F.lit("")).otherwise(F.coalesce("_t", F.lit(""))).alias("_text"), F.concat("_passed", F.array("_inner")).alias("_passed"))
 
     def wrap(state: Column, step: Column) -> Column:
         text, inner = state["text"], state["kind"]
@@ -152,14 +150,19 @@ def render_types(records: DataFrame, sizes: DataFrame) -> DataFrame:
 
 
 def enum_constants(enums: DataFrame, lists: DataFrame, constants: DataFrame) -> DataFrame:
-    """(enum_name, name, value) over the field list of each enum and its continuations, duplicates removed."""
-    level = enums.select("enum_name", "list_id")
+    """(enum_name, name, value) over the field list of each enum and its continuations, duplicates removed.
+
+    A continuation that was read already is not read again, so lists in a cycle each count once.
+    """
+    level = enums.select("enum_name", "list_id", F.array("list_id").alias("_passed"))
     found = None
-    for _ in range(CONTINUATION_DEPTH + 1):
+    while True:
         level = durable(level, "continuation")
         here = level.join(constants, "list_id").select("enum_name", "name", "value")
         found = here if found is None else found.unionByName(here)
         if _is_empty(level):
             break
-        level = level.join(lists, "list_id").filter(F.col("continuation").isNotNull()).select("enum_name", F.col("continuation").alias("list_id"))
+        ahead = F.col("continuation").isNotNull() & ~F.array_contains("_passed", F.col("continuation"))
+        level = level.join(lists, "list_id").filter(ahead).select(
+            "enum_name", F.col("continuation").alias("list_id"), F.concat("_passed", F.array("continuation")).alias("_passed"))
     return found.dropDuplicates()

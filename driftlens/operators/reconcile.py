@@ -32,6 +32,16 @@ def sizes(members: DataFrame) -> DataFrame:
     return members.groupBy(*TYPE).agg(F.max(F.col("off") + F.col("sz")).alias("type_size"), F.count("*").alias("n_members"))
 
 
+def declared_sizes(types: DataFrame, members: DataFrame) -> DataFrame:
+    """(layout, type_name, type_size, n_members) of declared types, those without members too."""
+    counts = members.groupBy(*TYPE).agg(F.count("*").alias("n_members"))
+    return types.select(*TYPE, "type_size").join(counts, TYPE, "left").fillna(0, ["n_members"])
+
+
+def _shared(oracle: DataFrame, subject: DataFrame, key: list[str]) -> DataFrame:
+    return oracle.select(*key).distinct().join(subject.select(*key).distinct(), key)
+
+
 def compared_names(oracle: DataFrame, subject: DataFrame, requested: DataFrame | None = None) -> DataFrame:
     """(layout, type_name) to examine: the union of both readings, or only requested names."""
     names = oracle.select(*TYPE).unionByName(subject.select(*TYPE)).distinct()
@@ -53,16 +63,19 @@ def type_findings(sides: DataFrame) -> DataFrame:
                  _text("size ", hex_lower(F.col("type_size_got")), " != oracle ", hex_lower(F.col("type_size_want"))))])
 
 
-def member_sides(oracle: DataFrame, subject: DataFrame) -> DataFrame:
-    """Members of types that both readings hold."""
-    shared = oracle.select(*TYPE).distinct().join(subject.select(*TYPE).distinct(), TYPE)
+def member_sides(oracle: DataFrame, subject: DataFrame, oracle_types: DataFrame | None = None, subject_types: DataFrame | None = None) -> DataFrame:
+    """Members of types that both readings declare, so a type that lost all its members on one side counts.
+
+    Where a reading states no types, those of its members stand for them.
+    """
+    shared = _shared(oracle if oracle_types is None else oracle_types, subject if subject_types is None else subject_types, TYPE)
     keys = [*TYPE, "member"]
     want = last_of_name(oracle.join(shared, TYPE, "left_semi"), keys, MEMBER)
     return two_sided(want, last_of_name(subject.join(shared, TYPE, "left_semi"), keys, MEMBER), keys, MEMBER, SIDES)
 
 
-def member_findings(oracle: DataFrame, subject: DataFrame) -> DataFrame:
-    return classify_members(member_sides(oracle, subject))
+def member_findings(oracle: DataFrame, subject: DataFrame, oracle_types: DataFrame | None = None, subject_types: DataFrame | None = None) -> DataFrame:
+    return classify_members(member_sides(oracle, subject, oracle_types, subject_types))
 
 
 def classify_members(sides: DataFrame) -> DataFrame:
@@ -79,30 +92,36 @@ def classify_members(sides: DataFrame) -> DataFrame:
         _finding(both & differs("sz", SIDES), "warning", "size", _text(m, ": size ", F.col("sz_got"), " != oracle ", F.col("sz_want")))])
 
 
-def enum_sides(oracle: DataFrame, subject: DataFrame) -> DataFrame:
-    def enums(constants: DataFrame) -> DataFrame:
-        return constants.groupBy("layout", "enum_name").agg(F.max("enum_size").alias("enum_size"))
+ENUM = ["layout", "enum_name"]
+
+
+def enums_of(constants: DataFrame) -> DataFrame:
+    """(layout, enum_name, enum_size) where enums are not declared."""
+    return constants.groupBy(*ENUM).agg(F.max("enum_size").alias("enum_size"))
+
 
-    return two_sided(enums(oracle), enums(subject), ["layout", "enum_name"], ["enum_size"], SIDES)
+def enum_sides(oracle_enums: DataFrame, subject_enums: DataFrame) -> DataFrame:
+    return two_sided(oracle_enums, subject_enums, ENUM, ["enum_size"], SIDES)
 
 
-def constant_sides(oracle: DataFrame, subject: DataFrame) -> DataFrame:
-    key = ["layout", "enum_name"]
-    shared = oracle.select(*key).distinct().join(subject.select(*key).distinct(), key)
+def constant_sides(oracle: DataFrame, subject: DataFrame, oracle_enums: DataFrame | None = None, subject_enums: DataFrame | None = None) -> DataFrame:
+    key = ENUM
+    shared = _shared(oracle if oracle_enums is None else oracle_enums, subject if subject_enums is None else subject_enums, key)
     keys = [*key, "name"]
     want = last_of_name(oracle.join(shared, key, "left_semi"), keys, ["value"])
     return two_sided(want, last_of_name(subject.join(shared, key, "left_semi"), keys, ["value"]), keys, ["value"], SIDES)
 
 
-def enum_findings(oracle: DataFrame, subject: DataFrame) -> DataFrame:
-    """Enums by the union of names, then the constants of shared enums."""
+def enum_findings(oracle: DataFrame, subject: DataFrame, oracle_enums: DataFrame | None = None, subject_enums: DataFrame | None = None) -> DataFrame:
+    """Enums by the union of names, then the constants of enums that both readings declare."""
+    want, got = (enums_of(rows) if enums is None else enums for rows, enums in ((oracle, oracle_enums), (subject, subject_enums)))
     both = F.col("in_left") & F.col("in_right")
-    enums = _emit(enum_sides(oracle, subject), "enum_name", [
+    enums = _emit(enum_sides(want, got), "enum_name", [
         _finding(~F.col("in_left"), "fatal", "invented", F.lit("enum invented by subject")),
         _finding(~F.col("in_right"), "fatal", "absent", F.lit("enum absent from subject output")),
         _finding(both & differs("enum_size", SIDES), "fatal", "size", _text("enum size ", F.col("enum_size_got"), " != oracle ", F.col("enum_size_want")))])
     name = F.col("name")
-    constants = _emit(constant_sides(oracle, subject), "enum_name", [
+    constants = _emit(constant_sides(oracle, subject, want, got), "enum_name", [
         _finding(~F.col("in_right"), "fatal", "constant_missing", _text("constant '", name, "' missing")),
         _finding(~F.col("in_left"), "fatal", "constant_invented", _text("constant '", name, "' invented")),
         _finding(both & differs("value", SIDES), "fatal", "value", _text(name, " = ", F.col("value_got"), " != oracle ", F.col("value_want")))])
@@ -124,15 +143,18 @@ def symbol_findings(oracle: DataFrame, subject: DataFrame) -> DataFrame:
 
 
 def counters(oracle: DataFrame, subject: DataFrame, oracle_constants: DataFrame, subject_constants: DataFrame,
-             oracle_symbols: DataFrame) -> DataFrame:
+             oracle_symbols: DataFrame, oracle_types: DataFrame | None = None, subject_types: DataFrame | None = None,
+             oracle_enums: DataFrame | None = None, subject_enums: DataFrame | None = None) -> DataFrame:
     """How much was compared, one row per counter."""
     shared = F.col("in_left") & F.col("in_right")
-    types = type_sides(sizes(oracle), sizes(subject)).agg(F.count_if(shared).alias("n"))
-    members = member_sides(oracle, subject).agg(
+    want, got = (sizes(rows) if types is None else declared_sizes(types, rows) for rows, types in ((oracle, oracle_types), (subject, subject_types)))
+    types = type_sides(want, got).agg(F.count_if(shared).alias("n"))
+    members = member_sides(oracle, subject, want, got).agg(
         F.count_if(shared).alias("members"),
         F.count_if(shared & ((F.col("bit_count_want") != 0) | (F.col("bit_count_got") != 0))).alias("bitfields"))
-    enums = enum_sides(oracle_constants, subject_constants).agg(F.count_if(shared).alias("n"))
-    constants = constant_sides(oracle_constants, subject_constants).agg(F.count_if(shared).alias("n"))
+    want, got = (enums_of(rows) if enums is None else enums for rows, enums in ((oracle_constants, oracle_enums), (subject_constants, subject_enums)))
+    enums = enum_sides(want, got).agg(F.count_if(shared).alias("n"))
+    constants = constant_sides(oracle_constants, subject_constants, want, got).agg(F.count_if(shared).alias("n"))
     symbols = oracle_symbols.agg(F.count("*").alias("n"))
 
     def named(df: DataFrame, name: str) -> DataFrame:
@@ -153,4 +175,4 @@ def gate(findings: DataFrame, layouts: DataFrame) -> DataFrame:
 def gate_report(findings: DataFrame, per_layout: int = 4, overall: int = 30) -> DataFrame:
     """The first few fatal findings of each layout, cut to an overall number for reading."""
     fatal = findings.filter(F.col("severity") == "fatal")
-    return top_per_group(fatal, ["layout"], ["entity", "message"], per_layout).orderBy("layout", "nth").limit(overall)
+    return top_per_group(fatal, ["layout"], ["entity", "message", "rule"], per_layout).orderBy("layout", "nth").limit(overall)

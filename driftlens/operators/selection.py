@@ -9,9 +9,8 @@ from driftlens.functions.version import version_key
 from driftlens.operators.ordering import top_per_group
 from driftlens.operators.sequences import place
 
-# Channels of the first tier, and how deep the breadth-first pick goes in one label.
+# Channels of the first tier.
 FIRST_TIER = ("11-26H1", "11-25H2", "11-24H2", "11-23H2", "11-22H2", "22H2")
-MAX_DEPTH = 200
 EVERYTHING = "*"
 
 
@@ -42,15 +41,12 @@ def allowlist_names(groups: DataFrame) -> DataFrame:
 def select_allowed(entities: DataFrame, wanted: DataFrame, name: str = "name") -> DataFrame:
     """Entities named in ``wanted`` (column ``name``); a ``*`` row selects everything.
 
-    Each entity asks for its own name and for the star, so a list of any length stays a semi join.
+    Whether a star is asked for is one bit, looked up first; else a list of any length is a semi join.
     """
     names = wanted.select(F.col("name").alias("_wanted"))
-    star = names.filter(F.col("_wanted") == EVERYTHING).limit(1).select(F.lit(True).alias("_all"))
-    flagged = entities.withColumn("_one", F.lit(True)).join(star, F.col("_one") == F.col("_all"), "left")
-    named = names.distinct().withColumn("_hit", F.lit(True))
-    return (flagged.join(named, flagged[name] == named["_wanted"], "left")
-            .filter(F.col("_all").isNotNull() | F.col("_hit").isNotNull())
-            .select(*entities.columns))
+    if not names.filter(F.col("_wanted") == EVERYTHING).isEmpty():
+        return entities
+    return entities.join(names, entities[name] == names["_wanted"], "left_semi")
 
 
 def missing_names(wanted: DataFrame, entities: DataFrame, name: str = "name") -> DataFrame:
@@ -74,7 +70,7 @@ def stratified(entries: DataFrame, count: int, key: str = "symbol_key", input_or
     turns = placed.groupBy("label").agg(
         F.max("_version").alias("_top"), F.min(F.struct("_in", "channel")).alias("_first"))
     deep = top_per_group(placed.select(key, "label", "_in", "_version"), ["label"],
-                         [F.col("_version").desc(), F.col("_in")], MAX_DEPTH, "_depth")
+                         [F.col("_version").desc(), F.col("_in")], count, "_depth")  # no label can give more than all of them
     turn = F.struct("_depth", F.transform("_top", lambda part: -part).alias("_top"), "_first", "label")
     picked = (deep.join(turns, "label").groupBy(key).agg(F.min(turn).alias("_turn"))
               .orderBy("_turn").limit(count))

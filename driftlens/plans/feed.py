@@ -5,19 +5,25 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftlens.operators import diffing, renames, sequences
 from driftlens.runtime import durable
 
 
+def no_members(spark: SparkSession, builds: DataFrame) -> DataFrame:
+    """An empty members table for feeds of enums alone."""
+    layout = builds.schema["layout"].dataType.simpleString()
+    return spark.createDataFrame([], f"layout {layout}, type_name string, member string, off bigint, sz bigint, bit_position bigint, bit_count bigint, mtype string")
+
+
 @dataclass
 class Feed:
     """Lazy tables of one feed. Tables that several others read are written once below the shared folder."""
 
     builds: DataFrame
-    members: DataFrame
+    members: DataFrame | None
     constants: DataFrame | None = None
     types: DataFrame | None = None
     missing: DataFrame | None = None
@@ -37,15 +43,19 @@ class Feed:
 
     @cached_property
     def manifest(self) -> DataFrame:
-        bodies = diffing.type_bodies(self.members, self.types)
+        if self.members is None and self.constants is None:
+            raise ValueError("a feed needs members or constants")
+        bodies = None if self.members is None else diffing.type_bodies(self.members, self.types)
         if self.constants is not None:
-            bodies = bodies.unionByName(diffing.enum_bodies(self.constants))
-        return durable(diffing.with_representative(durable(bodies, "bodies")), "manifest")
+            enums = diffing.enum_bodies(self.constants)
+            bodies = enums if bodies is None else bodies.unionByName(enums)
+        return durable(bodies, "manifest")
 
     @cached_property
     def names(self) -> DataFrame:
         """Changed definitions per distinct layout pair."""
-        return durable(diffing.changed_names(sequences.layout_pairs(self.changes), self.manifest), "names")
+        changed = durable(diffing.changed_names(sequences.layout_pairs(self.changes), self.manifest), "names")
+        return durable(diffing.with_representatives(changed, self.manifest), "names")
 
     @cached_property
     def status(self) -> DataFrame:
@@ -61,7 +71,9 @@ class Feed:
 
     @cached_property
     def member_changes(self) -> DataFrame:
-        return durable(diffing.member_changes(self.steps, self.members), "members")
+        """Members that differ within a step; without ``members`` there are none."""
+        members = no_members(self.steps.sparkSession, self.builds) if self.members is None else self.members
+        return durable(diffing.member_changes(self.steps, members), "members")
 
     @cached_property
     def constant_changes(self) -> DataFrame | None:

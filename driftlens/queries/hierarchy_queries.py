@@ -30,6 +30,7 @@ HIE_FLAT = ("hie_flat", """
 select r.list_id as root, r.off as off, r.member, 0 as union_of, r.kind from hie_f r where r.list_id like 'R%' and r.member <> ''
 union all select r.list_id, r.off + c.off, c.member, case when r.kind = 'union' then r.ord else 0 end, c.kind from hie_f r join hie_f c on c.list_id = r.child_list where r.list_id like 'R%' and r.member = ''""")
 HIE_U = ("hie_u", "select list_id as root, ord as union_of, dense_rank() over (partition by list_id order by ord) as g from hie_f where list_id like 'R%' and member = '' and kind = 'union'")
+HIE_ONCE = ("hie_once", "select distinct f.root, member, off, kind, coalesce(g, 0) as union_group from hie_flat f left join hie_u u on u.root = f.root and u.union_of = f.union_of")
 
 
 def fields(fx):
@@ -44,12 +45,12 @@ def flat(fx):
     return h.flatten(roots, fields(fx))
 
 
-@query("q_hie3_flatten", "select root, member, off from hie_flat", HIE_F, HIE_FLAT)
+@query("q_hie3_flatten", "select root, member, off from hie_once", HIE_F, HIE_FLAT, HIE_U, HIE_ONCE)
 def _(fx):
     return flat(fx).select("root", "member", "off")
 
 
-@query("q_hie4_union_groups", "select f.root, member, off, coalesce(g, 0) as union_group from hie_flat f left join hie_u u on u.root = f.root and u.union_of = f.union_of", HIE_F, HIE_FLAT, HIE_U)
+@query("q_hie4_union_groups", "select root, member, off, union_group from hie_once", HIE_F, HIE_FLAT, HIE_U, HIE_ONCE)
 def _(fx):
     return flat(fx).select("root", "member", "off", "union_group")
 

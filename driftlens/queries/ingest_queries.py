@@ -192,8 +192,8 @@ def _(fx):
 # ---- resolution ---------------------------------------------------------------------------------------
 
 RES = ("res_tries", """
-select sha256, vsize*4096 as size1, vsize*4096-4096 as size2, case ts % 4 when 0 then 'binary_404' when 1 then 'ok' when 2 then 'binary_404' else 'pe_parse_failed' end as out1,
- case when ts % 3 = 0 then 'ok' when ts % 3 = 1 then 'binary_404' else 'fetch_error' end as out2 from fx_index where dataset = 'ga'""")
+select distinct sha256, vsize*4096 as size1, vsize*4096-4096 as size2, case ts % 4 when 0 then 'binary_404' when 1 then 'ok' when 2 then 'binary_404' else 'pe_parse_failed' end as out1,
+ case when ts % 3 = 0 then 'ok' when ts % 3 = 1 then 'binary_404' else 'fetch_error' end as out2 from fx_index""")
 
 
 @query("q_joi24_first_terminal", """

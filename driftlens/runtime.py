@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,6 +51,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/driftlens/{label}-{uuid.uuid4().hex}"
 
 
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Owner of intermediate tables: those written inside are deleted at its end, when their readers are done."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN.pop():
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def durable(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once as a Parquet table in the shared folder and read it back.
 
@@ -56,5 +73,7 @@ def durable(df: DataFrame, label: str = "stage") -> DataFrame:
     anew by each consumer (slice numbers of a range partitioning above all).
     """
     path = scratch_path(df.sparkSession, label)
+    if _OPEN:
+        _OPEN[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

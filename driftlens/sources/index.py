@@ -19,11 +19,20 @@ BASE_UPDATE = "BASE"
 
 
 def parse_index(texts: DataFrame, column: str = "value") -> DataFrame:
-    """Rows (sha256, entry) of JSON objects held as text, spread out again after the explode."""
-    return (texts.select(F.explode(F.from_json(column, INDEX)).alias("sha256", "entry"))
+    """Rows (sha256, entry) of JSON objects held as text, spread out again after the explode.
+
+    A text that is no such object fails the job: an index that is cut off must not look like a small one.
+    Use ``rejected_texts`` to find them, and leave them out beforehand if they are to be skipped.
+    """
+    return (texts.select(F.explode(F.from_json(column, INDEX, {"mode": "FAILFAST"})).alias("sha256", "entry"))
             .repartition("sha256"))
 
 
+def rejected_texts(texts: DataFrame, column: str = "value", schema: str = INDEX) -> DataFrame:
+    """The rows whose text is missing or not of the schema."""
+    return texts.filter(F.from_json(column, schema).isNull())
+
+
 def read_index(spark: SparkSession, path: str, one_object_per_line: bool = False) -> DataFrame:
     """Read ``*.json.gz`` indexes. A gzipped object is one unsplittable value, so many files read in parallel
     but one file does not; the line form splits further when it is not gzipped."""
@@ -71,7 +80,7 @@ def candidates(entries: DataFrame) -> DataFrame:
     return downloadable(entries).select(
         "sha256", F.split_part(F.coalesce("entry.fileInfo.version", F.lit("")), F.lit(" "), F.lit(1)).alias("version"),
         F.coalesce("entry.fileInfo.machineType", F.lit(0)).alias("machine_code"), F.col("entry.fileInfo.timestamp").alias("timestamp"),
-        F.element_at(sizes, 1).alias("size_of_image"), F.slice(sizes, 2, 10).alias("size_alternatives"),
+        F.element_at(sizes, 1).alias("size_of_image"), F.slice(sizes, 2, F.size(sizes)).alias("size_alternatives"),
         kbs.alias("channels"), F.coalesce(first, F.lit("")).alias("release_date"))
 
 

@@ -13,7 +13,8 @@ def one(spark, column, **values):
 
 
 def test_version_key(spark):
-    cases = {"10.0.26100.4652": [10, 0, 26100, 4652], "10.0": [10, 0, 0, 0], "10.0.x.5": [10, 0, 5, 0], "1.2.3.4.5": [1, 2, 3, 4], None: [0, 0, 0, 0], "": [0, 0, 0, 0]}
+    cases = {"10.0.26100.4652": [10, 0, 26100, 4652], "10.0": [10, 0, 0, 0], "10.0.x.5": [10, 0, 5, 0], "1.2.3.4.5": [1, 2, 3, 4], None: [0, 0, 0, 0], "": [0, 0, 0, 0],
+             "1." + "0" * 60 + "7": [1, 7, 0, 0], "1." + "8" * 60: [1, 10**38 - 1, 0, 0]}
     df = spark.createDataFrame([(k,) for k in cases], "v string").select("v", version.version_key(F.col("v")).alias("k"))
     assert {row.v: row.k for row in df.collect()} == cases
 

@@ -55,11 +55,6 @@ def test_flatten_nested_unions(spark):
     assert rows(got, "member", "off", "union_group") == [("Named", 16, 0), ("a", 8, 1), ("b", 13, 1), ("c", 14, 1), ("d", 24, 2), ("head", 0, 0)]
 
 
-def test_flatten_survives_a_cycle(spark):
-    fields = spark.createDataFrame([("r", 0, "", 1, "class", "r"), ("r", 1, "x", 0, "leaf", None)], FIELD)
-    assert hierarchy.flatten(spark.createDataFrame([("R", "r")], "root string, list_id string"), fields).count() == hierarchy.FLATTEN_DEPTH + 1
-
-
 RECORD = ("idx bigint, kind_group string, name string, kind string, is_forward boolean, size bigint, underlying bigint, primitive string, indirection string, "
           "is_const boolean, is_volatile boolean")
 

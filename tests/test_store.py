@@ -35,9 +35,15 @@ def test_canonical_hashes(spark):
     assert rows(hashing.layout_hash(lines(spark)), "hash") == [(f"v2:sha256:{sha(whole)}",)]
 
 
-def test_long_groups_are_streamed_to_the_same_hash(spark):
-    assert rows(hashing.manifest(lines(spark), gather=1), "name", "blob") == rows(hashing.manifest(lines(spark)), "name", "blob")
-    assert rows(hashing.layout_hash(lines(spark), gather=1), "hash") == rows(hashing.layout_hash(lines(spark)), "hash")
+def test_a_group_longer_than_a_batch_is_hashed_whole(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        lines_ = spark.range(50).select(F.when(F.col("id") < 45, "a").alias("key"), "id", F.concat(F.lit("line "), F.col("id")).alias("line"))
+        got = {r.key: r.digest for r in hashing.digest_lines(lines_, ["key"], ["id"], True).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    text = lambda a, b: "".join(f"line {i}\n" for i in range(a, b))
+    assert got == {"a": sha(text(0, 45)), None: sha(text(45, 50))}
 
 
 def symbols(spark, pairs):
