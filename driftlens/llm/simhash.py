@@ -76,6 +76,8 @@ def _near_values(values: DataFrame, width: int) -> DataFrame:
 
     The one-wildcard variants meet in an aggregate: with one bit taken out only two values are left to share a key.
     """
+    parts = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    values = values.repartition(parts, "ctx", "seg", "val")  # few bytes become many rows next
     keys = F.explode(F.sequence(F.lit(0), F.lit(width - 1)))
     mask = F.expr("shiftleft(1L, bit)")
     wild = values.select("ctx", "seg", "val", keys.alias("bit")).select("ctx", "seg", "bit", F.col("val").bitwiseAND(F.bitwise_not(mask)).alias("rest"))
@@ -101,7 +103,8 @@ def links(fps: DataFrame, distance: int = 3) -> DataFrame:
         left, right = (sizes.where("side = 0"), sizes.where("side = 0" if low_of is None else "side = 1"))
         both = near if low_of is None else near.union(near.where("va <> vb").select("ctx", "seg", F.col("vb").alias("va"), F.col("va").alias("vb")))
         pairs = both.join(left.select("ctx", "seg", F.col("val").alias("va"), F.col("n").alias("na")), ["ctx", "seg", "va"]).join(right.select("ctx", "seg", F.col("val").alias("vb"), F.col("n").alias("nb")), ["ctx", "seg", "vb"])
-        pairs = pairs.where("na * nb > 1 or va <> vb")
+        if low_of is None:
+            pairs = pairs.where("na > 1 or va <> vb")  # a fingerprint alone in the first context would meet itself only
         pairs = durable(pairs, "cells")
         dense = F.col("na") * F.col("nb") > DENSE if width > 8 else F.lit(False)
         lefts = cut.where("side = 0").select("ctx", "seg", F.col("val").alias("va"), F.col("fp").alias("a"))
