@@ -12,10 +12,11 @@ start at anchors, each with the few bytes before it that its strings can reach (
 2. *Suffix array.* The suffixes that are left are range-partitioned by their leading bytes with sampled splitters and
    sorted in each bucket by multikey quicksort. Suffixes that begin alike stand together; their strings are compared in
    the bucket, first by hash and then byte by byte.
-3. *Boundaries.* The first and last run of a bucket may go on in another one, and a hot run can span many; their strings
-   are compared by a shuffle on the strings' hashes, again combined on the map side.
+3. *Boundaries.* Splitters part beginnings, so a run of suffixes that begin alike ends inside its bucket. Runs too long
+   for a bucket are cut anywhere, and their strings are compared across the cuts by a shuffle on the strings' hashes,
+   again combined on the map side.
 
-Covered ranges are joined back to the texts, merged and cut. Step 1 and 3 rely on 128 bits of hash, step 2 on bytes.
+Covered ranges are joined back to the texts, merged and cut. Steps 1 and 3 rely on 128 bits of hash, step 2 on bytes.
 
 Defined results: a null text counts as empty; texts shorter than ``length`` bytes lose nothing; rows that repeat an id
 and text are one document and get one result; rows that share an id with different texts are documents of their own, in
@@ -41,6 +42,8 @@ CHUNK = 1 << 20
 HEADS = 4
 #: Suffixes of a bucket whose strings are compared at a time, and wished for in a bucket.
 SLAB, BUCKET = 20_000, 40_000
+#: Suffixes with the same beginning that one bucket compares; beginnings that more of them share are split.
+FREQUENT = 40_000
 NO_ID = (1 << 63) - 1
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
@@ -304,9 +307,8 @@ def _compared(rows, left, right, doc, at, length: int, reach: int):
 
 
 def _bucketed(contexts: DataFrame, parts: int, length: int, gram: int) -> DataFrame:
-    """``doc, th, begin, end`` of covered ranges, and the contexts of the first and last run as they are (begin is null)."""
+    """``doc, th, begin, end`` of covered ranges. Equal beginnings share a bucket: the splitters part beginnings only."""
     reach = length - gram
-    schema = pa.schema([("doc", pa.int64()), ("th", pa.int64()), ("begin", pa.int64()), ("end", pa.int64()), ("suffix", pa.binary()), ("before", pa.binary()), ("at", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
@@ -316,29 +318,24 @@ def _bucketed(contexts: DataFrame, parts: int, length: int, gram: int) -> DataFr
         suffix, before = table.column("suffix").to_pylist(), table.column("before").to_pylist()
         doc, at = table.column("doc").to_numpy(), table.column("at").to_numpy()
         rows = _matrix(suffix, before, length, reach)
+        left, right = np.array([len(b) for b in before]), np.array([len(s) for s in suffix])
         order = multikey_order(rows[:, reach:])
         lead = rows[order][:, reach:reach + gram]
         edges = np.concatenate([[0], np.nonzero((lead[1:] != lead[:-1]).any(axis=1))[0] + 1, [len(order)]])
-        left, right = np.array([len(b) for b in before]), np.array([len(s) for s in suffix])
-        inner = edges[1:-1]
         begin = 0
-        while begin < len(inner) - 1:
-            end = max(begin + 1, int(np.searchsorted(inner, inner[begin] + SLAB, side="right")) - 1)
-            use = order[inner[begin]:inner[end]]
+        while begin < len(edges) - 1:
+            end = max(begin + 1, int(np.searchsorted(edges, edges[begin] + SLAB, side="right")) - 1)
+            use = order[edges[begin]:edges[end]]
             got = _compared(rows[use], left[use], right[use], doc[use], at[use], length, reach)
-            none = pa.nulls(len(got), pa.binary())
-            yield pa.RecordBatch.from_arrays([*(pa.array(got[:, k]) for k in range(4)), none, none, pa.nulls(len(got), pa.int64())], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(got[:, k]) for k in range(4)], names=["doc", "th", "begin", "end"])
             begin = end
-        open_ = order if len(edges) <= 2 else np.concatenate([order[:edges[1]], order[edges[-2]:]])
-        null = pa.nulls(len(open_), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(doc[open_]), pa.array(at[open_] >> 32), null, null, table.column("suffix").combine_chunks().take(pa.array(open_)), table.column("before").combine_chunks().take(pa.array(open_)), pa.array(at[open_])], schema=schema)
 
-    dealt = contexts.repartitionByRange(parts, "suffix", "before", "doc", "at")
-    return dealt.mapInArrow(run, "doc long, th long, begin long, end long, suffix binary, before binary, at long")
+    dealt = contexts.select("lead", "suffix", "before", "doc", "at").repartitionByRange(parts, "lead")
+    return dealt.mapInArrow(run, "doc long, th long, begin long, end long")
 
 
-def _across(opened: DataFrame, length: int, gram: int) -> DataFrame:
-    """Covered ranges of contexts whose run may span buckets, by a shuffle on their strings."""
+def _across(hot: DataFrame, length: int, gram: int) -> DataFrame:
+    """Covered ranges of contexts whose beginning is too frequent for a bucket, by a shuffle on their strings."""
     reach = length - gram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -354,31 +351,39 @@ def _across(opened: DataFrame, length: int, gram: int) -> DataFrame:
                 w1, w2, d, s = one[who, back].astype(np.int64), two[who, back].astype(np.int64), doc[who], at[who] - back
                 by = np.lexsort((s, d, w2, w1))
                 w1, w2, d, s = w1[by], w2[by], d[by], s[by]
-                new = np.concatenate([[True], (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])]) if len(w1) else np.array([], bool)
-                head = np.maximum.accumulate(np.where(new, np.arange(len(w1)), 0)) if len(w1) else np.array([], np.int64)
+                new = np.concatenate([[True], (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])])
+                head = np.maximum.accumulate(np.where(new, np.arange(len(w1)), 0))
                 later = ~new & ((d != d[head]) | (s != s[head]))  # an earlier one is in this very batch
-                use = new | later
-                yield pa.RecordBatch.from_arrays([pa.array(c[use]) for c in (w1, w2, d, s)] + [pa.array(later[use])], names=["w1", "w2", "doc", "at", "later"])
-
-    windows = opened.select("suffix", "before", "doc", "at").mapInArrow(run, "w1 long, w2 long, doc long, at long, later boolean")
-    windows = durable(windows, "suffix-strings")
-    heads = windows.where("not later")
+                ld, ls = d[later], s[later]
+                by = np.lexsort((ls, ld))
+                ld, ls = ld[by], ls[by]
+                run_ = np.concatenate([[True], (ld[1:] != ld[:-1]) | (ls[1:] > ls[:-1] + length)])[:len(ld)]
+                first = np.nonzero(run_)[0]
+                last = np.concatenate([first[1:], [len(ld)]])[:len(first)] - 1
+                none = pa.nulls(len(first), pa.int64())
+                yield pa.RecordBatch.from_arrays([*(pa.array(c[new]) for c in (w1, w2, d, s, s + length))], names=names)
+                yield pa.RecordBatch.from_arrays([none, none, pa.array(ld[first]), pa.array(ls[first]), pa.array(ls[last] + length)], names=names)
+
+    names = ["w1", "w2", "doc", "at", "upto"]
+    strings = durable(hot.select("suffix", "before", "doc", "at").mapInArrow(run, "w1 long, w2 long, doc long, at long, upto long"), "suffix-strings")
+    heads = strings.where("w1 is not null")
     first = heads.groupBy("w1", "w2").agg(F.min(F.struct("doc", "at")).alias("first"), F.count("*").alias("n")).where("n > 1").select(F.col("w1").alias("f1"), F.col("w2").alias("f2"), "first")
     others = heads.join(first, (F.col("w1") == F.col("f1")) & (F.col("w2") == F.col("f2"))).where(F.struct("doc", "at") != F.col("first"))
-    found = windows.where("later").select("doc", "at").union(others.select("doc", "at"))
-    place = F.expr("at & 4294967295")
-    return found.select("doc", F.expr("at >> 32").alias("th"), place.alias("begin"), (place + length).alias("end"))
+    found = strings.where("w1 is null").select("doc", "at", "upto").union(others.select("doc", "at", "upto"))
+    return found.select("doc", F.expr("at >> 32").alias("th"), F.expr("at & 4294967295").alias("begin"), F.expr("upto & 4294967295").alias("end"))
 
 
-def covered(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def covered(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int = FREQUENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc, th, begin, end``: byte ranges made of strings that start earlier too; they may overlap and repeat."""
     keyed = _keyed(docs, id_col, text_col)
     marks = durable(_settled(_sent(keyed, length, gram)), "suffix-marks")
     contexts = durable(_contexts(keyed, marks.where(f"kind = {SORT}").select("doc", "at"), length, gram), "suffix-contexts")
+    leads = contexts.withColumn("lead", F.expr(f"substring(suffix, 1, {gram})"))
+    frequent = durable(leads.groupBy("lead").agg(F.count("*").alias("n")).where(F.col("n") > most), "suffix-frequent").select(F.col("lead").alias("often"))
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-contexts.count() // BUCKET))
-    sorted_ = durable(_bucketed(contexts, parts, length, gram), "suffix-ranges")
+    rare, hot = leads.join(frequent, F.col("lead") == F.col("often"), "left_anti"), leads.join(frequent, F.col("lead") == F.col("often"), "left_semi")
     whole = marks.where(f"kind = {COVERED}").select("doc", F.expr("at >> 32").alias("th"), F.expr(f"greatest((at & 4294967295) - {length - gram}, 0)").alias("begin"), F.expr(f"(at & 4294967295) + {length}").alias("end"))
-    return whole.union(sorted_.where("begin is not null").select("doc", "th", "begin", "end")).union(_across(sorted_.where("begin is null"), length, gram))
+    return whole.union(durable(_bucketed(rare, parts, length, gram), "suffix-ranges")).union(_across(hot, length, gram))
 
 
 def merged(ranges: list[tuple[int, int]], n: int) -> list[tuple[int, int]]:
@@ -392,7 +397,7 @@ def merged(ranges: list[tuple[int, int]], n: int) -> list[tuple[int, int]]:
     return out
 
 
-def report(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def report(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int = FREQUENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -410,7 +415,7 @@ def report(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([m[k] for m in made], kind) for k, kind in enumerate(kinds))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    ranges = covered(docs, length, gram, id_col, text_col).groupBy(F.col("doc").alias("d"), F.col("th").alias("t")).agg(F.collect_set(F.struct(F.col("begin").alias("a"), F.col("end").alias("b"))).alias("ranges"))
+    ranges = covered(docs, length, gram, most, id_col, text_col).groupBy(F.col("doc").alias("d"), F.col("th").alias("t")).agg(F.collect_set(F.struct(F.col("begin").alias("a"), F.col("end").alias("b"))).alias("ranges"))
     rows = _keyed(docs, id_col, text_col, F.col(id_col).alias("doc_id"))
     joined = rows.join(ranges, (F.col("doc") == F.col("d")) & (F.col("th") == F.col("t")), "left").select("doc_id", "text", "ranges")
     return joined.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
