@@ -43,6 +43,11 @@ def layout_usage(builds: DataFrame, manifest: DataFrame, tie: str = "symbol_key"
     return positions(joined, [F.col("builds").desc(), F.col("_first").asc()], "pos").drop("_first")
 
 
+def layout_keys(builds: DataFrame) -> DataFrame:
+    """(layout, symbol_key): which builds have a layout, in long form."""
+    return builds.select("layout", "symbol_key").distinct()
+
+
 def name_catalogue(manifest: DataFrame, builds: DataFrame) -> DataFrame:
     """Per (kind, name): number of distinct definitions and the newest layout that has one."""
     newest = builds.groupBy("layout").agg(F.max(F.struct(

@@ -80,15 +80,20 @@ def overlaps(members: DataFrame, summary: DataFrame, need_groups: bool = True) -
     group = F.coalesce("union_group", F.lit(0)).cast("bigint") if "union_group" in members.columns else F.lit(0).cast("bigint")
     plain = (members.filter((F.col("bit_count") == 0) & (F.col("sz") > 0)).join(cells.drop("any_group"), TYPE)
              .withColumn("_group", group).withColumn("_order", F.struct("off", "member", "sz", "bit_position", "bit_count", "mtype", "_group")))
+    # Only groups whose byte ranges touch are brought together, and a group other than 0 never with itself: mates of one
+    # union, however many, do not meet.
+    reach = plain.groupBy(*TYPE, "_group").agg(F.min("off").alias("lo"), F.max(F.col("off") + F.col("sz")).alias("hi"))
+    left, right = (reach.select(*TYPE, *[F.col(c).alias(f"{c}{side}") for c in ("_group", "lo", "hi")]) for side in ("_a", "_b"))
+    touching = left.join(right, TYPE).filter((F.col("lo_a") < F.col("hi_b")) & (F.col("lo_b") < F.col("hi_a")) & (
+        (F.col("_group_a") != F.col("_group_b")) | (F.col("_group_a") == 0))).select(*TYPE, F.col("_group_a").alias("_group"), F.col("_group_b").alias("_gb"))
     first = F.floor(F.col("off") / F.col("_width"))
     final = F.floor((F.col("off") + F.col("sz") - 1) / F.col("_width"))
-    a = plain.select(*TYPE, F.explode(F.sequence(first, final)).alias("_cell"), F.col("member").alias("earlier"), F.col("off").alias("a_off"),
-                     (F.col("off") + F.col("sz")).alias("a_end"), F.col("_order").alias("_a"), F.col("_group").alias("_ga"))
-    b = plain.select(*TYPE, first.alias("_cell"), F.col("member").alias("later"), F.col("off").alias("b_off"),
-                     F.col("_order").alias("_b"), F.col("_group").alias("_gb"))
-    return (a.join(b, [*TYPE, "_cell"])
+    a = plain.join(touching, [*TYPE, "_group"]).select(
+        *TYPE, "_gb", F.explode(F.sequence(first, final)).alias("_cell"), F.col("member").alias("earlier"), F.col("off").alias("a_off"),
+        (F.col("off") + F.col("sz")).alias("a_end"), F.col("_order").alias("_a"))
+    b = plain.select(*TYPE, F.col("_group").alias("_gb"), first.alias("_cell"), F.col("member").alias("later"), F.col("off").alias("b_off"), F.col("_order").alias("_b"))
+    return (a.join(b, [*TYPE, "_gb", "_cell"])
             .filter((F.col("_a") < F.col("_b")) & (F.col("b_off") < F.col("a_end")))
-            .filter((F.col("_ga") == 0) | (F.col("_ga") != F.col("_gb")))
             .select(*TYPE, "earlier", "later", "a_off", "a_end", "b_off"))
 
 
@@ -183,16 +188,24 @@ def group_findings(findings: DataFrame, n: int | None = None) -> DataFrame:
     return grouped if n is None else grouped.orderBy(F.col("times").desc(), "message").limit(n)
 
 
-def admit(builds: DataFrame, findings: DataFrame, mismatches: DataFrame | None = None) -> DataFrame:
-    """Ledger reason of every build whose layout fails a rule (``inconsistent``) or a reconciliation
-    (``oracle_mismatch``); null reason means it may be stored."""
+def admit(builds: DataFrame, findings: DataFrame, mismatches: DataFrame | None = None, failed: DataFrame | None = None) -> DataFrame:
+    """Ledger reason of every build that may not be stored; a null reason means it may.
+
+    ``failed`` (symbol_key, reason) holds builds that never got a reading: ``pdb_404`` or ``parse_failed``. Then come
+    layouts that fail a rule (``inconsistent``) or a reconciliation (``oracle_mismatch``).
+    """
     bad = findings.filter(F.col("severity") == "error").select("layout").distinct().withColumn("_bad", F.lit(True))
     judged = builds.join(bad, "layout", "left")
-    reason = F.when(F.col("_bad"), F.lit("inconsistent"))
+    reason = F.when(F.col("_failed").isNotNull(), F.col("_failed")).when(F.col("_bad"), F.lit("inconsistent"))
+    if failed is None:
+        judged = judged.withColumn("_failed", F.lit(None).cast("string"))
+    else:
+        first = failed.groupBy("symbol_key").agg(F.max("reason").alias("_failed"))
+        judged = judged.join(first, "symbol_key", "left")
     if mismatches is not None:
         apart = mismatches.filter(F.col("severity") == "fatal").select("layout").distinct().withColumn("_apart", F.lit(True))
         judged = judged.join(apart, "layout", "left")
         reason = reason.when(F.col("_apart"), F.lit("oracle_mismatch"))
-    return judged.withColumn("reason", reason).drop("_bad", "_apart")
+    return judged.withColumn("reason", reason).drop("_bad", "_apart", "_failed")
 
 

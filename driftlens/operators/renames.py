@@ -46,6 +46,12 @@ def ambiguous_members(changes: DataFrame, groups: DataFrame) -> DataFrame:
         "side", F.when(F.col("was"), F.lit("removed")).otherwise(F.lit("added"))).drop("was")
 
 
+def review_table(changes: DataFrame, groups: DataFrame, steps: DataFrame) -> DataFrame:
+    """Distinct ambiguous candidates with the name of their type: the same question asked by several steps counts once."""
+    open_ = ambiguous_members(changes, groups).join(steps.select(*STEP, F.col("name").alias("type")), STEP)
+    return open_.select("type", *SIGNATURE, "side", "member").distinct()
+
+
 def occurrences(step_rows: DataFrame, step_uses: DataFrame) -> DataFrame:
     """Attach how often each step is taken (``uses``) and the earliest place it is (``first_use``)."""
     return step_rows.join(step_uses, STEP)

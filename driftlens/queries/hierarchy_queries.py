@@ -122,8 +122,25 @@ def _(fx):
 # ---- primitives ---------------------------------------------------------------------------------------
 
 KIND_NAMES = [name for name, _, _ in primitives.PRIMITIVES] + ["Unknown"]
-PRIM_ROWS = "(values " + ",".join(f"('{n}',{s},'{t}')" for n, s, t in primitives.PRIMITIVES) + ") p(kind, width, spelling)"
-POINTERS = "(values " + ",".join(f"('{n}',{s})" for n, s in primitives.INDIRECTIONS) + ") i(name, width)"
+# Fixed values, stated here a second time so that a wrong entry in the library's own table shows.
+PRIM_ROWS = """(values
+ ('NoType',0,''), ('Void',0,'void'), ('Char',1,'char'), ('UChar',1,'unsigned char'), ('RChar',1,'char'),
+ ('I8',1,'char'), ('U8',1,'unsigned char'), ('Bool8',1,'bool'), ('WChar',2,'wchar_t'), ('RChar16',2,'char16_t'),
+ ('RChar32',4,'char32_t'), ('Short',2,'short'), ('UShort',2,'unsigned short'), ('I16',2,'short'), ('U16',2,'unsigned short'),
+ ('Bool16',2,'bool16'), ('F16',2,'half'), ('Long',4,'long'), ('ULong',4,'unsigned long'), ('I32',4,'int'),
+ ('U32',4,'unsigned int'), ('F32',4,'float'), ('Bool32',4,'bool32'), ('HRESULT',4,'HRESULT'), ('Quad',8,'__int64'),
+ ('UQuad',8,'unsigned __int64'), ('I64',8,'__int64'), ('U64',8,'unsigned __int64'), ('F64',8,'double'), ('Bool64',8,'bool64'),
+ ('Complex32',8,'_Complex float'), ('Octa',16,'__int128'), ('UOcta',16,'unsigned __int128'), ('I128',16,'__int128'), ('U128',16,'unsigned __int128'),
+ ('F128',16,'long double'), ('Complex64',16,'_Complex double')) p(kind, width, spelling)"""
+POINTERS = "(values ('Near16',2), ('Far16',4), ('Huge16',4), ('Near32',4), ('Far32',6), ('Near64',8), ('Near128',16)) i(name, width)"
+BASIC_ROWS = """(values
+ ('void',0,'void'), ('char',1,'char'), ('char8',1,'char'), ('wchar',2,'wchar_t'), ('char16',2,'char16_t'),
+ ('char32',4,'char32_t'), ('int',1,'char'), ('int',2,'short'), ('int',4,'int'), ('int',8,'__int64'),
+ ('int',16,'__int128'), ('uint',1,'unsigned char'), ('uint',2,'unsigned short'), ('uint',4,'unsigned int'), ('uint',8,'unsigned __int64'),
+ ('uint',16,'unsigned __int128'), ('long',4,'long'), ('long',8,'__int64'), ('ulong',4,'unsigned long'), ('ulong',8,'unsigned __int64'),
+ ('float',2,'half'), ('float',4,'float'), ('float',8,'double'), ('float',16,'long double'), ('bool',1,'bool'),
+ ('bool',2,'bool16'), ('bool',4,'bool32'), ('bool',8,'bool64'), ('complex',8,'_Complex float'), ('complex',16,'_Complex double'),
+ ('hresult',4,'HRESULT')) b(basic, width, spelling)"""
 SCA_K = ("sca_k", "select l_orderkey, l_linenumber, l_suppkey, cast(l_partkey % {n} as int) as k, cast(l_partkey % 8 as int) as i from lineitem".format(n=len(KIND_NAMES)))
 
 
@@ -164,3 +181,13 @@ def _(fx):
     raw = (F.when(leaf == "U8", (F.col("l_suppkey") * 7 % 256).cast("decimal(20,0)"))
            .when((leaf == "U64") & (F.col("l_suppkey") % 2 == 0), (wide - key).cast("decimal(20,0)")).otherwise(key))
     return fx.sql(SCA_K[1]).select("l_orderkey", "l_linenumber", primitives.constant_value(leaf, raw).alias("value"))
+
+
+@query("q_sca13_basic_names", f"""
+select basic, width, coalesce(b.spelling, '') as declared, count(*) as n from (select {['void', 'char', 'char8', 'wchar', 'char16', 'char32', 'int', 'uint', 'long', 'ulong', 'float', 'bool', 'complex', 'hresult', 'other']}[cast(l_partkey % 15 as int) + 1] as basic,
+ [0, 1, 2, 4, 8, 16][cast(l_suppkey % 6 as int) + 1] as width from lineitem) t left join (select basic as name, width as bytes, spelling from {BASIC_ROWS}) b on b.name = basic and b.bytes = width group by 1, 2, 3""")
+def _(fx):
+    basics, widths = ("void", "char", "char8", "wchar", "char16", "char32", "int", "uint", "long", "ulong", "float", "bool", "complex", "hresult", "other"), (0, 1, 2, 4, 8, 16)
+    rows = fx.table("lineitem").select(F.get(F.array(*map(F.lit, basics)), F.expr("cast(l_partkey % 15 as int)")).alias("basic"),
+                                       F.get(F.array(*map(F.lit, widths)), F.expr("cast(l_suppkey % 6 as int)")).alias("width"))
+    return rows.withColumn("declared", primitives.basic_name(F.col("basic"), F.col("width"))).groupBy("basic", "width", "declared").agg(F.count("*").alias("n"))

@@ -23,8 +23,8 @@ from (select *, (va + sz - raw + 4095) // 4096 * 4096 as al from idx_rows) t""")
 IDXV = (IDX, IDX_S)
 
 
-def entries(fx):
-    """The same rows written as JSON objects and read back."""
+def shaped(fx):
+    """Index entries of the rows, as the format nests them."""
     update = F.struct(F.struct(F.col("date1").alias("releaseDate")).alias("updateInfo"))
     none = F.struct(F.struct(F.lit(None).cast("string").alias("releaseDate")).alias("updateInfo"))
     base = F.struct(F.struct(F.lit("1999-01-01").alias("releaseDate")).alias("updateInfo"))
@@ -34,8 +34,17 @@ def entries(fx):
     info = F.struct(F.col("ts").alias("timestamp"), F.col("vs").alias("virtualSize"), F.col("sz").alias("size"), F.col("va").alias("lastSectionVirtualAddress"),
                     F.col("raw").alias("lastSectionPointerToRawData"), F.col("machine").alias("machineType"),
                     F.concat("version", F.lit(" (Build.160101)")).alias("version"))
-    text = F.to_json(F.create_map(F.col("sha256"), F.struct(info.alias("fileInfo"), channels.alias("windowsVersions"))))
-    return index.parse_index(fx.sql(IDX[1]).select(text.alias("value")))
+    return fx.sql(IDX[1]).select("sha256", F.struct(info.alias("fileInfo"), channels.alias("windowsVersions")).alias("entry"))
+
+
+def texts(fx):
+    """Each entry as a JSON object of its own."""
+    return shaped(fx).select("sha256", F.to_json(F.create_map("sha256", "entry")).alias("value"))
+
+
+def entries(fx):
+    """The same rows written as JSON objects and read back."""
+    return index.parse_index(texts(fx))
 
 
 @query("q_src1_index_entries", "select sha256, ts, version || ' (Build.160101)' as version, 1 + case when ch2 is null then 0 else 1 end as channels from idx_rows", *IDXV)
@@ -44,6 +53,22 @@ def _(fx):
                               F.size("entry.windowsVersions").alias("channels"))
 
 
+@query("q_src1_index_files", "select sha256, ts, version || ' (Build.160101)' as version, 1 + case when ch2 is null then 0 else 1 end as channels from idx_rows", *IDXV)
+def _(fx):
+    # Gzipped objects of up to fifty entries each.
+    path = scratch_path(fx.spark, "index")
+    objects = shaped(fx).groupBy(F.expr("cast(sha256 as bigint) div 50")).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("sha256", "entry")))).alias("value"))
+    objects.select("value").write.option("compression", "gzip").text(path)
+    return index.read_index(fx.spark, path, one_object_per_line=True).select("sha256", F.col("entry.fileInfo.timestamp").alias("ts"), F.col("entry.fileInfo.version").alias("version"), F.size("entry.windowsVersions").alias("channels"))
+
+
+@query("q_src1_rejected_texts", "select sha256 from idx_rows where ts % 13 in (0, 1)", *IDXV)
+def _(fx):
+    # Some texts are cut off, some are missing.
+    broken = F.expr("case cast(sha256 as bigint) % 97 % 13 when 0 then left(value, length(value) div 2) when 1 then null else value end")
+    return index.rejected_texts(texts(fx).withColumn("value", broken)).select("sha256")
+
+
 @query("q_src2_downloadable", "select sha256 from idx_sized where ts <> 0 and sizes <> ''", *IDXV)
 def _(fx):
     return index.downloadable(entries(fx)).select("sha256")
@@ -97,6 +122,30 @@ def _(fx):
     return read.withColumn("layout", F.col("layout").cast("bigint"))
 
 
+SRC9_SYM = ("srcn_sym", "select cast(build as bigint) - cast(build as bigint) % 100 as layout, name, min(rva) as rva from fx_symbols group by 1, 2")
+
+
+@query("q_src9_whole_documents", """
+select 'enums' as part, count(*) as n, cast(sum(value) as bigint) as total, cast(sum(length(name)) as bigint) as chars from fx_constants
+ union all select 'rvas', count(*), cast(sum(rva) as bigint), cast(sum(length(name)) as bigint) from srcn_sym where layout in (select layout from fx_members)
+ union all select 'missing', count(*), cast(sum(case kind when 'type' then 1 when 'symbol' then 2 else 3 end) as bigint), cast(sum(length(name)) as bigint) from
+  (select distinct layout, 'type' as kind, member as name from fx_members where off = 8 union select distinct layout, 'symbol', member from fx_members where off = 16 union select distinct layout, 'enum', member from fx_members where off = 24) m""", SRC9_SYM)
+def _(fx):
+    members = fx.table("fx_members")
+    absent = F.expr("case off when 8 then 'type' when 16 then 'symbol' when 24 then 'enum' end")
+    missing = members.select("layout", absent.alias("kind"), F.col("member").alias("name")).filter("kind is not null").distinct()
+    path = scratch_path(fx.spark, "extractions")
+    documents.write_extractions(documents.to_extractions(members, fx.types(), "first", fx.table("fx_constants"), fx.sql(SRC9_SYM[1]), missing), path)
+    read = documents.read_extractions(fx.spark, path, multi_line=False)
+
+    def part(rows, name, value):
+        return rows.agg(F.count("*").alias("n"), F.sum(value).cast("bigint").alias("total"), F.sum(F.length("name")).cast("bigint").alias("chars")).select(F.lit(name).alias("part"), "n", "total", "chars")
+
+    number = F.when(F.col("kind") == "type", 1).when(F.col("kind") == "symbol", 2).otherwise(3)
+    return (part(documents.constants_of(read), "enums", F.col("value")).unionByName(part(documents.symbols_of(read), "rvas", F.col("rva")))
+            .unionByName(part(documents.missing_of(read), "missing", number)))
+
+
 @query("q_src10_canonical_documents", """
 select layout, md5('{"extractor":"first","pdb_key":"'||layout||'","types":{'||string_agg('"'||type_name||'":'||body, ',' order by type_name)||'}}') as digest from (
  select layout, type_name, '{"size":'||max(off+sz)||',"members":['||string_agg('{"offset":'||off||',"name":"'||member||'","size":'||sz||',"bit_position":'||bit_position||',"bit_count":'||bit_count||',"type":"'||mtype||'","union_group":0}', ',' order by off, member)||']}' as body

@@ -151,7 +151,7 @@ def _(fx):
 
 
 @query("q_dq12_admission", """
-select b.symbol_key, case when e.layout is not null then 'inconsistent' when f.layout is not null then 'oracle_mismatch' else 'stored' end as outcome
+select b.symbol_key, case when cast(b.symbol_key as bigint) % 17 = 0 then 'pdb_404' when cast(b.symbol_key as bigint) % 17 = 1 then 'parse_failed' when e.layout is not null then 'inconsistent' when f.layout is not null then 'oracle_mismatch' else 'stored' end as outcome
 from fx_builds b left join (select distinct layout from dq_types where type_size = 0) e on e.layout = b.layout
  left join (select distinct a.layout from fx_members a join fx_members_b b on a.layout=b.layout and a.type_name=b.type_name and a.member=b.member where a.off <> b.off) f on f.layout = b.layout""", *DQ)
 def _(fx):
@@ -159,7 +159,9 @@ def _(fx):
     members = fx.table("fx_members")
     errors = q.check_types(q.type_summary(members, types(fx))).filter(F.col("rule") == "size_zero")
     apart = reconcile.member_findings(members, fx.table("fx_members_b")).filter(F.col("rule") == "offset")
-    return q.admit(fx.builds(), errors, apart).select("symbol_key", F.coalesce("reason", F.lit("stored")).alias("outcome"))
+    unread = F.expr("case cast(symbol_key as bigint) % 17 when 0 then 'pdb_404' when 1 then 'parse_failed' end")
+    failed = fx.builds().select("symbol_key", unread.alias("reason")).filter("reason is not null")
+    return q.admit(fx.builds(), errors, apart, failed).select("symbol_key", F.coalesce("reason", F.lit("stored")).alias("outcome"))
 
 
 @query("q_joi18_overlaps", """
@@ -173,6 +175,18 @@ def _(fx):
     return q.overlaps(m, q.type_summary(m, fx.types()), need_groups=False)
 
 
+@query("q_joi18_grouped_overlaps", """
+select a.layout, a.type_name, a.member as earlier, b.member as later, a.off as a_off, a.off+a.sz as a_end, b.off as b_off
+from fx_members a join fx_members b on a.layout=b.layout and a.type_name=b.type_name and b.off >= a.off and b.off < a.off + a.sz
+  and (a.off < b.off or (a.off = b.off and a.member < b.member))
+where a.bit_count = 0 and b.bit_count = 0 and a.sz > 0 and b.sz > 0 and ((a.off // 16) % 4 = 0 or (a.off // 16) % 4 <> (b.off // 16) % 4)
+  and exists (select 1 from fx_members g where g.layout = a.layout and g.type_name = a.type_name and (g.off // 16) % 4 <> 0)""")
+def _(fx):
+    # Types without any union group get no verdict.
+    m = fx.table("fx_members").withColumn("union_group", F.expr("(off div 16) % 4"))
+    return q.overlaps(m, q.type_summary(m, fx.types()))
+
+
 @query("q_agg11_finding_groups", """
 select severity, message, count(*) as times from (
  select 'error' as severity, type_name||'.'||member||': ends at 0x'||lower(to_hex(off+sz))||', past the 0x'||lower(to_hex(type_size))||' byte struct' as message

@@ -336,6 +336,11 @@ def _(fx):
     return catalogue.layout_usage(fx.builds(), bodies)
 
 
+@query("q_agg7_layout_keys", "select distinct layout, symbol_key from fx_builds")
+def _(fx):
+    return catalogue.layout_keys(fx.builds())
+
+
 AGG8 = f"""
 select m.kind, m.name, count(distinct m.blob) as variants, arg_max(m.layout, struct_pack(d := b.d, v := b.v, k := b.k)) as layout from hsh_m m join
  (select layout, coalesce(release_date,'') as d, {vk('file_version')} as v, symbol_key as k from fx_builds) b on b.layout = m.layout group by m.kind, m.name"""

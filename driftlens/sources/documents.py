@@ -12,13 +12,14 @@ EXTRACTION = (
     "missing_types array<string>, missing_symbols array<string>, missing_enums array<string>")
 
 
-def read_extractions(spark: SparkSession, path: str) -> DataFrame:
-    """One document per file; absent parts stay null and flatten to nothing."""
-    return spark.read.schema(EXTRACTION).option("multiLine", True).json(path)
+def read_extractions(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """One document per file, or per line; absent parts stay null and flatten to nothing. Malformed ones fail the job."""
+    return spark.read.schema(EXTRACTION).option("multiLine", multi_line).option("mode", "FAILFAST").json(path)
 
 
 def parse_extractions(texts: DataFrame, column: str = "value") -> DataFrame:
-    return texts.select(F.from_json(column, EXTRACTION).alias("_d")).select("_d.*")
+    """Documents held as text; one that is malformed fails the job instead of reading as an empty one."""
+    return texts.select(F.from_json(column, EXTRACTION, {"mode": "FAILFAST"}).alias("_d")).select("_d.*")
 
 
 def types_of(documents: DataFrame) -> DataFrame:
@@ -51,10 +52,12 @@ def missing_of(documents: DataFrame) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def to_extractions(members: DataFrame, types: DataFrame, extractor: str) -> DataFrame:
-    """Documents in canonical order, one per layout: types by name, members sorted.
+def to_extractions(members: DataFrame, types: DataFrame, extractor: str, constants: DataFrame | None = None, symbols: DataFrame | None = None,
+                   missing: DataFrame | None = None) -> DataFrame:
+    """Documents in canonical order, one per layout: types, enums and addresses by name, members and constants sorted.
 
-    A document holds its whole layout, as the format demands; analysis reads the flat tables instead.
+    ``symbols`` is (layout, name, rva) and ``missing`` (layout, kind, name). A document holds its whole layout, as the
+    format demands; analysis reads the flat tables instead.
     """
     group = F.col("union_group") if "union_group" in members.columns else F.lit(0)
     ordered = F.sort_array(F.collect_list(F.struct(
@@ -65,7 +68,27 @@ def to_extractions(members: DataFrame, types: DataFrame, extractor: str) -> Data
     full = types.join(bodies, ["layout", "type_name"], "left")
     per_layout = full.groupBy("layout").agg(F.sort_array(F.collect_list(F.struct(
         F.col("type_name").alias("key"), F.struct(F.col("type_size").cast("bigint").alias("size"), F.coalesce("members", F.array()).alias("members")).alias("value")))).alias("_t"))
-    return per_layout.select(F.lit(extractor).alias("extractor"), F.col("layout").cast("string").alias("pdb_key"), F.map_from_entries("_t").alias("types"))
+    columns = [F.lit(extractor).alias("extractor"), F.col("layout").cast("string").alias("pdb_key"), F.map_from_entries("_t").alias("types")]
+
+    def with_map(rows: DataFrame, key: str, value, name: str, kind: str):
+        entries = rows.groupBy("layout").agg(F.sort_array(F.collect_list(F.struct(F.col(key).alias("key"), value.alias("value")))).alias(f"_{name}"))
+        columns.append(F.map_from_entries(F.coalesce(f"_{name}", F.array().cast(f"array<struct<key:string,value:{kind}>>"))).alias(name))
+        return per_layout.join(entries, "layout", "left")
+
+    if constants is not None:
+        listed = constants.groupBy("layout", "enum_name").agg(F.max("enum_size").cast("bigint").alias("_s"), F.sort_array(F.collect_list(
+            F.struct(F.col("value").cast("bigint").alias("value"), "name"))).alias("_c"))
+        shaped = F.transform("_c", lambda c: F.struct(c["name"].alias("name"), c["value"].alias("value")))
+        per_layout = with_map(listed, "enum_name", F.struct(F.col("_s").alias("size"), shaped.alias("constants")), "enums",
+                              "struct<size:bigint,constants:array<struct<name:string,value:bigint>>>")
+    if symbols is not None:
+        per_layout = with_map(symbols, "name", F.col("rva").cast("bigint"), "rvas", "bigint")
+    if missing is not None:
+        for kind in ("type", "symbol", "enum"):
+            names = missing.filter(F.col("kind") == kind).groupBy("layout").agg(F.sort_array(F.collect_set("name")).alias(f"missing_{kind}s"))
+            per_layout = per_layout.join(names, "layout", "left")
+            columns.append(F.coalesce(f"missing_{kind}s", F.array().cast("array<string>")).alias(f"missing_{kind}s"))
+    return per_layout.select(*columns)
 
 
 def write_extractions(documents: DataFrame, path: str) -> None:

@@ -5,6 +5,8 @@ import random
 from conftest import rows
 from test_diff import CONSTANT, MEMBER, m
 
+from pyspark.sql import functions as F
+
 from driftlens.operators import hierarchy, quality
 
 TYPE = "layout string, type_name string, type_size bigint"
@@ -81,3 +83,12 @@ def test_canonical_record_choice(spark):
     records = spark.createDataFrame([(1, "s", "a", True), (2, "s", "a", False), (3, "s", "a", False), (4, "s", "a", True), (5, "s", "b", True), (6, "s", "b", True)],
                                     "idx int, kind_group string, name string, is_forward boolean")
     assert rows(hierarchy.canonical_records(records), "name", "idx") == [("a", 3), ("b", 5)]
+
+
+def test_mates_of_a_wide_union_never_meet(spark):
+    members = spark.range(20_000).select(F.lit("A").alias("layout"), F.lit("_T").alias("type_name"), F.concat(F.lit("m"), "id").alias("member"), F.lit(0).cast("bigint").alias("off"),
+                                         F.lit(8).alias("sz"), F.lit(0).alias("bit_position"), F.lit(0).alias("bit_count"), F.lit("").alias("mtype"), F.lit(1).alias("union_group"))
+    apart = members.limit(1).withColumns({"member": F.lit("z"), "off": F.lit(4).cast("bigint"), "union_group": F.lit(0)})
+    both = members.unionByName(apart)
+    assert quality.overlaps(members, summary(spark, members)).count() == 0
+    assert quality.overlaps(both, summary(spark, both)).count() == 20_000
