@@ -18,9 +18,17 @@ def fold(incoming: DataFrame, key: str, order: str, sets=SETS, kept=KEPT) -> Dat
     scalars = [F.max_by(c, F.when(F.coalesce(F.col(c).cast("string"), F.lit("")) != "", F.col(order))).alias(c) for c in kept if c in incoming.columns]
     others = [F.max_by(c, order).alias(c) for c in rest]
     folded = incoming.groupBy(key).agg(F.max(order).alias(order), *scalars, *others)
-    for name in [s for s in sets if s in incoming.columns]:
-        values = incoming.select(key, F.explode(name).alias(name)).distinct().groupBy(key).agg(F.array_sort(F.collect_list(name)).alias(name))
-        folded = folded.join(values, key, "left").withColumn(name, F.coalesce(name, F.array().cast(incoming.schema[name].dataType)))
+    held = [s for s in sets if s in incoming.columns]
+    if held:
+        # One pass over all lists: each value goes with the name of its list.
+        def tagged(name: str):
+            values = F.coalesce(name, F.array().cast(incoming.schema[name].dataType))
+            return F.transform(values, lambda v: F.struct(F.lit(name).alias("_set"), v.cast("string").alias("_value")))
+
+        named = F.flatten(F.array(*map(tagged, held)))
+        values = incoming.select(key, F.explode(named).alias("_v")).select(key, "_v.*").distinct()
+        lists = values.groupBy(key).agg(*[F.collect_list(F.when(F.col("_set") == name, F.col("_value"))).cast(incoming.schema[name].dataType).alias(name) for name in held])
+        folded = folded.join(lists, key, "left").withColumns({name: F.array_sort(F.coalesce(name, F.array().cast(incoming.schema[name].dataType))) for name in held})
     return folded.drop(order)
 
 

@@ -412,6 +412,6 @@ def _(fx):
     arrivals = (fx.spark.readStream.schema(fx.table("orders").schema).option("pathGlobFilter", "orders.parquet").parquet(fx.folder))
     store = scratch_path(fx.spark, "store")
     incremental.merge_available(arrivals, store, scratch_path(fx.spark, "stream"), "key", prepare=prepare)
-    return incremental.read_store(fx.spark, store).select("key", F.size("sha256").cast("bigint").alias("sources"), F.array_join("kb", ",").alias("kb"),
+    return incremental.read_store(fx.spark, store, "key").select("key", F.size("sha256").cast("bigint").alias("sources"), F.array_join("kb", ",").alias("kb"),
                                                           F.coalesce("file_version", F.lit("")).alias("file_version"))
 

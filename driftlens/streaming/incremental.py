@@ -1,43 +1,58 @@
-"""The daily run as a stream: only files not seen before are read, and their builds merged into the store."""
+"""The daily run as a stream: only files not seen before are read, and their builds added to the store.
+
+The store is a table of deltas, one per batch: a batch writes the rows it brings and nothing else, so a day costs what
+the day delivers, however large the store is. Reading folds the deltas of a key together; ``compact`` does so once.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from driftlens.operators.merging import fold
+from driftlens.runtime import durable
+
+BATCH = "batch"
+
 
-from driftlens.operators.merging import fold, upsert_builds
+def read_deltas(spark: SparkSession, store: str) -> DataFrame | None:
+    """All deltas with their batch number, or None where nothing is stored yet."""
+    try:
+        return spark.read.parquet(store)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
 
 
-def latest_version(spark: SparkSession, store: str, below: int | None = None) -> int | None:
-    """Newest completely written version of the store, optionally older than ``below``."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{store}/version=*/_SUCCESS")
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
-    versions = [int(status.getPath().getParent().getName().split("=")[1]) for status in found]
-    versions = [version for version in versions if below is None or version < below]
-    return max(versions, default=None)
+def read_store(spark: SparkSession, store: str, key: str = "symbol_key") -> DataFrame | None:
+    """One row per key: lists united, kept fields by their newest filled value, the rest by the newest batch."""
+    deltas = read_deltas(spark, store)
+    return None if deltas is None else fold(deltas, key, BATCH)
 
 
-def read_store(spark: SparkSession, store: str) -> DataFrame | None:
-    version = latest_version(spark, store)
-    return None if version is None else spark.read.parquet(f"{store}/version={version}")
+def compact(spark: SparkSession, store: str, key: str = "symbol_key") -> None:
+    """Replace all deltas by their fold, under the newest batch number. Run it while no batch is being merged."""
+    deltas = read_deltas(spark, store)
+    if deltas is not None:
+        newest = deltas.agg(F.max(BATCH)).first()[0]
+        folded = durable(fold(deltas, key, BATCH), "compacted")
+        folded.withColumn(BATCH, F.lit(newest)).write.mode("overwrite").partitionBy(BATCH).parquet(store)
 
 
 def merge_available(arrivals: DataFrame, store: str, checkpoint: str, key: str = "symbol_key", order: str = "ord",
                     prepare: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """Merge everything ``arrivals`` has not delivered before, then stop.
 
-    Batch n always starts from the newest version older than n and replaces version n, so a batch that is
-    run again after a failure gives the same store.
+    Batch n writes delta n alone, so a batch that is run again after a failure gives the same store.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         incoming = fold(prepare(batch) if prepare else batch, key, order)
-        before = latest_version(spark, store, below=batch_id)
-        merged = incoming if before is None else upsert_builds(spark.read.parquet(f"{store}/version={before}"), incoming, key)
-        merged.write.mode("overwrite").parquet(f"{store}/version={batch_id}")
+        incoming.write.mode("overwrite").parquet(f"{store}/{BATCH}={batch_id}")
 
     query = (arrivals.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())

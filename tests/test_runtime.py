@@ -3,8 +3,11 @@
 import os
 
 import pytest
+from conftest import rows
+from pyspark.sql import functions as F
 
 from driftlens import runtime
+from driftlens.streaming import incremental
 
 
 def test_a_scope_deletes_its_tables(spark):
@@ -26,3 +29,17 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(ValueError, match="checkpoint"):
         runtime.shared_dir(Cluster)
+
+
+def test_a_batch_writes_its_own_rows_only_and_compacting_keeps_the_store(spark, tmp_path):
+    store, source, schema = f"{tmp_path}/store", f"{tmp_path}/in", "symbol_key string, ord long, sha256 array<string>, file_version string, machine string"
+    assert incremental.read_store(spark, store) is None
+    days = [[("a", 1, ["x"], "1.0", "m1"), ("b", 1, ["y"], "1.0", "m1")], [("a", 1, ["w", "x"], "", "m2")]]
+    for day in days:
+        spark.createDataFrame(day, schema).coalesce(1).write.mode("append").parquet(source)
+        incremental.merge_available(spark.readStream.schema(schema).parquet(source), store, f"{tmp_path}/check")
+    want = [("a", "w,x", "1.0", "m2"), ("b", "y", "1.0", "m1")]
+    shown = lambda: rows(incremental.read_store(spark, store).withColumn("sha256", F.array_join("sha256", ",")), "symbol_key", "sha256", "file_version", "machine")
+    assert shown() == want and rows(incremental.read_deltas(spark, store).groupBy("batch").count(), "batch", "count") == [(0, 2), (1, 1)]
+    incremental.compact(spark, store)
+    assert shown() == want and incremental.read_deltas(spark, store).count() == 2
