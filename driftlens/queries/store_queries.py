@@ -94,11 +94,12 @@ def _(fx):
 
 @query("q_hsh7_reachable", """
 select 'manifest' as kind, count(*) as n from hsh_m where layout in (select layout from fx_builds)
-union all select 'blobs', count(distinct blob) from hsh_m where layout in (select layout from fx_builds)
-union all select 'dangling', count(*) from (select distinct layout from fx_builds where layout not in (select layout from hsh_m)) t""", *HSH)
+union all select 'blobs', count(distinct blob) from hsh_m where layout in (select layout from fx_builds) and blob not like '0%'
+union all select 'dangling', count(*) from (select distinct cast(layout as varchar) from fx_builds where layout not in (select layout from hsh_m) union all select distinct blob from hsh_m where layout in (select layout from fx_builds) and blob like '0%') t""", *HSH)
 def _(fx):
     found = full_manifest(fx)
-    blobs, builds = found.select("blob").distinct(), fx.builds()
+    # Some bodies are missing from the store.
+    blobs, builds = found.select("blob").distinct().filter("blob not like '0%'"), fx.builds()
     live, bodies = hashing.reachable(builds, found, blobs)
     lost = hashing.dangling(builds, found, blobs)
 
@@ -157,11 +158,15 @@ select build, pos // 8 as byte, sum(1 << (pos % 8)) as value from fx_symbols joi
 
 
 @query("q_dic2_bitmaps", """
+select d.build, d.symbols, c.symbol_count, c.addresses, (select count(*) from dic_all) as universe_size from (
 select s.build, base64(from_hex(string_agg(lpad(to_hex(coalesce(b.value, 0)), 2, '0'), '' order by s.byte))) as symbols
-from (select build, unnest(range(0, max(byte) + 1)) as byte from dic_bytes group by build) s left join dic_bytes b on b.build = s.build and b.byte = s.byte group by s.build""", *DIC, DIC_BYTES)
+from (select build, unnest(range(0, max(byte) + 1)) as byte from dic_bytes group by build) s left join dic_bytes b on b.build = s.build and b.byte = s.byte group by s.build) d
+join (select build, count(*) as symbol_count, string_agg(rva, ',' order by pos) as addresses from fx_symbols join dic_all using (name) group by build) c on c.build = d.build""", *DIC, DIC_BYTES)
 def _(fx):
-    placed = durable(dictionary.placed(fx.table("fx_symbols"), full_dictionary(fx)), "placed")
-    return dictionary.document(dictionary.bitmaps(placed), dictionary.ranked(placed), 0).select("build", "symbols")
+    universe = durable(full_dictionary(fx), "dictionary")
+    placed = durable(dictionary.placed(fx.table("fx_symbols"), universe), "placed")
+    made = dictionary.document(dictionary.bitmaps(placed), dictionary.ranked(placed), universe.count())
+    return made.select("build", "symbols", "symbol_count", F.array_join(F.col("rva").cast("array<string>"), ",").alias("addresses"), "universe_size")
 
 
 @query("q_dic3_address_order", """
@@ -362,11 +367,12 @@ def _(fx):
 
 @query("q_agg10_store_stats", """
 select (select count(*) from fx_builds) as builds, (select count(distinct layout) from hsh_m) as layouts, (select count(distinct blob) from hsh_m) as blobs, (select count(distinct name) from fx_symbols) as names,
- (select sum(length('{"blob":"'||blob||'"}')) from (select distinct blob from hsh_m) t) as blobs_bytes""", *HSH)
+ (select sum(length('{"blob":"'||blob||'"}')) from (select distinct blob from hsh_m) t) as blobs_bytes,
+ (select sum(length('{"name":"'||name||'"}')) from (select distinct name from fx_symbols) t) as names_bytes, (select round((select count(*) from fx_builds)::double / count(distinct layout), 2) from hsh_m) as dedup""", *HSH)
 def _(fx):
     found = full_manifest(fx)
     stats = catalogue.store_stats(fx.builds(), found, found.select("blob").distinct(), fx.table("fx_symbols").select("name").distinct())
-    return stats.select("builds", "layouts", "blobs", "names", "blobs_bytes")
+    return stats.select("builds", "layouts", "blobs", "names", "blobs_bytes", "names_bytes", "dedup")
 
 
 @query("q_agg13_layout_runs", """
