@@ -2,12 +2,18 @@
 
 Sizes are added up per source before anything is shuffled; sources are numbered and their targets settled as tables, so
 neither their number nor a source that holds most rows matters. A document is emitted floor(rate) times, plus once more
-if its hash falls below the fraction of the rate: no state, no order, the same on every run.
+if its hash falls below the fraction of the rate: no order, the same on every run.
+
+A single draw leaves a source with few or very unequal documents some per cent from its target. So each source looks at
+``TURNS`` draws that differ in the point of the hash circle where the fraction begins, each with the same probability for
+every document, and takes the one whose words come nearest to its target. Their sums are one aggregate with a row for
+each source.
 
 Defined results: a null text has size 0; a null source is a source of its own and comes last; the draw depends on the
-seed and ``doc_id`` alone, so repeated rows of a document are drawn alike; a null id draws as the text "null"; sources
-without words get target 0 and rate 0; an empty table gives an empty table. Only ``taken``/copies are decided here, so
-extra columns pass through ``mix`` untouched, whatever their names.
+seed, ``doc_id`` and the source's turn alone, so repeated rows of a document are drawn alike; a null id draws as the text
+"null"; sources without words get target 0 and rate 0; of turns that come equally near the first is taken; an empty table
+gives an empty table. Only ``taken``/copies are decided here, so extra columns pass through ``mix`` untouched, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -19,8 +25,10 @@ from driftlens.runtime import durable
 
 #: What separates words: space, tab, line feed, vertical tab, form feed, carriage return.
 GAP = "[ \\t\\n\\x0B\\f\\r]+"
-#: 48 bits of a digest.
-DRAW_RANGE = float(1 << 48)
+#: Draws are whole numbers of 48 bits.
+DRAW_RANGE = 1 << 48
+#: Draws that a source looks at; a power of two.
+TURNS = 64
 
 
 def n_words(text: Column) -> Column:
@@ -31,9 +39,14 @@ def n_words(text: Column) -> Column:
 
 
 def draw(seed: int, id_col: Column) -> Column:
-    """A number in [0, 1) from the first 12 digits of the MD5 of ``seed:id``."""
+    """A whole number below ``DRAW_RANGE``: the first 12 digits of the MD5 of ``seed:id``."""
     text = F.concat(F.lit(f"{seed}:"), F.coalesce(id_col.cast("string"), F.lit("null")))
-    return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("double") / F.lit(DRAW_RANGE)
+    return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("long")
+
+
+def drawn(value: Column, turn: Column | int, fraction: Column) -> Column:
+    """Whether a draw falls into the part of the circle that has ``fraction`` of it and begins at the turn."""
+    return (value + turn * F.lit(DRAW_RANGE // TURNS)) % DRAW_RANGE < fraction * float(DRAW_RANGE)
 
 
 def numbered(sources: DataFrame) -> DataFrame:
@@ -67,22 +80,40 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: tuple
     return known.select("_source", "source_size", F.when(share_of >= F.col("_cap"), F.col("_cap").cast("double")).otherwise(share_of).alias("target"))
 
 
+def _sizes(docs: DataFrame, seed: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """``doc_id, _source, size, _draw`` of every row, written once: texts are read for it and never shuffled."""
+    return durable(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("_source"), n_words(F.col(text_col)).alias("size"), draw(seed, F.col(id_col)).alias("_draw")), "mix-sizes")
+
+
+def rates(sizes: DataFrame, **settings) -> DataFrame:
+    """``_of, source_size, target, _rate, _turn``: each source's target, rate and the turn that comes nearest to the target."""
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    goal = durable(targets(sizes, **settings).withColumnRenamed("_source", "_of").withColumn("_rate", rate), "mix-targets")
+    fraction = F.col("_rate") - F.floor("_rate")
+    rows = sizes.join(goal, F.col("_source").eqNullSafe(F.col("_of"))).select("_of", "_draw", "size", fraction.alias("_fraction"))
+    words = F.array(*[F.sum(F.when(drawn(F.col("_draw"), k, F.col("_fraction")), F.col("size")).otherwise(0)) for k in range(TURNS)])
+    sums = rows.groupBy(F.col("_of").alias("_at")).agg(words.alias("_words"))
+    off = F.transform("_words", lambda w, k: F.struct(F.abs(F.floor("_rate") * F.col("source_size") + w - F.col("target")).alias("off"), k.alias("turn")))
+    near = goal.join(sums, F.col("_of").eqNullSafe(F.col("_at")))
+    return near.select("_of", "source_size", "target", "_rate", F.array_min(off)["turn"].alias("_turn"))
+
+
+def _copies() -> Column:
+    fraction = F.col("_rate") - F.floor("_rate")
+    return (F.floor("_rate") + F.when(drawn(F.col("_draw"), F.col("_turn"), fraction), 1).otherwise(0)).cast("long")
+
+
 def plan(docs: DataFrame, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **settings) -> DataFrame:
     """``doc_id, size, source_size, target, copies, taken`` of every row. Texts are read once and never shuffled."""
-    sizes = durable(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("_source"), n_words(F.col(text_col)).alias("size")), "mix-sizes")
-    goal = targets(sizes, **settings).withColumnRenamed("_source", "_of")
-    joined = sizes.join(goal, F.col("_source").eqNullSafe(F.col("_of")), "left")
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    copies = F.floor(rate) + F.when(draw(seed, F.col("doc_id")) < rate - F.floor(rate), 1).otherwise(0)
-    return joined.withColumn("copies", copies.cast("long")).select("doc_id", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+    sizes = _sizes(docs, seed, id_col, text_col, source_col)
+    joined = sizes.join(durable(rates(sizes, **settings), "mix-rates"), F.col("_source").eqNullSafe(F.col("_of")), "left")
+    return joined.withColumn("copies", _copies()).select("doc_id", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def mix(docs: DataFrame, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **settings) -> DataFrame:
     """The mixed rows themselves: every column of ``docs``, each row as often as it is taken."""
-    sizes = docs.select(F.col(source_col).cast("string").alias("_source"), n_words(F.col(text_col)).alias("size")).groupBy("_source").agg(F.sum("size").alias("size"))
-    goal = targets(durable(sizes, "mix-sizes"), **settings).select(F.col("_source").alias("_of"), F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)).alias("_rate"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"))
-    joined = rows.join(goal, F.col("source").eqNullSafe(F.col("_of")), "left")
-    copies = F.floor("_rate") + F.when(draw(seed, F.col("id")) < F.col("_rate") - F.floor("_rate"), 1).otherwise(0)
-    repeated = joined.withColumn("copy", F.explode(F.array_repeat(F.lit(0), copies.cast("int"))))
+    goal = durable(rates(_sizes(docs, seed, id_col, text_col, source_col), **settings), "mix-rates").select("_of", "_rate", "_turn")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), draw(seed, F.col(id_col)).alias("_draw"), F.col(source_col).cast("string").alias("_source"))
+    joined = rows.join(goal, F.col("_source").eqNullSafe(F.col("_of")), "left")
+    repeated = joined.withColumn("copy", F.explode(F.array_repeat(F.lit(0), _copies().cast("int"))))
     return repeated.select(*[F.col(f"row.`{c}`") for c in docs.columns])

@@ -106,12 +106,18 @@ level AS (
   WHERE w * (((SELECT sum(source_size) FROM total) * 3 / 2 - spent) / open) < cap),
 goal AS (SELECT source, source_size, CASE WHEN v IS NULL OR w * v >= cap THEN cap::DOUBLE ELSE w * v END AS target FROM ranked, level),
 rated AS (
-  SELECT s.doc_id, s.size, g.source_size, g.target, CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0 END AS rate,
-         ('0x' || substr(md5('42:' || coalesce(s.doc_id::VARCHAR, 'null')), 1, 12))::BIGINT / 281474976710656.0::DOUBLE AS u
-  FROM sized s JOIN goal g ON s.source IS NOT DISTINCT FROM g.source)
-SELECT doc_id, size, source_size, target, (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END)::BIGINT AS copies,
-       (size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM rated"""
+  SELECT s.doc_id, s.source, s.size, g.source_size, g.target, CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0 END AS rate,
+         ('0x' || substr(md5('42:' || coalesce(s.doc_id::VARCHAR, 'null')), 1, 12))::BIGINT AS u
+  FROM sized s JOIN goal g ON s.source IS NOT DISTINCT FROM g.source),
+tried AS (
+  SELECT source, k, any_value(floor(rate) * source_size) AS whole, any_value(target) AS target,
+         sum(CASE WHEN (u + k * 4398046511104) % 281474976710656 < (rate - floor(rate)) * 281474976710656::DOUBLE THEN size ELSE 0 END)::DOUBLE AS words
+  FROM rated, range(64) AS turns(k) GROUP BY source, k),
+turned AS (SELECT source, k FROM tried QUALIFY row_number() OVER (PARTITION BY source ORDER BY abs(whole + words - target), k) = 1),
+copied AS (
+  SELECT r.*, floor(rate) + CASE WHEN (u + k * 4398046511104) % 281474976710656 < (rate - floor(rate)) * 281474976710656::DOUBLE THEN 1 ELSE 0 END AS copies
+  FROM rated r JOIN turned t ON r.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target, copies::BIGINT AS copies, (size * copies)::BIGINT AS taken FROM copied"""
 
 
 @query("op9_source_mixing", OP9_SQL)
