@@ -4,8 +4,9 @@ A document is a bag of sentences. Each sentence has a logistic score over its wo
 toxic if at least one sentence is (noisy-or of the sentence scores). Weights are trained on document labels through the
 noisy-or, so the sentences that carry the label are found without sentence labels, and ``offending`` names them.
 
-Training reads a bounded sample of the labelled rows (``sample`` documents of each class, by the smallest hash of their
-ids, so it is the same on every run and at every size of the corpus). Scoring reads every whole text.
+Training reads a bounded sample of the labelled rows: of each class the documents with the smallest hashes of their ids,
+at most ``sample`` of them, and whole texts of at most ``sample_bytes`` together, so the driver's share is bounded however
+long texts are and the same on every run. Scoring reads every whole text.
 
 Defined results: a null or empty text has no sentence and gets the score of an empty bag, 0; labels that are null or
 other than 0 and 1 are not learnt from; a document with several labels counts as toxic if one of them says so; without
@@ -23,10 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from driftlens.runtime import durable
+
 SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"\w+")
 #: Labelled documents of each class that are trained on at most.
 SAMPLE = 2000
+#: Bytes of the texts of each class that are trained on at most (the first text is taken whatever its length).
+SAMPLE_BYTES = 24 << 20
 #: Lengths of word beginnings that are features beside the word.
 BEGINNINGS = (4, 5, 6)
 #: A feature must occur in so many documents of the sample.
@@ -133,15 +138,18 @@ def noisy_or(scores: list[float]) -> float:
     return -math.expm1(sum(math.log1p(-min(s, 1 - 1e-15)) for s in scores)) if scores else 0.0
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[float, dict[str, float]]:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[float, dict[str, float]]:
     """Bias and weights from rows whose crc32(id as text) mod 5 is not 0. Only ids pass through the choice of the sample."""
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("id is not null and y in (0, 1)").where(F.crc32(F.col("id").cast("string").cast("binary")) % 5 != 0)
     known = known.groupBy("id").agg(F.max("y").alias("y")).withColumn("h", F.xxhash64("id"))
     chosen = [known.where(f"y = {y}").orderBy("h", "id").limit(sample) for y in (0, 1)]
     # at most 2 * sample ids: small enough to send to every task
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null").join(F.broadcast(chosen[0].union(chosen[1])), "id")
-    texts = texts.groupBy("id", "y", "h").agg(F.min("text").alias("text")).orderBy("h", "id")
-    rows = texts.select("text", "y").collect()
+    texts = durable(texts.groupBy("id", "y", "h").agg(F.min("text").alias("text")), "toxicity-sample")
+    upto = F.expr("sum(octet_length(text)) over (partition by y order by h, id)")  # at most ``sample`` rows a class
+    ahead = texts.select("id", "y", "h", F.octet_length("text").alias("n"), upto.alias("upto"))
+    fits = ahead.where((F.col("upto") <= sample_bytes) | (F.col("upto") == F.col("n"))).select("id")
+    rows = texts.join(fits, "id", "left_semi").orderBy("h", "id").select("text", "y").collect()
     return train([r["text"] for r in rows], [r["y"] for r in rows])
 
 

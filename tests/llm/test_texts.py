@@ -259,6 +259,20 @@ def test_held_out_accuracy_and_planted_sentences(spark):
     assert sorted(r.doc_id for r in toxicity.keep_clean(planted, model).collect()) == [2, 3, 4]
 
 
+def test_the_sample_is_bounded_in_rows_and_bytes(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels: seen.append(list(zip(texts, labels, strict=True))) or (0.0, {}))
+    docs = spark.createDataFrame([(i, f"{i:03d}" + "x" * 97) for i in range(200)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    toxicity.fit(docs, labels)
+    toxicity.fit(docs, labels, sample=20)
+    toxicity.fit(docs, labels, sample_bytes=1050)
+    toxicity.fit(docs, labels, sample_bytes=1)
+    sizes = [Counter(y for _, y in rows) for rows in seen]
+    assert sum(sizes[0].values()) > 140 and sizes[1] == {0: 20, 1: 20} and sizes[2] == {0: 10, 1: 10} and sizes[3] == {0: 1, 1: 1}
+    assert set(seen[3]) <= set(seen[2]) <= set(seen[1]) <= set(seen[0])
+
+
 def test_nothing_to_learn_from(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.fit(odd(spark), none)
