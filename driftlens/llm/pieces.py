@@ -22,9 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from driftlens.llm.batches import pieces_of
+
 SPACE = "▁"
-CACHE_ENTRIES = 250_000
-PAIR_ENTRIES = 300_000
+CACHE_ENTRIES = 100_000
+PAIR_ENTRIES = 200_000
 CACHED_CHARS = 48
 
 
@@ -166,7 +168,7 @@ def codec(path: str) -> PieceCodec:
 def _mapped(docs: DataFrame, path: str, id_col: str, text_col: str, columns: str, make) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
-        for batch in batches:
+        for batch in pieces_of(batches):
             made = [make(*own.convert(t or "")) for t in batch.column(1).to_pylist()]
             arrays = [pa.array([m[k] for m in made], kind) for k, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=names)

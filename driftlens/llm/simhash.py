@@ -25,6 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from driftlens.llm.batches import pieces_of
 from driftlens.llm.components import components
 from driftlens.runtime import durable
 
@@ -52,7 +53,7 @@ def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42, id_col: str =
     """``doc_id, fp`` (signed 64 bits) of every whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces_of(batches):
             made = [fingerprint(t, words, seed) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.int64())], names=["doc_id", "fp"])
 

@@ -21,9 +21,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from driftlens.llm.batches import pieces_of
+
 #: Fixed value: the split pattern of the byte-level vocabulary.
 PRE_TOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 300_000
 CACHED_CHARS = 48
 
 
@@ -143,7 +145,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 512, id_col: str = "do
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _COUNTERS.get(path) or _COUNTERS.setdefault(path, _Counter(path, table.value, odd, exact))
-        for batch in batches:
+        for batch in pieces_of(batches):
             counts = [counter.count(t) if t else 0 for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
 

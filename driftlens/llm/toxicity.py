@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from driftlens.llm.batches import pieces_of
 from driftlens.runtime import durable
 
 SENTENCE = re.compile(r"[^.!?\n]+")
@@ -34,6 +35,8 @@ SAMPLE = 2000
 SAMPLE_BYTES = 24 << 20
 #: Lengths of word beginnings that are features beside the word.
 BEGINNINGS = (4, 5, 6)
+#: Words whose weight a task remembers.
+ROOM = 200_000
 #: A feature must occur in so many documents of the sample.
 LEAST_DOCS = 3
 ROUNDS = 200
@@ -108,7 +111,7 @@ class _Weights(dict):
 
     def __init__(self, learnt: dict[str, float]):
         super().__init__()
-        self.learnt, self.room = learnt, 400_000
+        self.learnt, self.room = learnt, ROOM
 
     def __missing__(self, word: str) -> float:
         get = self.learnt.get
@@ -116,7 +119,7 @@ class _Weights(dict):
         if len(word) <= 32:
             if not self.room:
                 self.clear()
-                self.room = 400_000
+                self.room = ROOM
             self[word] = total
             self.room -= 1
         return total
@@ -159,7 +162,7 @@ def _scored(docs: DataFrame, model: tuple[float, dict[str, float]], id_col: str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = _Weights(shared.value)
-        for batch in batches:
+        for batch in pieces_of(batches):
             made = [make(sentence_scores(t, bias, weights) if t else []) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r[k] for r in made], kind) for k, kind in enumerate(kinds))], names=names)
 
@@ -195,7 +198,7 @@ def keep_clean(docs: DataFrame, model: tuple[float, dict[str, float]], least: fl
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = _Weights(shared.value)
-        for batch in batches:
+        for batch in pieces_of(batches):
             texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
             yield batch.filter(pa.array([noisy_or([s for _, _, s in sentence_scores(t or "", bias, weights)]) < least for t in texts], pa.bool_()))
 
