@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from driftlens.llm import lines, mixing, pieces, simhash, toxicity
+from driftlens.llm import lines, mixing, nearcopies, pieces, toxicity
 from driftlens.runtime import durable
 
 #: SQL has no gradient steps, no rolling hashes and no piece encoder; the tests hold each stage against a plain version.
@@ -27,8 +27,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component."""
-    return simhash.keep_first(docs, words=3, seed=42, distance=3)
+    """One document of each component of texts whose 5-word shingles have a Jaccard similarity of 0.8 or more."""
+    return nearcopies.keep_first(docs, words=5, least=(4, 5), seed=42, distance=3)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

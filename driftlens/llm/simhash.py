@@ -49,16 +49,18 @@ def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(2 * votes > total).tobytes(), "big", signed=True)
 
 
-def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fp`` (signed 64 bits) of every whole text."""
+def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, fp`` (signed 64 bits) of every whole text, and the columns ``keep`` (whole numbers)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches):
             made = [fingerprint(t, words, seed) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.int64())], names=["doc_id", "fp"])
+            kept = [batch.column(2 + k) for k in range(len(keep))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.int64()), *kept], names=["doc_id", "fp", *keep])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, fp long")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *[F.col(c).cast("long").alias(c) for c in keep])
+    return rows.mapInArrow(run, ", ".join([f"doc_id {kind}, fp long", *[f"{c} long" for c in keep]]))
 
 
 def bits(value: Column, low: int, width: int) -> Column:
@@ -87,7 +89,12 @@ def _near_values(values: DataFrame, width: int) -> DataFrame:
 
 
 def links(fps: DataFrame, distance: int = 3) -> DataFrame:
-    """``a, b`` (a < b): pairs of distinct fingerprints of ``fps(fp)`` that differ in at most ``distance`` bits."""
+    """``a, b`` (a < b): pairs of distinct fingerprints of ``fps(fp)`` that differ in at most ``distance`` bits.
+
+    Two halves find pairs of up to three bits, so larger distances are refused.
+    """
+    if not 0 <= distance <= 3:
+        raise ValueError("two halves find pairs that differ in at most three bits")
     rows = durable(fps.select("fp").distinct(), "fingerprints").select(F.lit(0).cast("long").alias("ctx"), F.lit(0).alias("side"), "fp")
     found, width, low_of = None, 32, None
     while True:
@@ -128,14 +135,18 @@ def links(fps: DataFrame, distance: int = 3) -> DataFrame:
     return durable(found.distinct(), "fingerprint-links")
 
 
-def groups(docs: DataFrame, words: int = 3, seed: int = 42, distance: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fp, fingerprint, component_id`` of every row: 16 hex digits, and the smallest id that links lead to."""
-    prints = durable(fingerprints(docs, words, seed, id_col, text_col), "simhash")
+def groups(docs: DataFrame, words: int = 3, seed: int = 42, distance: int = 3, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, fp, fingerprint, component_id`` of every row: 16 hex digits, and the smallest id that links lead to.
+
+    With ``keep`` also these columns and ``root``, the smallest fingerprint that links lead to.
+    """
+    prints = durable(fingerprints(docs, words, seed, id_col, text_col, keep), "simhash")
     heads = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     linked = components(links(prints.select("fp"), distance))
     rooted = durable(heads.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "simhash-roots")
-    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select(F.col("fp").alias("_fp"), "component_id")
-    return prints.join(named, F.col("fp") == F.col("_fp"), "left").select("doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select(F.col("fp").alias("_fp"), "component_id", "root")
+    more = [*keep, "root"] if keep else []
+    return prints.join(named, F.col("fp") == F.col("_fp"), "left").select("doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", *more)
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
