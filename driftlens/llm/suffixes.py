@@ -11,7 +11,7 @@ start at anchors, each with the few bytes before it that its strings can reach (
    batch are settled on the map side, so a passage that a third of all documents share sends a few rows per batch.
 2. *Suffix array.* The suffixes that are left are range-partitioned by their leading bytes with sampled splitters and
    sorted in each bucket by multikey quicksort. Suffixes that begin alike stand together; their strings are compared in
-   the bucket, first by hash and then byte by byte.
+   the bucket, first by hash and then byte by byte, each with the earliest one at the same distance from its anchor.
 3. *Boundaries.* Splitters part beginnings, so a run of suffixes that begin alike ends inside its bucket. Runs too long
    for a bucket are cut anywhere, and their strings are compared across the cuts by a shuffle on the strings' hashes,
    again combined on the map side.
@@ -281,7 +281,8 @@ def _compared(rows, left, right, doc, at, length: int, reach: int):
     rows, left, right, doc, at = rows[order], left[order], right[order], doc[order], at[order]
     hashes, there = _strings(rows, left, right, length, reach, _BYTES)
     who, back = np.nonzero(there)
-    h = hashes[who, back]
+    with np.errstate(over="ignore"):  # equal strings meet where they stand alike to their anchors: only those are aligned
+        h = hashes[who, back] ^ _mixed(back.astype(np.uint64) * _U(_BASE))
     by = np.argsort(h, kind="stable")  # equal strings follow each other, the earliest first
     h, who = h[by], who[by]
     new = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.array([], bool)
