@@ -1,9 +1,11 @@
 """Line dedup by content-defined chunks of lines.
 
 A rolling hash over the hashes of neighbouring lines decides after which lines a text is cut, so an inserted line only
-moves the cuts beside it and the chunks of a copied passage are cut alike wherever it stands. Chunks of at least two
-lines that hold words are counted over the whole corpus by their bytes; of each repeated chunk the occurrence in the
-smallest document (there the first one) stays and all others are removed.
+moves the cuts beside it and the chunks of a copied passage are cut alike wherever it stands. A short passage may hold
+no two cuts, so every shortest run (a line that holds words up to the next such line) is a chunk as well: then each
+passage of at least two such lines is made of chunks, wherever a text is cut. Chunks of at least two lines that hold
+words are counted over the whole corpus by their bytes; of each repeated chunk the occurrence in the smallest document
+(there the first one) stays and all others are removed. Chunks overlap; a line goes if one chunk over it does.
 
 Chunks are grouped by their bytes with partial counts, so equal hashes never decide alone and a chunk that a third of
 all documents share costs a row per task. What is removed travels as (document, line numbers).
@@ -17,6 +19,7 @@ occurrence; null ids come last and count as one id. Extra columns are kept by ``
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -56,16 +59,17 @@ def cuts(lines: list[str], window: int = WINDOW, mean: int = MEAN_LINES) -> list
 
 
 def chunked(text: str | None, window: int = WINDOW, mean: int = MEAN_LINES) -> list[tuple[int, int, str]]:
-    """First line, number of lines and bytes of each chunk that may be removed."""
+    """First line, number of lines and bytes of each chunk that may be removed, by place; chunks overlap."""
     if not text or "\n" not in text:
         return []
-    lines, begin, out = text.split("\n"), 0, []
+    lines, begin = text.split("\n"), 0
+    full = [i for i, line in enumerate(lines) if _WORD.search(line)]
+    places = set(zip(full, (i + 1 for i in full[1:]), strict=False))
     for end in cuts(lines, window, mean):
-        part = lines[begin:end]
-        if len(part) >= LEAST_LINES and sum(1 for line in part if _WORD.search(line)) >= LEAST_LINES:
-            out.append((begin, end - begin, "\n".join(part)))
+        if bisect_left(full, end) - bisect_left(full, begin) >= LEAST_LINES:
+            places.add((begin, end))
         begin = end
-    return out
+    return [(a, b - a, "\n".join(lines[a:b])) for a, b in sorted(places)]
 
 
 def _id(docs: DataFrame, id_col: str) -> Column:
@@ -109,9 +113,10 @@ def _cut(docs: DataFrame, id_col: str, text_col: str, **settings) -> DataFrame:
     gone = removals(docs, id_col, text_col, **settings).select(F.col("id").alias("_rid"), F.col("th").alias("_rth"), F.col("ranges").alias("_ranges"))
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _id(docs, id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
     joined = keyed.join(gone, (F.col("id") == F.col("_rid")) & (F.col("th") == F.col("_rth")), "left")
-    lost = F.flatten(F.transform("_ranges", lambda r: F.sequence(r["first"], r["first"] + r["n"] - 1)))
+    lost = F.array_distinct(F.flatten(F.transform("_ranges", lambda r: F.sequence(r["first"], r["first"] + r["n"] - 1))))
     lines = F.split("text", "\n")
-    kept = F.filter(lines, lambda line, i: ~F.exists("_ranges", lambda r: (i >= r["first"]) & (i < r["first"] + r["n"])))
+    # the lines are split once and picked by number, as overlapping ranges may be as many as the lines
+    kept = F.element_at(F.transform(F.array(lines), lambda all_: F.transform(F.array_except(F.sequence(F.lit(0), F.size(all_) - 1), lost), lambda i: F.get(all_, i))), 1)
     return joined.select(
         "row", F.when(F.col("text").isNotNull(), F.size(lines)).otherwise(0).cast("long").alias("n_lines"),
         F.when(F.col("_ranges").isNotNull(), F.size(lost)).otherwise(0).cast("long").alias("n_removed"),
