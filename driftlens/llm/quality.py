@@ -3,9 +3,11 @@
 Each text is measured by array functions inside its row; nothing of a text is shuffled. The measures become rates per
 thousand, and each rate goes into a sketch per (language, source): counts of log-linear buckets, 32 to a doubling, so a
 quantile is off by 1/32 of its value at most. Such sketches merge by adding counts, in any order and on the map side,
-with a bounded number of buckets however many rows there are. Groups with few documents take the merged sketch of their
-language, and where that is small too, that of all documents. The fences (quartiles and their distance) are joined back
-and rows beyond them are dropped: a text goes only for being unlike its own group, so a homogeneous group loses nothing.
+with a bounded number of buckets however many rows there are. A fence is the quartile and some distances of the
+quartiles beyond it, or the first or last percentile where that is farther: rates that are 0 in most documents have no
+distance of quartiles, and their last percentile is the threshold. Fences of a group are weighted with those of its
+language, and these with those of all documents, by the number of documents, so no size switches them. They are joined
+back and rows beyond them are dropped: a text goes only for being unlike its group, so a homogeneous group loses nothing.
 
 Defined results: a null text has no words, and like any text below the base rules is not kept; null languages and
 sources are groups of their own; repeated rows count each time; extra columns are ignored by ``judge`` and kept by
@@ -25,11 +27,10 @@ GAP = "[ \\t\\n\\x0B\\f\\r]+"
 #: Words of a window that is looked for again in the same text.
 WINDOW = 8
 LEAST_WORDS, MOST_REPEATED = 20, 30
-#: Documents that a group needs for thresholds of its own.
+#: Documents of a group at which its own fences weigh four fifths and those of the level above one fifth.
 LEAST_GROUP = 200
-#: Distance of the fences from the quartiles, in distances of the quartiles, and the least slack, by rate.
+#: Distance of the fences from the quartiles, in distances of the quartiles.
 REACH = 3
-RATES = {"word_len": 1500, "symbols": 20, "dup_lines": 350, "repeats": 250}
 
 
 def let(value: Column, use) -> Column:
@@ -88,7 +89,7 @@ def with_base(measured: DataFrame) -> DataFrame:
 
 
 def rates() -> Column:
-    """Rates per thousand, as whole numbers, one struct for each name in ``RATES``."""
+    """Rates per thousand, as whole numbers, one struct for each rate."""
     per = lambda a, b: F.expr(f"1000 * {a} div greatest({b}, 1L)")
     made = {"word_len": per("word_chars", "n_words"), "symbols": per("n_symbols", "word_chars"), "dup_lines": per("n_dup_lines", "n_lines"), "repeats": per("n_repeat_words", "n_words")}
     return F.array(*[F.struct(F.lit(k).alias("rate"), v.alias("v")) for k, v in made.items()])
@@ -101,7 +102,10 @@ def bucket(v: Column) -> Column:
 
 
 def fences(measured: DataFrame, least_group: int = LEAST_GROUP) -> DataFrame:
-    """``level, lang, source, rate, low, high``: level 0 holds groups of (lang, source), 1 languages, 2 all."""
+    """``level, lang, source, rate, low, high, n``: level 0 holds groups of (lang, source), 1 languages, 2 all.
+
+    Fences of levels 0 and 1 are weighted with those of the level above.
+    """
     values = measured.where("not base_failed").select("lang", "source", F.explode(rates()).alias("r")).select("lang", "source", "r.rate", bucket(F.col("r.v")).alias("b"))
     fine = durable(values.groupBy("lang", "source", "rate", "b").agg(F.count("*").alias("n")), "quality-sketches")
     merged = fine.select(F.lit(0).alias("level"), "lang", "source", "rate", "b", "n")
@@ -109,10 +113,21 @@ def fences(measured: DataFrame, least_group: int = LEAST_GROUP) -> DataFrame:
     merged = merged.union(fine.groupBy("rate", "b").agg(F.sum("n").alias("n")).select(F.lit(2), F.lit(None).cast("string"), F.lit(None).cast("string"), "rate", "b", "n"))
     # at most a few hundred buckets a group, so ordering them is bounded
     ranked = merged.withColumn("upto", F.expr("sum(n) over (partition by level, lang, source, rate order by b)")).withColumn("all", F.expr("sum(n) over (partition by level, lang, source, rate)"))
-    quartiles = ranked.groupBy("level", "lang", "source", "rate").agg(F.min(F.expr("case when 4 * upto >= `all` then b end")).alias("q1"), F.min(F.expr("case when 4 * upto >= 3 * `all` then b end")).alias("q3"), F.max("all").alias("n"))
-    slack = F.element_at(F.create_map(*[F.lit(x) for pair in RATES.items() for x in pair]), F.col("rate"))
-    spread = REACH * (F.col("q3") - F.col("q1")) + slack
-    return quartiles.where((F.col("level") == 2) | (F.col("n") >= least_group)).select("level", "lang", "source", "rate", (F.col("q1") - spread).alias("low"), (F.col("q3") + spread).alias("high"))
+    first = lambda parts, of: F.min(F.expr(f"case when {of} * upto >= {parts} * `all` then b end"))
+    quantiles = ranked.groupBy("level", "lang", "source", "rate").agg(first(1, 4).alias("q1"), first(3, 4).alias("q3"), first(1, 100).alias("p1"), first(99, 100).alias("p99"), F.max("all").alias("n"))
+    spread = REACH * (F.col("q3") - F.col("q1"))
+    own = quantiles.select("level", "lang", "source", "rate", F.least(F.col("q1") - spread, "p1").cast("double").alias("low"), F.greatest(F.col("q3") + spread, "p99").cast("double").alias("high"), "n")
+    own = durable(own, "quality-levels")
+    weight = F.col("n") / (F.col("n") + F.lit(max(least_group, 0) / 4))
+
+    def weighted(rows: DataFrame, above: DataFrame, same: Column) -> DataFrame:
+        joined = rows.join(above, same & (F.col("rate") == F.col("_rate")))
+        return joined.select("level", "lang", "source", "rate", *[(weight * F.col(c) + (1 - weight) * F.col(f"_{c}")).alias(c) for c in ("low", "high")], "n")
+
+    named = lambda rows: rows.select(F.col("lang").alias("_lang"), F.col("rate").alias("_rate"), F.col("low").alias("_low"), F.col("high").alias("_high"))
+    top = own.where("level = 2")
+    of_lang = weighted(own.where("level = 1"), named(top), F.lit(True))
+    return weighted(own.where("level = 0"), named(of_lang), F.col("lang").eqNullSafe(F.col("_lang"))).union(of_lang).union(top)
 
 
 def judge(docs: DataFrame, least_group: int = LEAST_GROUP, **columns: str) -> DataFrame:
@@ -128,7 +143,7 @@ def judge(docs: DataFrame, least_group: int = LEAST_GROUP, **columns: str) -> Da
     joined = measured.join(own, F.col("lang").eqNullSafe(F.col("gl")) & F.col("source").eqNullSafe(F.col("gs")), "left")
     joined = joined.join(of_lang, F.col("lang").eqNullSafe(F.col("ll")), "left")
     used = F.coalesce(F.col("f0"), F.col("f1"), of_all)
-    inside = F.forall(rates(), lambda r: r["v"].between(F.element_at(used, r["rate"])["low"], F.element_at(used, r["rate"])["high"]))
+    inside = F.forall(rates(), lambda r: bucket(r["v"]).between(F.floor(F.element_at(used, r["rate"])["low"]), F.ceil(F.element_at(used, r["rate"])["high"])))
     return joined.select(*measured.columns, (~F.col("base_failed") & F.coalesce(inside, F.lit(True))).alias("kept"))
 
 
