@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from driftlens.llm import chat, lattice, lines, mixing, pieces, quality, simhash, suffixes, tokens, toxicity
+from driftlens.llm import chat, languages, lattice, lines, mixing, pieces, quality, ranking, resampling, simhash, suffixes, tokens, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -128,3 +128,67 @@ def op9(spark, folder):
 @query("op10_suffix_array_dedup")
 def op10(spark, folder):
     return suffixes.report(documents(spark, folder), length=100)
+
+
+def _crc_step(remainder: int) -> int:
+    """CRC-32 of one byte's value, by its rule."""
+    for _ in range(8):
+        remainder = remainder >> 1 ^ (0xEDB88320 if remainder & 1 else 0)
+    return remainder
+
+
+OP11_SQL = r"""
+WITH words AS (
+  SELECT 'd' AS side, row_number() OVER () AS uid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+  UNION ALL
+  SELECT 'b', -row_number() OVER (), NULL, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+runs AS (
+  SELECT side, uid, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]), list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS f FROM words),
+features AS (SELECT side, uid, f, count(*)::BIGINT AS n FROM runs GROUP BY side, uid, f),
+kinds AS (SELECT f, hex(f) AS x FROM (SELECT DISTINCT f FROM features)),
+crcs AS (
+  SELECT f, xor(list_reduce(list_transform(range(0, len(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT),
+                            lambda c, b: xor(c >> 8, ({table})[1 + (xor(c, b) & 255)]), 4294967295::BIGINT), 4294967295) % 10000 AS bucket FROM kinds),
+placed AS (SELECT side, uid, bucket, sum(n)::BIGINT AS n FROM features JOIN crcs USING (f) GROUP BY side, uid, bucket),
+held AS (SELECT bucket, coalesce(sum(n) FILTER (WHERE side = 'd'), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (WHERE side = 'b'), 0)::DOUBLE AS t FROM placed GROUP BY bucket),
+gain AS (SELECT bucket, floor(1000 * ln((t + 1) * ((SELECT sum(s) FROM held) + 10000) / ((s + 1) * ((SELECT sum(t) FROM held) + 10000))))::BIGINT AS gain FROM held),
+weights AS (SELECT uid, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight FROM placed JOIN gain USING (bucket) WHERE side = 'd' GROUP BY uid),
+scored AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE))))::BIGINT AS score
+  FROM words LEFT JOIN weights USING (uid) WHERE side = 'd'),
+drawn AS (SELECT *, n_words >= 20 AS open, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS nth FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN open AND nth <= 5 * (SELECT count(*) FROM scored WHERE n_words >= 20) // 100 THEN nth::BIGINT END AS rank FROM drawn""".replace("{table}", str([_crc_step(b) for b in range(256)]) + "::BIGINT[]")
+
+
+@query("op11_importance_resampling", OP11_SQL)
+def op11(spark, folder):
+    return resampling.ranked(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"), share=(5, 100), seed=42)
+
+
+@query("op12_language_id")
+def op12(spark, folder):
+    docs = documents(spark, folder)
+    return languages.identify(docs, languages.fit(docs))
+
+
+OP13_SQL = r"""
+WITH cut AS (
+  SELECT row_number() OVER () AS uid, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+tfs AS (SELECT uid, doc_id, term, count(*)::BIGINT AS tf FROM cut GROUP BY uid, doc_id, term),
+sizes AS (SELECT uid, sum(tf)::BIGINT AS n FROM tfs GROUP BY uid),
+corpus AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS words FROM sizes),
+strata AS (SELECT uid, 50 + (50 * n * docs) // words AS m FROM sizes, corpus),
+weights AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM (SELECT term, count(*) AS df FROM tfs GROUP BY term), corpus),
+asked AS (
+  SELECT DISTINCT item_id, text, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+scored AS (
+  SELECT item_id, text, uid, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN tfs USING (term) JOIN strata USING (uid) GROUP BY item_id, text, uid, doc_id),
+placed AS (SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST) AS nth FROM scored WHERE score > 0)
+SELECT item_id, nth::INT AS rank, doc_id, score FROM placed WHERE nth <= 50"""
+
+
+@query("op13_ranked_search", OP13_SQL)
+def op13(spark, folder):
+    return ranking.search(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"), k=50)
