@@ -5,9 +5,18 @@ variants whose size does not grow with the square of the table. So two texts are
 one component or if they agree in one of ``BANDS`` bands of ``ROWS`` minimal hashes: a pair at 0.8 is missed with
 probability (1 - 0.8^5)^30, about 7 in a million. Every link is verified on the whole shingle sets (64-bit hashes).
 
-What is wanted are components, so a bucket of many near copies needs no pair of all. First each member is compared with
-one head of each of its buckets, another one in each; then, across the components that this makes, every pair of a
-bucket is compared. No candidate is dropped.
+What is wanted are components, so a bucket of many near copies needs no pair of all:
+
+1. *Heads.* Each bucket's head is its member that shares buckets with most others, which in a family of altered copies is
+   the text nearest to all. Buckets with one head become one group, and every member is compared with the head.
+2. *Edits.* What is left are members of a group in different components. Write E(x) for the shingles that x and the head do
+   not share. Two texts are similar if and only if |E(x) - E(y)| + |E(y) - E(x)| is at most a fixed part of their sizes, and of
+   two texts in different components at least one is not similar to the head. So E(x) and E(y) must have a known
+   number s of edits in common, and then also one among the |E| - s + 1 rarest of each. Groups are cut into the groups that
+   share such an edit; edits that one member has alone cost nothing. Large ones get heads of their own, and so on.
+3. *Rest.* In groups of few pairs, or after ``ROUNDS``, the members of different components are compared in pairs.
+
+No candidate is dropped: each step keeps every pair that can still be a link between two components.
 
 Defined results: as in ``simhash``, and texts without words are copies of each other.
 """
@@ -19,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftlens.llm import simhash
@@ -30,6 +39,8 @@ from driftlens.runtime import durable
 BANDS, ROWS = 30, 5
 #: Shingles whose minimal hashes are taken at a time.
 BLOCK = 1 << 12
+#: Groups of at most FEW x FEW pairs are compared in pairs, larger ones get heads and are cut by edits, at most so many times.
+FEW, ROUNDS = 16, 3
 _DRAW = np.random.default_rng(22)
 _XOR = _DRAW.integers(0, 1 << 64, (BANDS * ROWS, 1), dtype=np.uint64, endpoint=False)
 _TIMES = _DRAW.integers(0, 1 << 64, (BANDS * ROWS, 1), dtype=np.uint64, endpoint=False) | np.uint64(1)
@@ -37,9 +48,7 @@ _TIMES = _DRAW.integers(0, 1 << 64, (BANDS * ROWS, 1), dtype=np.uint64, endpoint
 
 def shingles(text: str | None, words: int = 5) -> np.ndarray:
     """Distinct hashes of the text's shingles, ascending; words as in ``simhash.fingerprint``."""
-    parts = text.encode("utf-8").lower().split() if text else []
-    k, digest = min(words, len(parts)), xxhash.xxh64_intdigest
-    return np.unique(np.array([digest(b" ".join(s), 42) for s in zip(*(parts[j:] for j in range(k)), strict=False)], np.uint64))
+    return np.unique(np.concatenate([np.array([], np.uint64), *simhash.shingle_hashes(text, words)]))
 
 
 def sketch(hashes: np.ndarray) -> list[int]:
@@ -51,19 +60,25 @@ def sketch(hashes: np.ndarray) -> list[int]:
     return [xxhash.xxh64_intdigest(band.tobytes(), k) - (1 << 63) for k, band in enumerate(least.reshape(BANDS, ROWS))]
 
 
-def _sketched(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, th, node, n, keys`` of every row; ``node`` is a hash of the shingle set, ``n`` its size."""
+def _sketched(docs: DataFrame, words: int, seed: int, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, th, node, n, fp, keys`` of every row; ``node`` is a hash of the shingle set, ``n`` its size, ``fp`` its SimHash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches):
-            sets = [shingles(t, words) for t in batch.column(2).to_pylist()]
-            node = [xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) for s in sets]
-            columns = [pa.array(node, pa.int64()), pa.array([len(s) for s in sets], pa.int32()), pa.array([sketch(s) for s in sets], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["doc_id", "th", "node", "n", "keys"])
+            node, size, print_, keys = [], [], [], []
+            for text in batch.column(2).to_pylist():
+                blocks = list(simhash.shingle_hashes(text, words, seed))
+                hashes = np.unique(np.concatenate([np.array([], np.uint64), *blocks]))
+                node.append(xxhash.xxh3_64_intdigest(hashes.tobytes()) - (1 << 63))
+                size.append(len(hashes))
+                print_.append(simhash.voted(blocks))
+                keys.append(sketch(hashes))
+            columns = [pa.array(node, pa.int64()), pa.array(size, pa.int32()), pa.array(print_, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["doc_id", "th", "node", "n", "fp", "keys"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"doc_id {kind}, th long, node long, n int, keys array<long>")
+    return rows.mapInArrow(run, f"doc_id {kind}, th long, node long, n int, fp long, keys array<long>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
@@ -93,34 +108,98 @@ def _rooted(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return nodes.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def groups(docs: DataFrame, words: int = 5, least: tuple[int, int] = (4, 5), id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+def _headed(groups: DataFrame) -> DataFrame:
+    """``head, nh, node, n, main``: members of ``groups(key, node, n, main)`` below the head of their group, groups of one head together."""
+    sizes = groups.groupBy("key").agg(F.count("*").alias("members"))
+    known = groups.join(sizes.where("members > 1"), "key")
+    shown = durable(known.join(known.groupBy("node").agg(F.sum("members").alias("met")), "node"), "near-groups")
+    heads = shown.groupBy("key").agg(F.max(F.struct("met", "node", "n")).alias("h")).select("key", F.col("h.node").alias("head"), F.col("h.n").alias("nh"))
+    return durable(shown.join(heads, "key").where("node <> head").groupBy("head", "nh", "node", "n").agg(F.max("main").alias("main")), "near-heads")
+
+
+def _ceil(over: Column, under: int) -> Column:
+    """A quotient of whole numbers, rounded up."""
+    return -F.floor(-over / F.lit(float(under))).cast("long")
+
+
+def _by_edits(members: DataFrame, sets: DataFrame, parts_of: tuple[int, int]) -> DataFrame:
+    """``key, node, n, main``: members of one ``head`` below each edit by which two of different components could be similar.
+
+    Of two similar ones the one nearer to the head has the edit among its rarest few (``main``).
+    """
+    up, down = parts_of
+    both, less = down + up, down - up
+    held = sets.select("node", "hashes")
+    apart = members.select("head", "nh", "node", "n").join(held, "node").join(held.select(F.col("node").alias("head"), F.col("hashes").alias("base")), "head").select(
+        "head", "nh", "node", "n", F.array_union(F.array_except("hashes", "base"), F.array_except("base", "hashes")).alias("edits"))
+    apart = durable(apart, "near-edits")
+    rows = apart.select("head", "nh", "node", "n", F.size("edits").alias("e"), F.explode("edits").alias("edit"))
+    rare = durable(rows.groupBy("head", "edit").agg(F.count("*").alias("times")), "near-rare")
+    sorted_ = rows.join(rare, ["head", "edit"]).groupBy("head", "nh", "node", "n", "e").agg(F.sort_array(F.collect_list(F.struct("times", "edit"))).alias("by_rarity"))
+    # x and y are similar exactly if 2 * both * |E(x) and E(y)| >= a(x) + a(y); the head itself is the nearest possible partner
+    a, top = both * F.col("e") - less * F.col("n"), less * F.col("nh")
+    nearer = F.col("e") + 1 - F.greatest(F.lit(1), _ceil(F.greatest(2 * a, a + top + 1), 2 * both))  # the partner has the larger a
+    farther = F.when(a > top, F.col("e") + 1 - F.greatest(F.lit(1), _ceil(a - top, 2 * both))).otherwise(0)  # the partner has the smaller a
+    placed = sorted_.select("head", "node", "n", nearer.alias("nearer"), farther.alias("farther"), F.posexplode("by_rarity").alias("at", "r"))
+    kept = placed.where((F.col("at") < F.greatest("nearer", "farther")) & (F.col("r.times") > 1))
+    split = durable(kept.select(F.xxhash64("head", "r.edit").alias("key"), "node", "n", (F.col("at") < F.col("nearer")).alias("main")), "near-split")
+    useful = split.groupBy("key").agg(F.count("*").alias("members"), F.max("main").alias("mains")).where("members > 1 and mains").select("key")
+    return split.join(useful, "key")
+
+
+def _across(members: DataFrame, group: str) -> DataFrame:
+    """Pairs of members of one group in different components, at least one of each main."""
+    one = members.where("main").select(group, F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
+    two = members.select(group, F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), "main")
+    met = one.join(two, group).where((F.col("ra") != F.col("rb")) & (~F.col("main") | (F.col("a") < F.col("b"))))
+    low = F.col("a") < F.col("b")
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(low, F.col("na")).otherwise(F.col("nb")).alias("na"), F.when(low, F.col("nb")).otherwise(F.col("na")).alias("nb"))
+
+
+def _open(members: DataFrame, group: str) -> DataFrame:
+    """The groups that still span several components, with the number of their ``pairs`` at most."""
+    sizes = members.groupBy(group).agg(F.min("root").alias("low"), F.max("root").alias("high"), (F.count("*") * F.count_if("main")).alias("pairs")).where("low <> high")
+    return durable(members.join(sizes.select(group, "pairs"), group), "near-open")
+
+
+def linked(buckets: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """``a, b``: links that join all members of ``buckets(key, node, n)`` that are similar, directly or by others."""
+    links, groups = None, buckets.withColumn("main", F.lit(True))
+    for turn in range(ROUNDS):
+        headed = _headed(groups)
+        low = F.col("node") < F.col("head")
+        pairs = headed.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b"), F.when(low, F.col("n")).otherwise(F.col("nh")).alias("na"), F.when(low, F.col("nh")).otherwise(F.col("n")).alias("nb"))
+        found = durable(_verified(pairs, sets, least), "near-links")
+        links = found if links is None else links.union(found)
+        rooted = durable(_rooted(buckets.select("node").distinct(), links), "near-rooted")
+        members = _open(headed.join(rooted, "node"), "head")
+        if turn + 1 == ROUNDS:
+            return links.union(durable(_verified(_across(members, "head"), sets, least), "near-links"))
+        many = members.where(F.col("pairs") > FEW * FEW)
+        few = _across(members.where(F.col("pairs") <= FEW * FEW), "head")
+        if many.isEmpty():
+            return links.union(durable(_verified(few, sets, least), "near-links"))
+        split = _open(_by_edits(many, sets, least).join(rooted, "node"), "key")
+        few = few.union(_across(split.where(F.col("pairs") <= FEW * FEW), "key"))
+        links = links.union(durable(_verified(few, sets, least), "near-links"))
+        groups = split.where(F.col("pairs") > FEW * FEW).select("key", "node", "n", "main")
+        if groups.isEmpty():
+            return links
+    return links
+
+
+def groups(docs: DataFrame, words: int = 5, least: tuple[int, int] = (4, 5), seed: int = 42, distance: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, th, component_id`` of every row: the hash of its text, and the smallest id that links lead to."""
-    rows = durable(_sketched(docs, words, id_col, text_col), "near-sketches")
-    alike = simhash.groups(docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text")), words=words, keep=("th",), **settings)
-    alike = alike.select("doc_id", "th", F.xxhash64(F.lit("simhash"), F.col("root")).alias("key")).distinct()
-    both = rows.select("doc_id", "th", "node", "n").join(alike.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "key"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")))
+    rows = durable(_sketched(docs, words, seed, id_col, text_col), "near-sketches")
     # rows of one shingle set are one node, shown by one of its rows
     shown = durable(rows.groupBy("node").agg(F.min(F.struct("doc_id", "th", "n", "keys")).alias("row"), F.min("doc_id").alias("least")), "near-nodes")
-    keyed = shown.select("node", "row.n", F.explode("row.keys").alias("key")).union(both.select("node", "n", "key").distinct())
-    shared = durable(keyed, "near-keys")
-    many = shared.groupBy("key").agg(F.count("*").alias("members")).where("members > 1").select("key")
-    shared = durable(shared.join(many, "key"), "near-buckets")
-    wanted = shown.join(shared.select("node").distinct(), "node", "left_semi").select("row.doc_id", "row.th", "node")
+    alike = rows.select("node", "n", "fp").distinct().join(simhash.roots(rows.select("fp"), distance), "fp").select("node", "n", F.xxhash64(F.lit("simhash"), F.col("root")).alias("key"))
+    keyed = durable(shown.select("node", "row.n", F.explode("row.keys").alias("key")).union(alike).distinct(), "near-keys")
+    many = keyed.groupBy("key").agg(F.count("*").alias("members")).where("members > 1").select("key")
+    buckets = durable(keyed.join(many, "key").select("key", "node", "n"), "near-buckets")
+    wanted = shown.join(buckets.select("node").distinct(), "node", "left_semi").select("row.doc_id", "row.th", "node")
     sets = durable(_sets(docs, wanted, words, id_col, text_col), "near-sets")
-
-    heads = shared.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "node").alias("turn"), F.col("node").alias("head"), F.col("n").alias("size"))).alias("h")).select("key", "h.head", "h.size")
-    first = shared.join(heads, "key").where("node <> head").select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b"), F.when(F.col("node") < F.col("head"), F.col("n")).otherwise(F.col("size")).alias("na"), F.when(F.col("node") < F.col("head"), F.col("size")).otherwise(F.col("n")).alias("nb"))
-    links = durable(_verified(first, sets, least), "near-links")
-
-    placed = durable(shared.join(_rooted(shared.select("node").distinct(), links), "node"), "near-placed")
-    open_ = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-    placed = durable(placed.join(open_, "key"), "near-open")
-    one, two = placed.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra")), placed.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    up, down = least
-    cross = one.join(two, "key").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & (down * F.least("na", "nb") >= up * F.greatest("na", "nb"))).select("a", "b", "na", "nb")
-    links = links.union(durable(_verified(cross.join(links, ["a", "b"], "left_anti"), sets, least), "near-links"))
-
-    rooted = durable(_rooted(shown.select("node", "least"), links), "near-roots")
+    rooted = durable(_rooted(shown.select("node", "least"), linked(buckets, sets, least)), "near-roots")
     named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("node", "component_id")
     return rows.select("doc_id", "th", "node").join(named, "node").select("doc_id", "th", "component_id")
 

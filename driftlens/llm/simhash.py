@@ -11,13 +11,13 @@ to eight bits, so that very many near copies of one text never meet as all pairs
 
 Defined results: a null or empty text, or one of separators only, has fingerprint zero and links like any other; fewer
 words than a shingle make one shingle of what there is; a null id keeps its row and counts as larger than any other
-when components are named; repeated rows share their component; other columns are ignored by ``groups`` and kept by
-``keep_first``; an empty table gives an empty table.
+when components are named; repeated rows share their component; other columns are ignored; an empty table gives an empty
+table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,32 +35,42 @@ BLOCK = 1 << 15
 DENSE = 256
 
 
-def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
-    """64-bit fingerprint of one text; only A-Z are lower-cased, words end at ASCII white space."""
+def shingle_hashes(text: str | None, words: int = 3, seed: int = 42) -> Iterator[np.ndarray]:
+    """Hashes of a text's shingles in order, in blocks; only A-Z are lower-cased, words end at ASCII white space."""
     parts = text.encode("utf-8").lower().split() if text else []
-    if not parts:
-        return 0
-    k = min(words, len(parts))
-    total, votes, digest = len(parts) - k + 1, np.zeros(64, np.int64), xxhash.xxh64_intdigest
-    for at in range(0, total, BLOCK):
-        block = parts[at:min(at + BLOCK, total) + k - 1]
-        hashes = np.array([digest(b" ".join(s), seed) for s in zip(*(block[j:] for j in range(k)), strict=False)], np.uint64)
+    if parts:
+        k, digest = min(words, len(parts)), xxhash.xxh64_intdigest
+        total = len(parts) - k + 1
+        for at in range(0, total, BLOCK):
+            block = parts[at:min(at + BLOCK, total) + k - 1]
+            yield np.array([digest(b" ".join(s), seed) for s in zip(*(block[j:] for j in range(k)), strict=False)], np.uint64)
+
+
+def voted(blocks: Iterable[np.ndarray]) -> int:
+    """64-bit fingerprint of hashes: the bits that more than half of them have."""
+    total, votes = 0, np.zeros(64, np.int64)
+    for hashes in blocks:
+        total += len(hashes)
         votes += np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * votes > total).tobytes(), "big", signed=True)
 
 
-def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """``doc_id, fp`` (signed 64 bits) of every whole text, and the columns ``keep`` (whole numbers)."""
+def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
+    """64-bit fingerprint of one text; a text without words has 0."""
+    return voted(shingle_hashes(text, words, seed))
+
+
+def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, fp`` (signed 64 bits) of every whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches):
             made = [fingerprint(t, words, seed) for t in batch.column(1).to_pylist()]
-            kept = [batch.column(2 + k) for k in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.int64()), *kept], names=["doc_id", "fp", *keep])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.int64())], names=["doc_id", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *[F.col(c).cast("long").alias(c) for c in keep])
-    return rows.mapInArrow(run, ", ".join([f"doc_id {kind}, fp long", *[f"{c} long" for c in keep]]))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, f"doc_id {kind}, fp long")
 
 
 def bits(value: Column, low: int, width: int) -> Column:
@@ -135,25 +145,16 @@ def links(fps: DataFrame, distance: int = 3) -> DataFrame:
     return durable(found.distinct(), "fingerprint-links")
 
 
-def groups(docs: DataFrame, words: int = 3, seed: int = 42, distance: int = 3, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """``doc_id, fp, fingerprint, component_id`` of every row: 16 hex digits, and the smallest id that links lead to.
-
-    With ``keep`` also these columns and ``root``, the smallest fingerprint that links lead to.
-    """
-    prints = durable(fingerprints(docs, words, seed, id_col, text_col, keep), "simhash")
-    heads = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    linked = components(links(prints.select("fp"), distance))
-    rooted = durable(heads.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "simhash-roots")
-    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select(F.col("fp").alias("_fp"), "component_id", "root")
-    more = [*keep, "root"] if keep else []
-    return prints.join(named, F.col("fp") == F.col("_fp"), "left").select("doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", *more)
-
+def roots(prints: DataFrame, distance: int = 3) -> DataFrame:
+    """``fp, root`` of every distinct fingerprint of ``prints(fp)``: the smallest fingerprint that links lead to."""
+    linked = components(links(prints, distance))
+    return prints.select("fp").distinct().join(linked.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
-def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of each component the row with its smallest id stays.
 
-    Rows that repeat an id stay if that id does; rows without an id stay only where their component has no id at all.
-    """
-    placed = groups(docs, id_col=id_col, text_col=text_col, **settings)
-    gone = placed.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")
+def groups(docs: DataFrame, words: int = 3, seed: int = 42, distance: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, fp, fingerprint, component_id`` of every row: 16 hex digits, and the smallest id that links lead to."""
+    prints = durable(fingerprints(docs, words, seed, id_col, text_col), "simhash")
+    heads = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    rooted = durable(heads.join(roots(prints, distance), "fp"), "simhash-roots")
+    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select(F.col("fp").alias("_fp"), "component_id")
+    return prints.join(named, F.col("fp") == F.col("_fp"), "left").select("doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

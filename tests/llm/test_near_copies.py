@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from driftlens.llm import simhash
+from driftlens.llm import nearcopies, simhash
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -74,6 +74,48 @@ def test_rows_that_share_an_id_go_by_their_text(spark):
     assert got == sorted([rows[0], rows[2], rows[3], rows[5]], key=str)
 
 
+def test_odd_rows_and_clashing_names(spark):
+    long = " ".join(f"z{i % 7919}" for i in range(60_000))
+    rows = [(1, None), (2, ""), (3, " \n\t"), (4, "one"), (4, "one"), (5, "ONE"), (None, "no id"), (6, long), (7, long + " more"), (8, "two three")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(1) for c in ("_gone", "_gone_th", "_id", "_th", "node", "key", "n", "th", "row", "fp", "root", "head")})
+    kept = nearcopies.keep_first(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([rows[0], rows[3], rows[4], rows[6], rows[7], rows[9]], key=str)
+    assert nearcopies.keep_first(docs.where("doc_id > 99")).count() == 0
+
+
+def family(seed, n, words, changed, copies=1):
+    """Copies of one text that each differ from it in some words, and from each other in twice as many."""
+    rnd = random.Random(seed)
+    base = [f"b{i}" for i in range(words)]
+    texts = [" ".join(base)]
+    for k in range(n):
+        copy = list(base)
+        for at in rnd.sample(range(words), rnd.choice(changed)):
+            copy[at] = rnd.choice([f"x{k}", f"x{rnd.randint(0, 9)}", ""])
+        texts += [" ".join(copy)] * copies
+    return texts
+
+
+@pytest.mark.parametrize(("changed", "with_base", "few"), [((1, 2, 3, 4, 5, 6), True, 4), ((2, 3), False, 3)])
+def test_large_families_equal_all_pairs(spark, monkeypatch, changed, with_base, few):
+    texts = family(sum(changed), 120, 90, changed)[0 if with_base else 1:]
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate(texts)]
+    monkeypatch.setattr(nearcopies, "FEW", few)
+    kept = {r.doc_id for r in nearcopies.keep_first(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert kept == plain_kept(rows)
+
+
+def test_few_pairs_are_compared_in_a_family(spark, monkeypatch):
+    """Altered copies, most of them similar to the text they come from, few to each other: of 80,000 pairs a tenth at most."""
+    seen = []
+    was = nearcopies._verified
+    monkeypatch.setattr(nearcopies, "_verified", lambda pairs, sets, parts: (seen.append(pairs.distinct().count()), was(pairs, sets, parts))[1])
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate(family(1, 400, 150, (1, 2, 3, 4, 5, 6, 7)))]
+    kept = {r.doc_id for r in nearcopies.keep_first(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert kept == plain_kept(rows) and sum(seen) < 12_000
+
+
 def test_distances_that_halves_cannot_find_are_refused(spark):
     with pytest.raises(ValueError):
         simhash.links(spark.range(3).select(F.col("id").alias("fp")), 4)

@@ -147,9 +147,9 @@ def test_links_of_a_dense_cluster_are_whole(spark, monkeypatch, free):
     assert sorted((r.a, r.b) for r in got) == sorted(want)
 
 
-def test_one_document_of_a_group_stays(spark):
-    docs = spark.createDataFrame([(3, "a b c d e f", 1), (1, "A B c d e f", 2), (2, "quite another text here", 3), (None, None, 4), (1, "A B c d e f", 5)], "doc_id long, text string, _gone int")
-    assert sorted((r.doc_id, r["_gone"]) for r in simhash.keep_first(docs).collect() if r.doc_id) == [(1, 2), (1, 5), (2, 3)]
+def test_groups_are_named_by_their_smallest_id(spark):
+    docs = spark.createDataFrame([(3, "a b c d e f", 1), (1, "A B c d e f", 2), (2, "quite another text here", 3), (None, None, 4), (1, "A B c d e f", 5)], "doc_id long, text string, fp int")
+    assert sorted(((r.doc_id, r.component_id) for r in simhash.groups(docs).collect()), key=str) == [(1, 1), (1, 1), (2, 2), (3, 1), (None, None)]
 
 
 # ---- quality ----------------------------------------------------------------------------------------
@@ -194,12 +194,16 @@ def test_a_bucket_keeps_its_order_and_is_near(spark):
 
 # ---- lines ------------------------------------------------------------------------------------------
 
+def plain_chunk(chunk):
+    return *chunk[:2], tuple(chunk[2])
+
+
 def plain_lines(rows):
     """Lines kept of each (id, text): later occurrences of repeated chunks go."""
     order = sorted(rows, key=lambda r: lines.NO_ID if r[0] is None else r[0])
     times, least = Counter(), {}
     for key, text in order:
-        for _, _, part in lines.chunked(text):
+        for _, _, part in map(plain_chunk, lines.chunked(text)):
             times[part] += 1
             least.setdefault(part, lines.NO_ID if key is None else key)
     out = []
@@ -208,7 +212,7 @@ def plain_lines(rows):
             out.append((key, 0, 0, None))
             continue
         all_lines, gone, seen = text.split("\n"), set(), set()
-        for first, n, part in lines.chunked(text):
+        for first, n, part in map(plain_chunk, lines.chunked(text)):
             if times[part] > 1 and ((lines.NO_ID if key is None else key) > least[part] or part in seen):
                 gone |= set(range(first, first + n))
             seen.add(part)
@@ -227,12 +231,28 @@ def test_line_report_equals_plain_version(spark):
     assert lines.report(empty(spark)).count() == 0
 
 
-def test_an_inserted_line_moves_only_cuts_beside_it():
+def test_an_inserted_line_moves_only_chunks_over_it():
     text = [f"line number {i}" for i in range(200)]
-    before = {tuple(text[a:b]) for a, b in zip([0, *lines.cuts(text)], lines.cuts(text), strict=False)}
-    other = text[:90] + ["something new"] + text[90:]
-    after = {tuple(other[a:b]) for a, b in zip([0, *lines.cuts(other)], lines.cuts(other), strict=False)}
-    assert len(before - after) <= 4
+    before = {tuple(key) for _, _, key in lines.chunked("\n".join(text))}
+    after = {tuple(key) for _, _, key in lines.chunked("\n".join(text[:90] + ["something new"] + text[90:]))}
+    over = {tuple(key) for a, n, key in lines.chunked("\n".join(text)) if a < 90 < a + n}
+    assert before - after == over and len(before) > 200
+
+
+def test_line_hashes_are_those_of_sql(spark):
+    texts = [t for _, t in ODD if t]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(F.xxhash64("t").alias("h")).collect()
+    assert [r.h for r in got] == [lines.line_hash(t) for t in texts]
+
+
+def test_lines_that_share_a_hash_stay(spark, monkeypatch):
+    monkeypatch.setattr(lines, "_shared_hashes", lambda placed: placed.sparkSession.createDataFrame([(lines.line_hash("b"),)], "h long") if not calls else placed.sparkSession.createDataFrame([], "h long"))
+    calls = []
+    was = lines.durable
+    monkeypatch.setattr(lines, "durable", lambda df, label: (calls.append(1) if label == "line-collisions" else None, was(df, label))[1])
+    text = "\n".join(f"{c} line" if c != "b" else "b" for c in "abcdefgh")
+    got = {r.doc_id: r.text for r in lines.remove(spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string"), seeds=20).collect()}
+    assert got[1] == text and "b" in got[2].split("\n") and "d line" not in got[2]
 
 
 def test_remove_keeps_columns_and_drops_emptied_rows(spark):
