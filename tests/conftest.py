@@ -14,8 +14,3 @@ def spark():
     made.sparkContext.setLogLevel("ERROR")
     yield made
     made.stop()
-
-
-def rows(df, *names):
-    """Rows as sorted tuples."""
-    return sorted((tuple(row) for row in df.select(*names).collect()), key=str)

@@ -1,6 +1,6 @@
 """Structural diff and rename inference on small layouts."""
 
-from conftest import rows
+from frames import rows
 from test_ordering import BUILD, build
 
 from driftlens.operators import renames

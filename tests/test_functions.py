@@ -1,6 +1,6 @@
 """Literal cases of the column helpers."""
 
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from driftlens.functions import names, primitives, text, version

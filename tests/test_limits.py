@@ -1,7 +1,7 @@
 """Chains of any length, cycles, checks that did not run, malformed input."""
 
 import pytest
-from conftest import rows
+from frames import rows
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F

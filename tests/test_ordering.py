@@ -1,6 +1,6 @@
 """Order-dependent operators against plain windows, with one group holding most rows."""
 
-from conftest import rows
+from frames import rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

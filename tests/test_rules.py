@@ -2,7 +2,7 @@
 
 import random
 
-from conftest import rows
+from frames import rows
 from test_diff import CONSTANT, MEMBER, m
 
 from pyspark.sql import functions as F

@@ -3,7 +3,7 @@
 import os
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from driftlens import runtime

@@ -3,7 +3,7 @@
 import base64
 import hashlib
 
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 from test_diff import CONSTANT, MEMBER, m
 from test_ordering import BUILD, build
