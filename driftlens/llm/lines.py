@@ -142,10 +142,10 @@ def _shared_hashes(placed: DataFrame) -> DataFrame:
 
 
 def _placed(docs: DataFrame, id_col: str, text_col: str, **settings) -> DataFrame:
-    """``row`` (the columns of ``docs``), ``text``, ``_places`` of all its candidates and ``_gone`` of those to be removed."""
+    """``row`` (the columns of ``docs`` but the text), ``text``, ``_places`` of all its candidates and ``_gone`` of those to be removed."""
     chunks = durable(occurrences(docs, id_col, text_col, **settings), "line-chunks")
     repeated = durable(chunks.groupBy("key").agg(F.count("*").alias("times"), F.min("id").alias("least")).where("times > 1").select(F.col("key").alias("_key"), "least"), "line-repeats")
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _id(docs, id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row"), _id(docs, id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
     while True:
         met = chunks.join(repeated, F.col("key") == F.col("_key"))
         place = F.struct("first", "n")
@@ -159,7 +159,7 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, **settings) -> DataFram
 
 
 def _cut(docs: DataFrame, id_col: str, text_col: str, **settings) -> DataFrame:
-    """``row`` (the columns of ``docs``), ``n_lines``, ``n_removed`` (lines) and ``kept`` (the text that is left)."""
+    """``row`` (the columns of ``docs`` but the text), ``n_lines``, ``n_removed`` (lines) and ``kept`` (the text that is left)."""
     placed = _placed(docs, id_col, text_col, **settings)
     touched = F.size("_gone") > 0
     lost, lines = _numbers("_gone"), F.split("text", "\n")
