@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from driftlens.functions.version import filled, version_key
-from driftlens.operators.ordering import positions, positions_within, with_next
+from driftlens.operators.ordering import positions, renamed, same_group, sliced
 from driftlens.operators.sequences import ORDER, SEQUENCE, ordered, place
+from driftlens.runtime import durable
 
 
 def by_version(builds: DataFrame) -> DataFrame:
@@ -63,24 +64,35 @@ def definition_ranking(catalogue: DataFrame, n: int) -> DataFrame:
 
 
 def layout_runs(builds: DataFrame) -> DataFrame:
-    """Stretches of adjacent builds with one layout: (sequence, layout, builds, first and last version).
+    """Stretches of adjacent builds with one layout: (sequence, layout, builds, first and last version, place of the last).
 
-    Only the last build of each stretch is paired with the stretch before it, so nothing sums over a
-    whole sequence.
+    Each slice of a sequence is summed up as its runs. Only its first and last run can go on in another slice, so only
+    these meet again, in slice order, and are put together where their layouts agree.
     """
     carried = ["layout", "file_version", "symbol_key"]
-    placed = ordered(place(builds.select("channel", "machine", "release_date", *carried)))
-    numbered = positions_within(placed.select(*SEQUENCE, *carried, *ORDER), SEQUENCE, ORDER, "at")
-    linked = with_next(numbered, SEQUENCE, ["at"], ["layout", "file_version"])
-    closing = linked.filter(F.col("next").isNull() | (F.col("next.layout") != F.col("layout"))).select(
-        *SEQUENCE, "layout", "at", F.col("file_version").alias("last_version"),
-        F.struct(F.col("at").alias("at"), F.col("next.file_version").alias("version")).alias("end"))
-    runs = with_next(closing, SEQUENCE, [F.col("at").desc()], ["end"], "before")
-    opening = numbered.filter(F.col("at") == 0).select(*SEQUENCE, F.col("file_version").alias("_opening"))
-    return runs.join(opening, SEQUENCE).select(
-        *SEQUENCE, "layout", (F.col("at") - F.coalesce("before.end.at", F.lit(-1))).alias("builds"),
-        F.when(F.col("before").isNull(), F.col("_opening")).otherwise(F.col("before.end.version")).alias("first_version"),
-        "last_version", "at")
+    placed = ordered(durable(place(builds.select("channel", "machine", "release_date", *carried)), "placed")).select(*SEQUENCE, *carried, *ORDER)
+
+    def work(rows: DataFrame, w: WindowSpec) -> DataFrame:
+        fresh = F.when(F.lag(F.struct("layout")).over(w).eqNullSafe(F.struct("layout")), 0).otherwise(1)
+        return rows.withColumns({"_fresh": fresh, "_nth": F.row_number().over(w)}).withColumn("_run", F.sum("_fresh").over(w)).select(*SEQUENCE, "layout", "file_version", "_slice", "_run", "_nth")
+
+    rows = sliced(placed, SEQUENCE, ORDER, work, "runs")
+    version = F.struct(F.col("file_version").alias("v"))
+    runs = durable(rows.groupBy(*SEQUENCE, "layout", "_slice", "_run").agg(
+        F.count("*").alias("builds"), F.max("_nth").alias("_upto"), F.min_by(version, "_nth").alias("_first"), F.max_by(version, "_nth").alias("_last")), "runs")
+    in_order = Window.partitionBy(*SEQUENCE).orderBy("_slice")
+    before = F.coalesce(F.sum("_builds").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    slices = runs.groupBy(*SEQUENCE, "_slice").agg(F.sum("builds").alias("_builds"), F.max("_run").alias("_runs")).withColumn("_before", before).drop("_builds")
+    told = runs.join(renamed(slices, [*SEQUENCE, "_slice"]), same_group([*SEQUENCE, "_slice"])).select(
+        *SEQUENCE, "layout", "builds", F.col("_first.v").alias("first_version"), F.col("_last.v").alias("last_version"), (F.col("_before") + F.col("_upto") - 1).alias("at"), "_slice", "_run", "_runs")
+    edges = told.filter((F.col("_run") == 1) | (F.col("_run") == F.col("_runs")))
+    # two rows a slice and sequence at most
+    w = Window.partitionBy(*SEQUENCE).orderBy("_slice", "_run")
+    goes_on = (F.col("_run") == 1) & F.lag(F.struct("layout")).over(w).eqNullSafe(F.struct("layout"))
+    joined = edges.withColumn("_starts", F.when(goes_on, 0).otherwise(1)).withColumn("_island", F.sum("_starts").over(w)).groupBy(*SEQUENCE, "layout", "_island").agg(
+        F.sum("builds").alias("builds"), F.min_by(F.struct("first_version"), "at").alias("_f"), F.max_by(F.struct("last_version"), "at").alias("_l"), F.max("at").alias("at"))
+    columns = [*SEQUENCE, "layout", "builds", "first_version", "last_version", "at"]
+    return joined.select(*SEQUENCE, "layout", "builds", "_f.first_version", "_l.last_version", "at").unionByName(told.filter((F.col("_run") != 1) & (F.col("_run") != F.col("_runs"))).select(*columns))
 
 
 def store_stats(builds: DataFrame, manifest: DataFrame, blobs: DataFrame, universe: DataFrame) -> DataFrame:

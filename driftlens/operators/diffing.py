@@ -11,11 +11,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftlens.operators.compare import any_of, both_set_and_differ, differs, two_sided
+from driftlens.runtime import durable
 
 MEMBER = ["off", "sz", "bit_position", "bit_count", "mtype"]
 PAIR = ["layout_from", "layout_to"]
 STEP = ["step_a", "step_b"]
-BODIES = ["kind", "name", "rep_from", "rep_to"]
+BODIES = ["kind", "name", "blob_from", "blob_to"]
 
 
 def _fingerprint(*columns: str) -> Column:
@@ -57,28 +58,32 @@ def enum_bodies(constants: DataFrame) -> DataFrame:
         F.concat_ws(".", "_body", F.col("size").cast("string")).alias("blob"))
 
 
+def content_id(blob: str = "blob") -> Column:
+    """128 bits that stand for a content id of any length."""
+    return F.struct(F.xxhash64(F.lit("a"), blob).alias("a"), F.xxhash64(F.lit("b"), blob).alias("b"))
+
+
 def changed_names(pairs: DataFrame, manifest: DataFrame) -> DataFrame:
     """Per layout pair the (kind, name) whose body differs, including names on one side only.
 
-    ``blob`` may be any content id: a fingerprint from here or a stored hash.
+    ``blob`` of the manifest may be any content id: a fingerprint from here or a stored hash. Both sides of a pair are one
+    set of rows, the old side retracted (-1) and the new one added (+1). What a pair holds on both sides with one
+    content sums up to nothing and is gone with the one aggregate that all rows take part in; they travel as
+    numbers: the pair's, the side, the size and the content's 128 bits.
     """
-    def side(own: str) -> DataFrame:
-        return pairs.join(manifest.withColumnRenamed("layout", own), own).select(*PAIR, "kind", "name", "size", "blob")
-
-    return two_sided(side("layout_from"), side("layout_to"), [*PAIR, "kind", "name"], ["size", "blob"]).filter(differs("blob"))
-
-
-def with_representatives(names: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Add ``rep_from`` and ``rep_to``, for each body of ``names`` the one layout its rows are read from.
-
-    Only bodies that take part in a change are looked up: one that all layouts share never meets itself.
-    """
-    body = ["kind", "name", "blob"]
-    used = names.select("kind", "name", F.explode(F.array_compact(F.array("blob_from", "blob_to"))).alias("blob")).distinct()
-    reps = manifest.join(used, body, "left_semi").groupBy(*body).agg(F.min("layout").alias("rep"))
-    for side in ("_from", "_to"):
-        names = names.join(reps.withColumnsRenamed({"blob": f"blob{side}", "rep": f"rep{side}"}), ["kind", "name", f"blob{side}"], "left")
-    return names
+    numbered = durable(pairs.select(*PAIR).distinct().withColumn("_pair", F.monotonically_increasing_id()), "pairs")
+    sides = numbered.select("_pair", F.explode(F.array(*[F.struct(F.col(own).alias("layout"), F.lit(sign).cast("byte").alias("_sign")) for own, sign in zip(PAIR, (-1, 1), strict=True)])).alias("_s")).select("_pair", "_s.*")
+    held = manifest.select("layout", "kind", "name", "size", content_id().alias("_id"))
+    rows = sides.join(held, "layout").select("_pair", "kind", "name", "_sign", "size", "_id.a", "_id.b")
+    old, new = F.col("_sign") < 0, F.col("_sign") > 0
+    net = rows.groupBy("_pair", "kind", "name").agg(
+        F.sum("_sign").alias("_net"), F.bit_xor("a").alias("_xa"), F.bit_xor("b").alias("_xb"),
+        *[F.max(F.when(side, value)).alias(name) for side, mark in ((old, "_from"), (new, "_to")) for value, name in ((F.col("size"), f"size{mark}"), (F.col("a"), f"_a{mark}"), (F.col("b"), f"_b{mark}"))])
+    left = net.filter((F.col("_net") != 0) | (F.col("_xa") != 0) | (F.col("_xb") != 0))
+    body = lambda mark: F.when(F.col(f"_a{mark}").isNotNull(), F.struct(F.col(f"_a{mark}").alias("a"), F.col(f"_b{mark}").alias("b")))
+    return left.join(numbered, "_pair").select(
+        *PAIR, "kind", "name", "size_from", "size_to", body("_from").alias("blob_from"), body("_to").alias("blob_to"),
+        (F.col("_net") < 1).alias("in_left"), (F.col("_net") > -1).alias("in_right"))
 
 
 def status(names: DataFrame) -> DataFrame:
@@ -91,16 +96,26 @@ def resolve_steps(names: DataFrame) -> DataFrame:
     """Changed definitions held by both sides of a pair, under the key of their step.
 
     A step is one body turning into another. Its key is 128 bits from two independently seeded hashes,
-    so later joins carry two numbers instead of a name and two layout hashes.
+    so later joins carry two numbers instead of a name and two bodies.
     """
     both = names.filter(F.col("in_left") & F.col("in_right"))
     return both.select(*PAIR, *BODIES, "size_from", "size_to",
                        F.xxhash64(F.lit("a"), *BODIES).alias("step_a"), F.xxhash64(F.lit("b"), *BODIES).alias("step_b"))
 
 
-def steps(resolved: DataFrame) -> DataFrame:
-    """Distinct steps: each is compared once, however many pairs take it."""
-    return resolved.select(*STEP, *BODIES).distinct()
+def steps(resolved: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Distinct steps: each is compared once, however many pairs take it.
+
+    ``rep_from`` and ``rep_to`` are for each body the one layout its rows are read from; only bodies of steps are looked up.
+    """
+    found = durable(resolved.select(*STEP, *BODIES).distinct(), "steps")
+    body = ["kind", "name", "blob"]
+    used = found.select("kind", "name", F.explode(F.array("blob_from", "blob_to")).alias("blob")).distinct()
+    reps = manifest.select("layout", "kind", "name", content_id().alias("blob")).join(used, body, "left_semi").groupBy(*body).agg(F.min("layout").alias("rep"))
+    reps = durable(reps, "representatives")
+    for side in ("_from", "_to"):
+        found = found.join(reps.withColumnsRenamed({"blob": f"blob{side}", "rep": f"rep{side}"}), ["kind", "name", f"blob{side}"])
+    return found.select(*STEP, "kind", "name", "rep_from", "rep_to")
 
 
 def _side_rows(wanted: DataFrame, rows: DataFrame, own: str, item: str, attrs: list[str]) -> DataFrame:

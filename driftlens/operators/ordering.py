@@ -1,44 +1,87 @@
 """Order-dependent building blocks that never put a whole group into one task.
 
-A plain ``lead`` or ``row_number`` window sends each group to a single task, which fails when one group
-holds a large share of the rows. Here rows are range-partitioned on (group, order), so that a large
-group spans many slices, and only the slice edges meet again.
+A plain ``lead`` or ``row_number`` window sends each group to a single task, which fails when one group holds a large share
+of the rows. Here rows are dealt to slices of the order (group, order), so that a large group spans many slices, and
+only what stands at the slices' edges meets again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import json
+import math
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from driftlens.runtime import durable
 
+#: Keys sampled for a slice, and slices for a shuffle partition, so that partitions even out.
+SAMPLED, SLICES = 20, 3
+
 
 def _columns(order) -> list[Column]:
     return [F.col(item) if isinstance(item, str) else item for item in order]
 
 
-def with_next(df: DataFrame, group: list[str], order: list, carry: list[str], out: str = "next") -> DataFrame:
+def slice_number(df: DataFrame, keys: list[str], slices: int | None = None) -> Column:
+    """Number of the slice of the ascending order of ``keys`` that a row falls into, as an expression over its columns.
+
+    The bounds come from one bounded sample (by hash, so each key counts once) and are literals: unlike the number of
+    a range partition the slice is a value of the row, which a shuffle can be made on and later steps can rely on. A row
+    is compared with the first bound of each block of bounds and then within one block.
+    """
+    slices = slices or SLICES * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = F.struct(*[F.col(k) for k in keys])
+    kind = df.select(key.alias("k")).schema["k"].dataType
+    sample = df.select(key.alias("k")).orderBy(F.xxhash64("k")).limit(SAMPLED * slices)
+    sample = [row[0] for row in sample.distinct().orderBy("k").select(F.to_json("k")).collect()]
+    step = max(1, len(sample) // slices)
+    bounds = sample[step::step]
+    width = max(1, math.isqrt(len(bounds)))
+    blocks = [bounds[at:at + width] for at in range(0, len(bounds), width)] or [[]]
+    below = lambda of: F.size(F.filter(of, lambda b: b <= key))
+    first = F.from_json(F.lit(json.dumps([json.loads(block[0]) for block in blocks[1:]])), ArrayType(kind))
+    inside = F.from_json(F.lit(json.dumps([[json.loads(b) for b in block] for block in blocks])), ArrayType(ArrayType(kind)))
+    return (below(first) * (width + 1) + below(F.element_at(inside, below(first) + 1))).cast("int")
+
+
+def sliced(df: DataFrame, group: list[str], order: list[str], work: Callable[[DataFrame, WindowSpec], DataFrame], label: str = "slices") -> DataFrame:
+    """``df`` with ``_slice``, after ``work`` on each part of a group within a slice, written once.
+
+    All rows move once, by slice; the window of ``work`` is over (slice, group) in ``order``, ascending.
+    """
+    placed = df.withColumn("_slice", slice_number(df, [*group, *order])).repartition("_slice")
+    return durable(work(placed, Window.partitionBy("_slice", *group).orderBy(*order)), label)
+
+
+def same_group(group: list[str], left: str = "", right: str = "_") -> Column:
+    """Equality of group columns on two sides, a missing value equal to itself."""
+    same = F.lit(True)
+    for name in group:
+        same = same & F.col(f"{left}{name}").eqNullSafe(F.col(f"{right}{name}"))
+    return same
+
+
+def renamed(df: DataFrame, names: list[str], prefix: str = "_") -> DataFrame:
+    return df.withColumnsRenamed({name: f"{prefix}{name}" for name in names})
+
+
+def with_next(df: DataFrame, group: list[str], order: list[str], carry: list[str], out: str = "next") -> DataFrame:
     """Add the struct of ``carry`` columns of the row that follows within ``group``; null on the last.
 
-    ``order`` must be total within the group. Interior rows find their neighbour inside their slice; the
-    last row of a slice finds it among the first rows of the later slices, which are copied into one
-    small edge set per group (two rows per slice).
+    ``order`` (ascending) must be total within the group. A row finds its neighbour inside its slice; the last one of a
+    slice finds the first one of the next slice that has the group. Those first rows, one per slice and group, are linked
+    among themselves and joined to the last rows alone.
     """
-    order = _columns(order)
-    inner = Window.partitionBy("_slice", *group).orderBy(*order)
-    sliced = (df.repartitionByRange(*[F.col(g) for g in group], *order)
-              .withColumn("_slice", F.spark_partition_id())
-              .withColumn("_near", F.lead(F.struct(*carry)).over(inner))
-              .withColumn("_nth", F.row_number().over(inner)))
-    last = F.col("_near").isNull()
-    entries = F.when((F.col("_nth") == 1) & ~last, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
-    edged = (sliced.withColumn("_copy", F.explode(entries))
-             .withColumn("_slot", F.when(F.col("_copy") | last, F.lit(-1)).otherwise(F.col("_slice"))))
-    outer = Window.partitionBy(*group, "_slot").orderBy(*order)
-    return (edged.withColumn("_far", F.lead(F.struct(*carry)).over(outer))
-            .filter(~F.col("_copy"))
-            .withColumn(out, F.coalesce("_near", "_far"))
-            .drop("_slice", "_near", "_nth", "_copy", "_slot", "_far"))
+    rows = sliced(df, group, order, lambda placed, w: placed.withColumns({out: F.lead(F.struct(*carry)).over(w), "_nth": F.row_number().over(w)}), "neighbours")
+    following = F.lead("_first").over(Window.partitionBy(*group).orderBy("_slice"))
+    firsts = rows.filter("_nth = 1").select(*group, "_slice", F.struct(*carry).alias("_first"))
+    far = durable(renamed(firsts.select(*group, "_slice", following.alias("_far")).filter("_far is not null"), [*group, "_slice"]), "neighbours")
+    final = rows.filter(F.col(out).isNull()).join(far, same_group([*group, "_slice"]), "left").withColumn(out, F.col("_far"))
+    columns = [*df.columns, out]
+    return rows.filter(F.col(out).isNotNull()).select(*columns).unionByName(final.select(*columns))
 
 
 def positions(df: DataFrame, order: list, out: str = "pos", start: int = 0) -> DataFrame:

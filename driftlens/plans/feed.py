@@ -30,7 +30,7 @@ class Feed:
 
     @cached_property
     def adjacent(self) -> DataFrame:
-        return durable(sequences.adjacency(self.builds), "adjacent")
+        return sequences.adjacency(self.builds)
 
     @cached_property
     def sequences(self) -> DataFrame:
@@ -54,8 +54,7 @@ class Feed:
     @cached_property
     def names(self) -> DataFrame:
         """Changed definitions per distinct layout pair."""
-        changed = durable(diffing.changed_names(sequences.layout_pairs(self.changes), self.manifest), "names")
-        return durable(diffing.with_representatives(changed, self.manifest), "names")
+        return durable(diffing.changed_names(sequences.layout_pairs(self.changes), self.manifest), "names")
 
     @cached_property
     def status(self) -> DataFrame:
@@ -67,7 +66,7 @@ class Feed:
 
     @cached_property
     def steps(self) -> DataFrame:
-        return diffing.steps(self.resolved)
+        return durable(diffing.steps(self.resolved, self.manifest), "steps")
 
     @cached_property
     def member_changes(self) -> DataFrame:

@@ -1,11 +1,16 @@
 """Order-dependent operators against plain windows, with one group holding most rows."""
 
+import random
+from collections import Counter
+
+import pytest
 from frames import rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from driftlens.operators import catalogue, ordering
 from driftlens.operators import sequences as seq
-from driftlens.operators.ordering import positions, positions_within, with_next
+from driftlens.operators.ordering import positions, positions_within, slice_number, with_next
 
 
 def skewed(spark):
@@ -35,11 +40,57 @@ def test_with_next_spans_slices(spark):
 
 
 def test_descending_and_null_groups(spark):
-    df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "g string, o int")
-    got = with_next(df, ["g"], [F.col("o").desc()], ["o"])
+    df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "g string, o int").withColumn("back", -F.col("o"))
+    got = with_next(df, ["g"], ["back"], ["o"])
     assert rows(got.select("o", F.col("next.o").alias("n")), "o", "n") == [(1, None), (2, 1), (3, None)]
 
 
+def test_slices_keep_order_and_even_out(spark):
+    """Numbers follow the order of the keys, missing values first, whatever their types; no slice holds much more than its share."""
+    df = spark.range(6000).select(F.when(F.col("id") % 7 > 0, F.concat(F.lit("g'\""), (F.col("id") % 3).cast("string"))).alias("g"),
+                                  F.array(F.col("id") % 11, F.lit(None).cast("bigint")).alias("v"), F.when(F.col("id") % 5 > 0, F.col("id")).alias("o"), "id")
+    got = df.withColumn("s", slice_number(df, ["g", "v", "o"], 50)).orderBy("g", "v", "o").collect()
+    numbers = [r.s for r in got]
+    assert numbers == sorted(numbers) and len(set(numbers)) > 30
+    assert max(numbers.count(n) for n in set(numbers)) < 1000  # one seventh has no g, of that a fifth no o
+    assert {r.s for r in df.limit(1).withColumn("s", slice_number(df.limit(0), ["g", "o"], 9)).collect()} == {0}
+
+
+def test_neighbours_take_one_exchange_of_the_rows(spark, monkeypatch):
+    plans = []
+    was = ordering.durable
+    monkeypatch.setattr(ordering, "durable", lambda df, label: (plans.append((label, df._jdf.queryExecution().executedPlan().toString())), was(df, label))[1])
+    df = skewed(spark)
+    linked = with_next(df, ["g"], ["o"], ["id"])
+    (_, whole), (_, edges) = plans
+    assert whole.count("Exchange") == 1 and "hashpartitioning(_slice" in whole and whole.count("Window") == 1
+    assert "_nth" in edges and "hashpartitioning(g" in edges  # the first rows of slices only
+    assert "Window" not in linked._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("partitions", [1, 4, 40])
+def test_layout_runs_equal_plain_version(spark, partitions):
+    rnd = random.Random(partitions)
+    made, layout = [], 0
+    for i in range(400):
+        layout = layout if rnd.random() < 0.8 else rnd.choice([None, "A", "B", "C"])
+        made.append(build(f"k{i:04d}", f"10.0.1.{i}", "", ["c"] if i % 9 else ["c", "d"], layout))
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = Counter((r.label, r.layout, r.builds, r.first_version, r.last_version, r["at"]) for r in catalogue.layout_runs(spark.createDataFrame(made, BUILD)).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+    want = Counter()
+    for label in "cd":
+        run = [b for b in made if label in b[4]]
+        begin = 0
+        for i, b in enumerate(run):
+            if i + 1 == len(run) or run[i + 1][6] != b[6]:
+                want[(label, b[6], i + 1 - begin, run[begin][1], b[1], i)] += 1
+                begin = i + 1
+    assert got == want
+
+
 def test_positions(spark):
     df = skewed(spark)
     want = df.withColumn("pos", F.row_number().over(Window.orderBy(F.col("o").desc())) - 1)
