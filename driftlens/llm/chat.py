@@ -20,6 +20,29 @@ from pyspark.sql import functions as F
 OPEN, MIDDLE, CLOSE = "<|im_start|>", "\n", "<|im_end|>\n"
 
 
+def swapped_answers(turns: DataFrame, trained: str = "assistant", conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
+    """Conversations with a worse twin each: the same turns, but the last ``trained`` turn says what the neighbour's last one says.
+
+    Each conversation keeps its turns as conversation 2 * id; its twin is 2 * id + 1 and takes the text from the one of the two
+    conversations 2k and 2k + 1 that it is not. Without such a turn on both sides there is no twin. Pair them by
+    ``twin_pairs``. Returns the columns ``conv_col, turn_col, role_col, text_col``.
+    """
+    said = turns.select(F.col(conv_col).cast("long").alias("_c"), F.col(turn_col).alias("_n"), F.col(role_col).cast("string").alias("_r"), F.col(text_col).cast("string").alias("_t")).where("_c is not null")
+    final = said.where(F.col("_r") == trained).groupBy("_c").agg(F.max(F.struct("_n", "_r", "_t")).alias("_last"))
+    # the neighbour of 2k is 2k + 1 and the other way round
+    other = final.select(F.expr("_c + 1 - 2 * pmod(_c, 2)").alias("_o"), F.col("_last._t").alias("_answer"))
+    told = final.join(other, F.col("_c") == F.col("_o")).select(F.col("_c").alias("_k"), "_last", "_answer")
+    twins = said.join(told, F.col("_c") == F.col("_k")).withColumn("_t", F.when(F.struct("_n", "_r", "_t").eqNullSafe(F.col("_last")), F.col("_answer")).otherwise(F.col("_t")))
+    rows = said.select((F.col("_c") * 2).alias("_c"), "_n", "_r", "_t").unionByName(twins.select((F.col("_c") * 2 + 1).alias("_c"), "_n", "_r", "_t"))
+    return rows.select(F.col("_c").alias(conv_col), F.col("_n").alias(turn_col), F.col("_r").alias(role_col), F.col("_t").alias(text_col))
+
+
+def twin_pairs(turns: DataFrame, conv_col: str = "conv_id") -> DataFrame:
+    """``pair_id, chosen_id, rejected_id``: each even conversation is preferred to the odd one that follows it, if there is one."""
+    ids = turns.select(F.col(conv_col).alias("id")).where("pmod(id, 2) = 1").select(F.expr("cast(floor(id / 2) as bigint)").alias("pair_id")).distinct()
+    return ids.select("pair_id", (F.col("pair_id") * 2).alias("chosen_id"), (F.col("pair_id") * 2 + 1).alias("rejected_id"))
+
+
 def neighbour_pairs(turns: DataFrame, conv_col: str = "conv_id") -> DataFrame:
     """``pair_id, chosen_id, rejected_id``: each even conversation is preferred to the odd one that follows it."""
     ids = turns.select(F.col(conv_col).alias("id")).where("id is not null").select(F.expr("cast(floor(id / 2) as bigint)").alias("pair_id")).distinct()

@@ -38,10 +38,17 @@ def op2(spark, folder):
 
 
 OP3_SQL = """
-WITH pairs AS (SELECT DISTINCT floor(conv_id / 2)::BIGINT AS pair_id FROM conversations WHERE conv_id IS NOT NULL),
+WITH talk AS (SELECT conv_id AS c, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+finals AS (SELECT c, turn, text FROM talk WHERE role = 'assistant' QUALIFY row_number() OVER (PARTITION BY c ORDER BY turn DESC NULLS LAST, text DESC NULLS LAST) = 1),
+told AS (SELECT a.c, a.turn, a.text, b.text AS answer FROM finals a JOIN finals b ON b.c = a.c + 1 - 2 * (a.c % 2)),
+twins AS (
+  SELECT c * 2 AS conv_id, turn, role, text FROM talk
+  UNION ALL
+  SELECT t.c * 2 + 1, t.turn, t.role, CASE WHEN t.role = 'assistant' AND t.turn IS NOT DISTINCT FROM f.turn AND t.text IS NOT DISTINCT FROM f.text THEN f.answer ELSE t.text END FROM talk t JOIN told f USING (c)),
+pairs AS (SELECT DISTINCT floor(conv_id / 2)::BIGINT AS pair_id FROM twins WHERE conv_id % 2 = 1),
 said AS (
   SELECT floor(conv_id / 2)::BIGINT AS pair_id, conv_id % 2 AS side, role, text,
-         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS pos FROM conversations WHERE conv_id IS NOT NULL),
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS pos FROM twins WHERE floor(conv_id / 2)::BIGINT IN (SELECT pair_id FROM pairs)),
 both_sides AS (SELECT coalesce(a.pair_id, b.pair_id) AS pair_id, coalesce(a.pos, b.pos) AS pos,
          a.pos IS NOT NULL AND b.pos IS NOT NULL AND a.role IS NOT DISTINCT FROM b.role AND a.text IS NOT DISTINCT FROM b.text AS alike
   FROM (SELECT * FROM said WHERE side = 0) a FULL JOIN (SELECT * FROM said WHERE side = 1) b ON a.pair_id = b.pair_id AND a.pos = b.pos),
@@ -62,8 +69,8 @@ SELECT pair_id, pair_id * 2 AS chosen_id, pair_id * 2 + 1 AS rejected_id, n::INT
 
 @query("op3_preference_format", OP3_SQL)
 def op3(spark, folder):
-    turns = spark.read.parquet(f"{folder}/conversations.parquet")
-    made = chat.preferences(turns, chat.neighbour_pairs(turns))
+    turns = chat.swapped_answers(spark.read.parquet(f"{folder}/conversations.parquet"))
+    made = chat.preferences(turns, chat.twin_pairs(turns))
     return made.withColumns({c: chat.mask_text(made[c]) for c in ("chosen_mask", "rejected_mask")})
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from driftlens.llm import chat, lattice, suffixes
+from driftlens.llm import queries as llm
 from driftlens.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -161,6 +162,25 @@ def test_preferences(spark):
     assert chat.preferences(nothing, chat.neighbour_pairs(nothing)).count() == 0
 
 
+def test_twins_share_all_but_the_last_answer(spark):
+    turns = [(0, 0, "user", "q"), (0, 1, "assistant", "one"), (0, 2, "user", "more"), (0, 3, "assistant", "two"), (1, 0, "user", "x"), (1, 1, "assistant", "other"), (1, 2, "user", "bye"),
+             (2, 0, "user", "no answer"), (3, 0, "assistant", "lonely"), (5, 0, "assistant", "no neighbour"), (None, 0, "assistant", "x"), (6, 0, "assistant", "a"), (6, 0, "assistant", "a"), (7, 0, "assistant", None)]
+    twins = chat.swapped_answers(spark.createDataFrame([(*t, True) for t in turns], TURN))
+    got = {r.pair_id: r for r in chat.preferences(twins, chat.twin_pairs(twins)).collect()}
+    shown = {k: (r.n_prompt_turns, [r.chosen[m.begin:m.end] for m in r.chosen_mask], [r.rejected[m.begin:m.end] for m in r.rejected_mask]) for k, r in got.items()}
+    assert shown == {0: (3, ["two"], ["other"]), 1: (1, ["other"], ["two"]), 6: (0, ["a", "a"], ["", ""]), 7: (0, [""], ["a"])}
+    assert got[1].chosen.endswith("bye<|im_end|>\n") and "bye" in got[1].rejected
+
+
+def test_registered_pairs_have_prompts(spark):
+    folder = "/root/testdata/sf0.01"
+    turns = spark.read.parquet(f"{folder}/conversations.parquet")
+    before = {r.conv_id: r.n for r in turns.join(turns.where("role = 'assistant'").groupBy("conv_id").agg(F.max("turn").alias("last")), "conv_id").where("turn < last").groupBy("conv_id").agg(F.count("*").alias("n")).collect()}
+    got = llm.QUERIES["op3_preference_format"](spark, folder).collect()
+    assert len(got) > 50 and all(r.n_prompt_turns >= before.get(r.pair_id, 0) and (r.prompt != "" or not r.n_prompt_turns) for r in got)
+    assert sum(r.n_prompt_turns > 0 for r in got) > 0.9 * len(got)
+
+
 # ---- pipeline ---------------------------------------------------------------------------------------
 
 def test_pipeline_stages_follow_each_other(spark):
