@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from driftlens.functions.text import hex_lower
 from driftlens.operators.diffing import STEP
-from driftlens.operators.ordering import with_next
+from driftlens.operators.ordering import renamed, same_group, sliced, with_next
+from driftlens.runtime import durable
 
 # Widths a bitfield or enum may be stored in, and how far a member may move beyond
 # what the size change of its type explains.
@@ -65,34 +66,52 @@ def check_members(members: DataFrame, summary: DataFrame) -> DataFrame:
         _finding(~bit & (F.col("bit_position") != 0), "error", "bit_geometry", F.concat(where, F.lit(": bit geometry on a non-bitfield member")))])
 
 
+def _conflicting(spans: DataFrame) -> DataFrame:
+    """Of the byte ranges ``lo``..``hi`` of each type those that share a byte with another one.
+
+    A sweep in order of their starts: a range meets an earlier one if it starts before the largest end so far, and a later
+    one if it ends after the next start. Largest ends and starts are kept per slice of the order; only those of
+    whole slices, a row each, are carried on.
+    """
+    order = ["lo", "hi", "_span"]
+
+    def work(rows: DataFrame, w: WindowSpec) -> DataFrame:
+        return rows.withColumns({"_reached": F.max("hi").over(w.rowsBetween(Window.unboundedPreceding, -1)), "_next": F.lead("lo").over(w)})
+
+    rows = sliced(spans, TYPE, order, work, "sweep")
+    in_order = Window.partitionBy(*TYPE).orderBy("_slice")
+    edges = rows.groupBy(*TYPE, "_slice").agg(F.max("hi").alias("_hi"), F.min("lo").alias("_lo")).select(
+        *TYPE, "_slice", F.max("_hi").over(in_order.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"), F.lead("_lo").over(in_order).alias("_after"))
+    edges = durable(renamed(edges.filter("_before is not null or _after is not null"), [*TYPE, "_slice"]), "sweep-edges")
+    met = rows.join(edges, same_group([*TYPE, "_slice"]), "left")
+    return met.filter((F.col("lo") < F.greatest("_reached", "_before")) | (F.col("hi") > F.coalesce("_next", "_after"))).select(*spans.columns)
+
+
 def overlaps(members: DataFrame, summary: DataFrame, need_groups: bool = True) -> DataFrame:
     """Members that share bytes without sharing a union, each pair once, the earlier in member order first.
 
-    The byte range of a type is cut into about as many cells as it has members. A member is listed in each
-    cell it covers, and joins the members that start in the cell, so neither a large type nor a wide member
-    compares all pairs. Without any union group in a type the rule gives no verdict, unless
-    ``need_groups`` is off.
+    A union is one byte range and so is every member outside a union. A sweep leaves the ranges that meet another
+    one, which sound types do not have. These are put into cells, about as many as there are ranges, so that a range is
+    compared with those that start in the cells it covers; members are compared for ranges that meet. Without
+    any union group in a type the rule gives no verdict, unless ``need_groups`` is off.
     """
-    width = F.greatest(F.lit(8).cast("bigint"), F.ceil((F.col("span_end") - F.col("first_off")) / F.col("n_members")))
-    cells = summary.filter(F.col("n_members") > 0).select(*TYPE, "any_group", width.alias("_width"))
-    if need_groups:
-        cells = cells.filter(F.col("any_group") != 0)
+    examined = summary.filter((F.col("n_members") > 0) & ((F.col("any_group") != 0) | F.lit(not need_groups))).select(*TYPE)
     group = F.coalesce("union_group", F.lit(0)).cast("bigint") if "union_group" in members.columns else F.lit(0).cast("bigint")
-    plain = (members.filter((F.col("bit_count") == 0) & (F.col("sz") > 0)).join(cells.drop("any_group"), TYPE)
-             .withColumn("_group", group).withColumn("_order", F.struct("off", "member", "sz", "bit_position", "bit_count", "mtype", "_group")))
-    # Only groups whose byte ranges touch are brought together, and a group other than 0 never with itself: mates of one
-    # union, however many, do not meet.
-    reach = plain.groupBy(*TYPE, "_group").agg(F.min("off").alias("lo"), F.max(F.col("off") + F.col("sz")).alias("hi"))
-    left, right = (reach.select(*TYPE, *[F.col(c).alias(f"{c}{side}") for c in ("_group", "lo", "hi")]) for side in ("_a", "_b"))
-    touching = left.join(right, TYPE).filter((F.col("lo_a") < F.col("hi_b")) & (F.col("lo_b") < F.col("hi_a")) & (
-        (F.col("_group_a") != F.col("_group_b")) | (F.col("_group_a") == 0))).select(*TYPE, F.col("_group_a").alias("_group"), F.col("_group_b").alias("_gb"))
-    first = F.floor(F.col("off") / F.col("_width"))
-    final = F.floor((F.col("off") + F.col("sz") - 1) / F.col("_width"))
-    a = plain.join(touching, [*TYPE, "_group"]).select(
-        *TYPE, "_gb", F.explode(F.sequence(first, final)).alias("_cell"), F.col("member").alias("earlier"), F.col("off").alias("a_off"),
-        (F.col("off") + F.col("sz")).alias("a_end"), F.col("_order").alias("_a"))
-    b = plain.select(*TYPE, F.col("_group").alias("_gb"), first.alias("_cell"), F.col("member").alias("later"), F.col("off").alias("b_off"), F.col("_order").alias("_b"))
-    return (a.join(b, [*TYPE, "_gb", "_cell"])
+    order = F.struct("off", "member", "sz", "bit_position", "bit_count", "mtype", "_group")
+    plain = (members.filter((F.col("bit_count") == 0) & (F.col("sz") > 0)).join(examined, TYPE).withColumn("_group", group).withColumn("_order", order)
+             .withColumn("_span", F.when(F.col("_group") != 0, F.col("_group").cast("string")).otherwise(F.to_json("_order"))))
+    spans = durable(_conflicting(plain.groupBy(*TYPE, "_span").agg(F.min("off").alias("lo"), F.max(F.col("off") + F.col("sz")).alias("hi"))), "conflicts")
+    width = F.greatest(F.lit(1).cast("bigint"), F.ceil((F.max("hi") - F.min("lo")) / F.count("*")))
+    celled = spans.join(spans.groupBy(*TYPE).agg(width.alias("_width")), TYPE)
+    first, final = F.floor(F.col("lo") / F.col("_width")), F.floor((F.col("hi") - 1) / F.col("_width"))
+    over = celled.select(*TYPE, F.explode(F.sequence(first, final)).alias("_cell"), F.col("_span").alias("_sa"), F.col("lo").alias("_la"), F.col("hi").alias("_ha"))
+    begun = celled.select(*TYPE, first.alias("_cell"), F.col("_span").alias("_sb"), F.col("lo").alias("_lb"))
+    earlier = (F.col("_la") < F.col("_lb")) | ((F.col("_la") == F.col("_lb")) & (F.col("_sa") < F.col("_sb")))
+    touching = over.join(begun, [*TYPE, "_cell"]).filter(earlier & (F.col("_lb") < F.col("_ha"))).select(*TYPE, "_sa", "_sb")
+    touching = durable(touching.union(touching.select(*TYPE, F.col("_sb").alias("_sa"), F.col("_sa").alias("_sb"))), "touching")
+    a = plain.select(*TYPE, F.col("_span").alias("_sa"), F.col("member").alias("earlier"), F.col("off").alias("a_off"), (F.col("off") + F.col("sz")).alias("a_end"), F.col("_order").alias("_a"))
+    b = plain.select(*TYPE, F.col("_span").alias("_sb"), F.col("member").alias("later"), F.col("off").alias("b_off"), F.col("_order").alias("_b"))
+    return (touching.join(a, [*TYPE, "_sa"]).join(b, [*TYPE, "_sb"])
             .filter((F.col("_a") < F.col("_b")) & (F.col("b_off") < F.col("a_end")))
             .select(*TYPE, "earlier", "later", "a_off", "a_end", "b_off"))
 

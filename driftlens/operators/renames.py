@@ -46,10 +46,32 @@ def ambiguous_members(changes: DataFrame, groups: DataFrame) -> DataFrame:
         "side", F.when(F.col("was"), F.lit("removed")).otherwise(F.lit("added"))).drop("was")
 
 
-def review_table(changes: DataFrame, groups: DataFrame, steps: DataFrame) -> DataFrame:
-    """Distinct ambiguous candidates with the name of their type: the same question asked by several steps counts once."""
+def review_questions(changes: DataFrame, groups: DataFrame, steps: DataFrame) -> DataFrame:
+    """(step, signature, type, question): each ambiguous signature with a key of what it asks.
+
+    A question is its type, its signature and its two sets of candidates. The key holds, for either side, the number of
+    names and 128 bits from two seeded hashes combined by xor, a partial aggregate over distinct names; so the same
+    question asked by several steps has one key, and different ones that share candidates do not.
+    """
     open_ = ambiguous_members(changes, groups).join(steps.select(*STEP, F.col("name").alias("type")), STEP)
-    return open_.select("type", *SIGNATURE, "side", "member").distinct()
+    marks = []
+    for side in ("removed", "added"):
+        name = F.when(F.col("side") == side, F.col("member"))
+        marks += [F.hex(F.count(name)), *[F.hex(F.coalesce(F.bit_xor(F.when(name.isNotNull(), F.xxhash64(F.lit(seed), "member"))), F.lit(0).cast("bigint"))) for seed in ("a", "b")]]
+    return open_.groupBy(*STEP, "type", *SIGNATURE).agg(F.concat_ws(".", *marks).alias("question"))
+
+
+def review_table(changes: DataFrame, groups: DataFrame, steps: DataFrame) -> DataFrame:
+    """(type, signature, question, side, member): the candidates of every distinct ambiguous question, long form."""
+    asked = review_questions(changes, groups, steps)
+    # one step shows the question for all that ask it
+    shown = asked.groupBy("type", *SIGNATURE, "question").agg(F.min(F.struct(*STEP)).alias("_s")).select("type", *SIGNATURE, "question", "_s.*")
+    return ambiguous_members(changes, groups).select(*STEP, *SIGNATURE, "side", "member").join(shown, [*STEP, *SIGNATURE]).select("type", *SIGNATURE, "question", "side", "member")
+
+
+def distinct_questions(changes: DataFrame, groups: DataFrame, steps: DataFrame) -> DataFrame:
+    """(type, signature, question), each ambiguous question once."""
+    return review_questions(changes, groups, steps).select("type", *SIGNATURE, "question").distinct()
 
 
 def occurrences(step_rows: DataFrame, step_uses: DataFrame) -> DataFrame:

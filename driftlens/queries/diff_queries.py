@@ -205,15 +205,36 @@ def _(fx):
 
 
 @query("q_ren6_review", f"""
-select type_name as type, old, new, rename_kind, max(off) filter (where nth=1) as off, max(sz) filter (where nth=1) as sz, count(*) as observations
+select type_name as type, old, new, rename_kind, max(off) filter (where nth=1) as off, max(sz) filter (where nth=1) as sz,
+  max(bp) filter (where nth=1) as bit_position, max(bc) filter (where nth=1) as bit_count, count(*) as observations
 from {USED} where rename_kind <> 'rename' group by 1,2,3,4""", *DIFF_VIEWS)
 def _(fx):
-    return renames.filler_transitions(feed(fx).used_renames).drop("bit_position", "bit_count")
+    return renames.filler_transitions(feed(fx).used_renames)
 
 
-@query("q_ren7_summary", "select rename_kind, count(*) as pairs from (select distinct type_name, old, new, rename_kind from dif_ren) t group by 1", *DIFF_VIEWS)
+# Every question of every pair with its two sorted lists; equal ones of several pairs count once.
+DIF_ASKED = ("dif_asked", """
+select distinct d.type_name, s.off, s.sz, s.bp, s.bc, string_agg(m1, ',' order by m1) as removed, string_agg(m2, ',' order by m2) as added
+ from dif_members d join dif_sigs s on d.lf = s.lf and d.lt = s.lt and d.type_name = s.type_name and coalesce(off1,off2) = s.off and coalesce(sz1,sz2) = s.sz and coalesce(bp1,bp2) = s.bp and coalesce(bc1,bc2) = s.bc
+ where (m1 is null or m2 is null) and not (s.removed = 1 and s.added = 1) group by d.lf, d.lt, d.type_name, s.off, s.sz, s.bp, s.bc""")
+
+
+@query("q_ren6_questions", """
+select type_name as type, off, sz, bp as bit_position, bc as bit_count, removed, added from dif_asked""", *DIFF_VIEWS, DIF_ASKED)
 def _(fx):
-    return renames.distinct_pairs(feed(fx).used_renames).groupBy("rename_kind").agg(F.count("*").alias("pairs"))
+    f = feed(fx)
+    rows = renames.review_table(f.member_changes, f.signatures, f.steps)
+    names = lambda side: F.array_join(F.array_sort(F.collect_list(F.when(F.col("side") == side, F.col("member")))), ",").alias(side)
+    return rows.groupBy("type", *renames.SIGNATURE, "question").agg(names("removed"), names("added")).drop("question")
+
+
+@query("q_ren7_summary", """
+select rename_kind, count(*) as pairs from (select distinct type_name, old, new, rename_kind from dif_ren) t group by 1
+union all select 'ambiguous', count(*) from dif_asked having count(*) > 0""", *DIFF_VIEWS, DIF_ASKED)
+def _(fx):
+    f = feed(fx)
+    asked = renames.distinct_questions(f.member_changes, f.signatures, f.steps).agg(F.count("*").alias("pairs")).filter("pairs > 0")
+    return renames.distinct_pairs(f.used_renames).groupBy("rename_kind").agg(F.count("*").alias("pairs")).unionByName(asked.select(F.lit("ambiguous").alias("rename_kind"), "pairs"))
 
 
 @query("q_fil8_filler_names", f"select distinct member, case when {FILLER.format(c='member')} then 'filler' else 'field' end as kind from fx_members")

@@ -1,9 +1,10 @@
 """Structural diff and rename inference on small layouts."""
 
 from frames import rows
+from pyspark.sql import functions as F
 from test_ordering import BUILD, build
 
-from driftlens.operators import renames
+from driftlens.operators import diffing, renames
 from driftlens.plans.feed import Feed
 from driftlens.plans import publish
 
@@ -77,3 +78,33 @@ def test_written_feed(spark, tmp_path):
     assert text.startswith("<?xml") and text.rstrip().endswith("</feed>") and text.count("<entry>") == 1
     import xml.etree.ElementTree as tree
     tree.fromstring(text.encode())
+
+
+def test_questions_stay_apart_and_count_once(spark):
+    """{a,b}->{c} and {a}->{c,d} share names but are two questions; the same question of two steps is one."""
+    changes = spark.createDataFrame(
+        [(step, 0, name, left, not left, *[8 if left else None] * 2, *[None if left else 8] * 2) for step, names in
+         ((1, [("a", True), ("b", True), ("c", False)]), (2, [("a", True), ("c", False), ("d", False)]), (3, [("a", True), ("b", True), ("c", False)]), (4, [("x", True), ("y", False)]))
+         for name, left in names],
+        "step_a long, step_b long, member string, in_left boolean, in_right boolean, off_from long, sz_from long, off_to long, sz_to long")
+    changes = changes.withColumns({f"{name}{side}": F.when(F.col("in_left") == (side == "_from"), F.lit(0)) for name in ("bit_position", "bit_count") for side in ("_from", "_to")})
+    steps = changes.select("step_a", "step_b", F.lit("_T").alias("name")).distinct()
+    groups = renames.signatures(changes)
+    table = renames.review_table(changes, groups, steps)
+    by_question = {}
+    for r in table.collect():
+        by_question.setdefault(r.question, []).append((r.side, r.member))
+    assert sorted(map(sorted, by_question.values())) == [[("added", "c"), ("added", "d"), ("removed", "a")], [("added", "c"), ("removed", "a"), ("removed", "b")]]
+    assert renames.distinct_questions(changes, groups, steps).count() == 2
+
+
+def test_pruning_is_one_aggregate_without_outer_join(spark):
+    pairs = spark.createDataFrame([("A", "B"), ("A", "B"), ("B", "C")], "layout_from string, layout_to string")
+    manifest = spark.createDataFrame([(layout, "type", name, 8, blob) for layout, name, blob in
+                                      [("A", "same", "1"), ("B", "same", "1"), ("C", "same", "1"), ("A", "gone", "2"), ("B", "new", "3"), ("C", "new", "4")]],
+                                     "layout string, kind string, name string, size long, blob string")
+    names = diffing.changed_names(pairs, manifest)
+    assert rows(names, "layout_from", "layout_to", "name", "in_left", "in_right") == [
+        ("A", "B", "gone", True, False), ("A", "B", "new", False, True), ("B", "C", "new", True, True)]
+    plan = names._jdf.queryExecution().optimizedPlan().toString()
+    assert "FullOuter" not in plan and "Outer" not in plan and plan.count("Aggregate") == 1

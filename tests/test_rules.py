@@ -1,7 +1,9 @@
 """Quality rules and record tables."""
 
 import random
+from collections import Counter
 
+import pytest
 from frames import rows
 from test_diff import CONSTANT, MEMBER, m
 
@@ -92,3 +94,44 @@ def test_mates_of_a_wide_union_never_meet(spark):
     both = members.unionByName(apart)
     assert quality.overlaps(members, summary(spark, members)).count() == 0
     assert quality.overlaps(both, summary(spark, both)).count() == 20_000
+
+
+def plain_overlaps(members):
+    out = []
+    for a in members:
+        for b in members:
+            key = lambda m: (m[2], m[1], m[3], m[6])
+            if a[:1] == b[:1] and key(a) < key(b) and b[2] < a[2] + a[3] and a[4] == b[4] == 0 and a[3] > 0 and b[3] > 0 and (a[6] != b[6] or a[6] == 0):
+                out.append((a[0], a[1], b[1]))
+    return Counter(out)
+
+
+UNIONS = "type_name string, member string, off bigint, sz bigint, bit_count int, mtype string, union_group int"
+
+
+def swept(spark, members, **settings):
+    df = spark.createDataFrame(members, UNIONS).withColumns({"layout": F.lit("L"), "bit_position": F.lit(0)})
+    types = df.select("layout", "type_name").distinct().withColumn("type_size", F.lit(1 << 40))
+    return quality.overlaps(df, quality.type_summary(df, types), **settings)
+
+
+@pytest.mark.parametrize("spread", [4, 60, 2000])
+def test_overlaps_equal_all_pairs(spark, spread):
+    rnd = random.Random(spread)
+    members = [(rnd.choice("TTTU"), f"m{i}", rnd.randrange(spread), rnd.choice([0, 1, 4, 8, 8, 40]), rnd.choice([0, 0, 0, 3]), "", rnd.choice([0, 0, 1, 2, 3])) for i in range(160)]
+    got = Counter((r.type_name, r.earlier, r.later) for r in swept(spark, members).collect())
+    assert got == plain_overlaps(members)
+
+
+def test_many_unions_of_one_type_stay_linear(spark, monkeypatch):
+    """20,000 unions side by side, each with two members of the same bytes; one of them reaches into the next."""
+    seen = {}
+    was = quality.durable
+    monkeypatch.setattr(quality, "durable", lambda df, label: (lambda made: (seen.__setitem__(label, made.count()), made)[1])(was(df, label)))
+    made = spark.range(40_000).select(F.lit("T").alias("type_name"), F.concat(F.lit("m"), "id").alias("member"), (F.floor(F.col("id") / 2) * 16).alias("off"),
+                                      F.when(F.col("id") == 777, 20).otherwise(16).cast("bigint").alias("sz"), F.lit(0).alias("bit_count"), F.lit("").alias("mtype"), (F.floor(F.col("id") / 2) + 1).cast("int").alias("union_group"))
+    df = made.withColumns({"layout": F.lit("L"), "bit_position": F.lit(0)})
+    types = df.select("layout", "type_name").distinct().withColumn("type_size", F.lit(1 << 40))
+    got = quality.overlaps(df, quality.type_summary(df, types)).collect()
+    assert sorted((r.earlier, r.later) for r in got) == [("m777", "m778"), ("m777", "m779")]
+    assert seen["conflicts"] == 2 and seen["touching"] == 2 and seen["sweep-edges"] < 100
