@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from driftlens.operators import quality as q
+from driftlens.operators import reconcile
 from driftlens.plans import validate
 from driftlens.queries.diff_queries import DIFF_VIEWS
 from driftlens.queries.registry import query
@@ -40,44 +41,62 @@ def findings(fx, rule):
     return found.filter(F.col("rule") == rule).select("layout", "severity", "entity", "message")
 
 
-@query("q_dq1_size_zero", """
-select layout, 'error' as severity, type_name as entity, type_name || ': size is zero (unresolved forward reference?)' as message from dq_types where type_size = 0""", *DQ)
+DQ1_SQL = """
+select layout, 'error' as severity, type_name as entity, type_name || ': size is zero (unresolved forward reference?)' as message from dq_types where type_size = 0"""
+
+
+@query("q_dq1_size_zero", DQ1_SQL, *DQ)
 def _(fx):
     return findings(fx, "size_zero")
 
 
-@query("q_dq2_no_members", """
+DQ2_SQL = """
 select layout, 'error' as severity, type_name as entity, type_name || ': no members' as message from dq_types t where type_size <> 0
- and not exists (select 1 from dq_sum s where s.layout = t.layout and s.type_name = t.type_name)""", *DQ)
+ and not exists (select 1 from dq_sum s where s.layout = t.layout and s.type_name = t.type_name)"""
+
+
+@query("q_dq2_no_members", DQ2_SQL, *DQ)
 def _(fx):
     return findings(fx, "no_members")
 
 
-@query("q_dq3_past_end", """
+DQ3_SQL = """
 select layout, 'error' as severity, type_name||'.'||member as entity, type_name||'.'||member||': ends at 0x'||lower(to_hex(off+sz))||', past the 0x'||lower(to_hex(type_size))||' byte struct' as message
-from dq_odd join dq_sound using (layout, type_name) where off + sz > type_size""", *DQ)
+from dq_odd join dq_sound using (layout, type_name) where off + sz > type_size"""
+
+
+@query("q_dq3_past_end", DQ3_SQL, *DQ)
 def _(fx):
     return findings(fx, "past_end")
 
 
-@query("q_dq4_zero_sized", """
+DQ4_SQL = """
 select layout, 'warning' as severity, type_name||'.'||member as entity, type_name||'.'||member||': zero sized, not the last member' as message
-from dq_odd join dq_sound using (layout, type_name) where sz = 0 and off <> last_off""", *DQ)
+from dq_odd join dq_sound using (layout, type_name) where sz = 0 and off <> last_off"""
+
+
+@query("q_dq4_zero_sized", DQ4_SQL, *DQ)
 def _(fx):
     return findings(fx, "zero_sized")
 
 
-@query("q_dq5_bit_storage", """
+DQ5_SQL = """
 select layout, 'error' as severity, type_name||'.'||member as entity, type_name||'.'||member||case when sz not in (1,2,4,8) then ': bitfield in a '||cast(sz as varchar)||' byte storage unit'
   else ': bits '||cast(bit_position as varchar)||':'||cast(bit_count as varchar)||' overflow a '||cast(sz as varchar)||' byte unit' end as message
-from dq_odd join dq_sound using (layout, type_name) where bit_count <> 0 and (sz not in (1,2,4,8) or bit_position + bit_count > sz * 8)""", *DQ)
+from dq_odd join dq_sound using (layout, type_name) where bit_count <> 0 and (sz not in (1,2,4,8) or bit_position + bit_count > sz * 8)"""
+
+
+@query("q_dq5_bit_storage", DQ5_SQL, *DQ)
 def _(fx):
     return findings(fx, "bit_storage").unionByName(findings(fx, "bit_overflow"))
 
 
-@query("q_dq6_bit_geometry", """
+DQ6_SQL = """
 select layout, 'error' as severity, type_name||'.'||member as entity, type_name||'.'||member||': bit geometry on a non-bitfield member' as message
-from dq_odd join dq_sound using (layout, type_name) where bit_count = 0 and bit_position <> 0""", *DQ)
+from dq_odd join dq_sound using (layout, type_name) where bit_count = 0 and bit_position <> 0"""
+
+
+@query("q_dq6_bit_geometry", DQ6_SQL, *DQ)
 def _(fx):
     return findings(fx, "bit_geometry")
 
@@ -91,10 +110,13 @@ def enums(fx):
     return fx.sql(DQ_ENUMS[1])
 
 
-@query("q_dq7_enum_rules", """
+DQ7_SQL = """
 select e.layout, case when n is null then 'warning' else 'error' end as severity, e.enum_name as entity,
   case when n is null then e.enum_name||': enumeration with no constants' else e.enum_name||': enum size '||cast(enum_size as varchar) end as message
-from dq_enums e left join (select layout, enum_name, count(*) as n from fx_constants group by 1,2) c on c.layout=e.layout and c.enum_name=e.enum_name where n is null or enum_size not in (1,2,4,8)""", DQ_ENUMS)
+from dq_enums e left join (select layout, enum_name, count(*) as n from fx_constants group by 1,2) c on c.layout=e.layout and c.enum_name=e.enum_name where n is null or enum_size not in (1,2,4,8)"""
+
+
+@query("q_dq7_enum_rules", DQ7_SQL, DQ_ENUMS)
 def _(fx):
     return q.check_enums(enums(fx), fx.table("fx_constants")).drop("rule")
 
@@ -104,16 +126,22 @@ select distinct l_orderkey - l_orderkey % 100 as layout, 'E_' || l_returnflag as
   l_suppkey % 4 * 90 - 140 as value, 1 as enum_size from lineitem""")
 
 
-@query("q_dq8_two_values", """
+DQ8_SQL = """
 select layout, 'error' as severity, enum_name||'.'||name as entity, enum_name||'.'||name||': two values, '||cast(prev as varchar)||' and '||cast(value as varchar) as message
-from (select *, lag(value) over (partition by layout, enum_name, name order by value) as prev from dq_raw) t where prev <> value""", DQ_RAW)
+from (select *, lag(value) over (partition by layout, enum_name, name order by value) as prev from dq_raw) t where prev <> value"""
+
+
+@query("q_dq8_two_values", DQ8_SQL, DQ_RAW)
 def _(fx):
     return q.check_constant_values(fx.sql(DQ_RAW[1])).drop("rule")
 
 
-@query("q_dq9_constant_width", """
+DQ9_SQL = """
 select layout, 'error' as severity, enum_name||'.'||name as entity, enum_name||'.'||name||' = '||cast(value as varchar)||' does not fit '||cast(enum_size as varchar)||' byte(s)' as message
-from dq_raw where value < -128 or value >= 256""", DQ_RAW)
+from dq_raw where value < -128 or value >= 256"""
+
+
+@query("q_dq9_constant_width", DQ9_SQL, DQ_RAW)
 def _(fx):
     return q.check_constant_width(fx.sql(DQ_RAW[1])).drop("rule")
 
@@ -150,18 +178,39 @@ def _(fx):
     return wide_feed(fx, loaded).per_transition().select("label", "machine", "from_key", "to_key", "type_name", "moved", "worst")
 
 
+# Every finding of every rule, as (layout, severity, entity, message).
+DQ_ALL = ("dq_all", " union all ".join(f"select layout, severity, entity, message from ({text}) r" for text in (DQ1_SQL, DQ2_SQL, DQ3_SQL, DQ4_SQL, DQ5_SQL, DQ6_SQL, DQ7_SQL, DQ8_SQL, DQ9_SQL)))
+DQ_RULES = (*DQ, DQ_ENUMS, DQ_RAW, DQ_ALL)
+# Every mismatch of two readings that is fatal: the member sides of the reconciliation, and types of one side only.
+DQ_APART = ("dq_apart", """
+select distinct coalesce(a.layout, b.layout) as layout from fx_members a full join fx_members_b b on a.layout=b.layout and a.type_name=b.type_name and a.member=b.member
+where a.layout is null or b.layout is null or a.off <> b.off or a.bit_position <> b.bit_position or a.bit_count <> b.bit_count or (a.mtype <> '' and b.mtype <> '' and a.mtype <> b.mtype)""")
+
+
+def all_findings(fx):
+    return q.self_consistency(odd(fx), types(fx), fx.sql(DQ_RAW[1]), enums(fx))
+
+
 @query("q_dq12_admission", """
 select b.symbol_key, case when cast(b.symbol_key as bigint) % 17 = 0 then 'pdb_404' when cast(b.symbol_key as bigint) % 17 = 1 then 'parse_failed' when e.layout is not null then 'inconsistent' when f.layout is not null then 'oracle_mismatch' else 'stored' end as outcome
+from fx_builds b left join (select distinct layout from dq_all where severity = 'error') e on e.layout = b.layout left join dq_apart f on f.layout = b.layout""", *DQ_RULES, DQ_APART)
+def _(fx):
+    apart = reconcile.member_findings(fx.table("fx_members"), fx.table("fx_members_b"))
+    unread = F.expr("case cast(symbol_key as bigint) % 17 when 0 then 'pdb_404' when 1 then 'parse_failed' end")
+    failed = fx.builds().select("symbol_key", unread.alias("reason")).filter("reason is not null")
+    return q.admit(fx.builds(), all_findings(fx), apart, failed).select("symbol_key", F.coalesce("reason", F.lit("stored")).alias("outcome"))
+
+
+# One rule and one mismatch alone, so that both reasons and stored builds occur in the outcome.
+@query("q_dq12_one_rule", """
+select b.symbol_key, case when e.layout is not null then 'inconsistent' when f.layout is not null then 'oracle_mismatch' else 'stored' end as outcome
 from fx_builds b left join (select distinct layout from dq_types where type_size = 0) e on e.layout = b.layout
  left join (select distinct a.layout from fx_members a join fx_members_b b on a.layout=b.layout and a.type_name=b.type_name and a.member=b.member where a.off <> b.off) f on f.layout = b.layout""", *DQ)
 def _(fx):
-    from driftlens.operators import reconcile
     members = fx.table("fx_members")
     errors = q.check_types(q.type_summary(members, types(fx))).filter(F.col("rule") == "size_zero")
     apart = reconcile.member_findings(members, fx.table("fx_members_b")).filter(F.col("rule") == "offset")
-    unread = F.expr("case cast(symbol_key as bigint) % 17 when 0 then 'pdb_404' when 1 then 'parse_failed' end")
-    failed = fx.builds().select("symbol_key", unread.alias("reason")).filter("reason is not null")
-    return q.admit(fx.builds(), errors, apart, failed).select("symbol_key", F.coalesce("reason", F.lit("stored")).alias("outcome"))
+    return q.admit(fx.builds(), errors, apart).select("symbol_key", F.coalesce("reason", F.lit("stored")).alias("outcome"))
 
 
 @query("q_joi18_overlaps", """
@@ -187,23 +236,11 @@ def _(fx):
     return q.overlaps(m, q.type_summary(m, fx.types()))
 
 
-@query("q_agg11_finding_groups", """
-select severity, message, count(*) as times from (
- select 'error' as severity, type_name||'.'||member||': ends at 0x'||lower(to_hex(off+sz))||', past the 0x'||lower(to_hex(type_size))||' byte struct' as message
- from dq_odd join dq_sound using (layout, type_name) where off + sz > type_size) t group by 1,2 order by times desc, message limit 25""", *DQ)
+@query("q_agg11_finding_groups", "select severity, message, count(*) as times from dq_all group by 1, 2 order by times desc, message limit 25", *DQ_RULES)
 def _(fx):
-    return q.group_findings(findings(fx, "past_end"), 25)
+    return q.group_findings(all_findings(fx), 25)
 
 
-@query("q_sca11_finding_messages", """
-select severity, rule, count(*) as findings, count(distinct message) as messages from (
- select 'error' as severity, 'past_end' as rule, type_name||'.'||member||': ends at 0x'||lower(to_hex(off+sz))||', past the 0x'||lower(to_hex(type_size))||' byte struct' as message
-  from dq_odd join dq_sound using (layout, type_name) where off + sz > type_size
- union all select 'warning', 'zero_sized', type_name||'.'||member||': zero sized, not the last member' from dq_odd join dq_sound using (layout, type_name) where sz = 0 and off <> last_off
- union all select 'error', 'bit_geometry', type_name||'.'||member||': bit geometry on a non-bitfield member' from dq_odd join dq_sound using (layout, type_name) where bit_count = 0 and bit_position <> 0) t
-group by 1,2""", *DQ)
+@query("q_sca11_finding_messages", "select severity, entity, message, count(*) as findings from dq_all group by 1, 2, 3", *DQ_RULES)
 def _(fx):
-    members = odd(fx)
-    found = q.check_members(members, q.type_summary(members, types(fx)))
-    return found.filter(F.col("rule").isin("past_end", "zero_sized", "bit_geometry")).groupBy("severity", "rule").agg(
-        F.count("*").alias("findings"), F.count_distinct("message").alias("messages"))
+    return all_findings(fx).groupBy("severity", "entity", "message").agg(F.count("*").alias("findings"))

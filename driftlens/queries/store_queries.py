@@ -132,8 +132,8 @@ select l_orderkey - l_orderkey % 100 as layout, 'E_' || l_returnflag as enum_nam
 
 # ---- dictionary ---------------------------------------------------------------------------------------
 
-# The stored dictionary knows the shorter names; the rest is appended.
-DIC_OLD = ("dic_old", "select name, row_number() over (order by min(build), name) - 1 as pos from fx_symbols where length(name) <= 6 group by name")
+# The stored dictionary knows the names of the first fiftieth of all builds, about half of all names at any size; the rest is appended.
+DIC_OLD = ("dic_old", "select name, row_number() over (order by min(build), name) - 1 as pos from fx_symbols where cast(build as bigint) * 50 <= (select max(cast(build as bigint)) from fx_symbols) group by name")
 DIC_ALL = ("dic_all", """
 select name, pos from dic_old union all select name, (select count(*) from dic_old) + row_number() over (order by min(build), name) - 1 from fx_symbols
  where name not in (select name from dic_old) group by name""")
@@ -141,7 +141,8 @@ DIC = (DIC_OLD, DIC_ALL)
 
 
 def stored_dictionary(fx):
-    return dictionary.extend(None, fx.table("fx_symbols").filter(F.length("name") <= 6))
+    early = fx.sql("select * from fx_symbols where cast(build as bigint) * 50 <= (select max(cast(build as bigint)) from fx_symbols)")
+    return dictionary.extend(None, early)
 
 
 def full_dictionary(fx):
@@ -357,22 +358,24 @@ def _(fx):
 
 
 @query("q_agg9_compact_builds", """
-select symbol_key as k, coalesce(file_version,'') as v, machine as m, coalesce(release_date,'') as d, layout as l, kb, n_channels as c
+select symbol_key as k, coalesce(file_version,'') as v, machine as m, coalesce(release_date,'') as d, layout as l, kb, n_channels as c, layout % 7 as y, 'image' || cast(layout % 3 as varchar) as n
 from fx_builds join (select symbol_key, count(*) as n_channels from fx_build_channels group by symbol_key) c using (symbol_key)""")
 def _(fx):
-    builds = fx.builds().withColumn("pdb_name", F.lit("image")).withColumn("symbol_count", F.lit(0).cast("bigint"))
+    builds = fx.builds().withColumn("pdb_name", F.concat(F.lit("image"), (F.col("layout") % 3).cast("string"))).withColumn("symbol_count", F.col("layout") % 7)
     return catalogue.compact_builds(builds).fillna("", ["v", "d"]).select(
-        "k", "v", "m", "d", F.col("l").cast("bigint").alias("l"), F.array_join("kb", "/").alias("kb"), F.size("c").cast("bigint").alias("c"))
+        "k", "v", "m", "d", F.col("l").cast("bigint").alias("l"), F.array_join("kb", "/").alias("kb"), F.size("c").cast("bigint").alias("c"), "y", "n")
 
 
 @query("q_agg10_store_stats", """
 select (select count(*) from fx_builds) as builds, (select count(distinct layout) from hsh_m) as layouts, (select count(distinct blob) from hsh_m) as blobs, (select count(distinct name) from fx_symbols) as names,
+ (select sum(length('{"symbol_key":"'||symbol_key||'"'||coalesce(',"file_version":"'||file_version||'"','')||',"machine":"'||machine||'"'||coalesce(',"release_date":"'||release_date||'"','')||',"kb":["'||kb||'"],"layout":'||layout||',"channel":['||listed||']}'))::bigint
+   from fx_builds join (select symbol_key, string_agg('"'||channel||'"', ',') as listed from fx_build_channels group by symbol_key) c using (symbol_key)) as builds_bytes,
  (select sum(length('{"blob":"'||blob||'"}')) from (select distinct blob from hsh_m) t) as blobs_bytes,
  (select sum(length('{"name":"'||name||'"}')) from (select distinct name from fx_symbols) t) as names_bytes, (select round((select count(*) from fx_builds)::double / count(distinct layout), 2) from hsh_m) as dedup""", *HSH)
 def _(fx):
     found = full_manifest(fx)
     stats = catalogue.store_stats(fx.builds(), found, found.select("blob").distinct(), fx.table("fx_symbols").select("name").distinct())
-    return stats.select("builds", "layouts", "blobs", "names", "blobs_bytes", "names_bytes", "dedup")
+    return stats.select("builds", "layouts", "blobs", "names", "builds_bytes", "blobs_bytes", "names_bytes", "dedup")
 
 
 @query("q_agg13_layout_runs", """
