@@ -51,6 +51,47 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/driftlens/{label}-{uuid.uuid4().hex}"
 
 
+class Folder:
+    """Small files and names below a folder of whatever store Spark can reach."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._jvm, self.root = spark.sparkContext._jvm, path.rstrip("/")
+        self._fs = self._at("").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _at(self, name: str):
+        return self._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
+
+    def names(self, name: str = "") -> list[str]:
+        """What is in a folder; nothing if there is none."""
+        return [entry.getPath().getName() for entry in self._fs.listStatus(self._at(name))] if self._fs.exists(self._at(name)) else []
+
+    def complete(self, name: str) -> bool:
+        """Whether Spark has finished writing the table."""
+        return self._fs.exists(self._at(f"{name}/_SUCCESS"))
+
+    def text(self, name: str) -> str:
+        stream = self._fs.open(self._at(name))
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def publish(self, name: str, text: str) -> None:
+        """Make a new small file visible at once: written beside its place, then renamed. An existing one is an error."""
+        beside = f"{name}.{uuid.uuid4().hex}"
+        stream = self._fs.create(self._at(beside))
+        try:
+            stream.write(bytearray(text.encode("utf-8")))
+        finally:
+            stream.close()
+        if self._fs.exists(self._at(name)) or not self._fs.rename(self._at(beside), self._at(name)):
+            self._fs.delete(self._at(beside), False)
+            raise FileExistsError(f"{self.root}/{name}")
+
+    def delete(self, name: str = "") -> None:
+        self._fs.delete(self._at(name), True)
+
+
 _OPEN: list[list[str]] = []
 
 
@@ -62,8 +103,7 @@ def scope(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         for path in _OPEN.pop():
-            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+            Folder(spark, path).delete()
 
 
 def durable(df: DataFrame, label: str = "stage") -> DataFrame:
