@@ -103,8 +103,10 @@ def _qualifiers(is_const: Column, is_volatile: Column) -> Column:
 def render_types(records: DataFrame, sizes: DataFrame) -> DataFrame:
     """(idx, declared) with the C spelling of each record; '' where anything on the way is unresolvable.
 
-    The chain from a record to its innermost type is collected as a list of wrappers, outermost first,
-    and folded from the inside out. An empty inner text makes the whole empty, and so does a cycle.
+    The chain from a record to its innermost type is a list of wrappers, outermost first, folded from the inside out. Lists
+    are put together by doubling: each round appends to a record's list that of the record where it ends, so n wrappers
+    take log n rounds. A chain has records of every shorter length behind it, so once a round ends no chain, those that are
+    left run in circles. They are empty, as is everything around an empty text.
     """
     kind = F.col("kind")
     stride = sizes.select(F.col("idx").alias("underlying"), F.col("bytes").alias("_stride"))
@@ -118,20 +120,15 @@ def render_types(records: DataFrame, sizes: DataFrame) -> DataFrame:
     nodes = durable(records.join(stride, "underlying", "left").select(
         "idx", F.when(wraps, F.struct(kind.alias("kind"), extra.alias("extra"))).alias("_wrap"), F.when(wraps, F.col("underlying")).alias("_inner"), text.alias("_text")), "nodes")
 
-    level = nodes.select("idx", F.array_compact(F.array("_wrap")).alias("_wraps"), "_inner", "_text", F.array("idx").alias("_passed"))
-    finished = None
-    while True:
-        level = durable(level, "render")
-        done = level.filter(F.col("_inner").isNull()).select("idx", "_wraps", "_text")
-        finished = done if finished is None else finished.unionByName(done)
-        open_ = level.filter(F.col("_inner").isNotNull())
-        if _is_empty(open_):
-            break
-        inner = nodes.select(F.col("idx").alias("_inner"), F.col("_wrap").alias("_w"), F.col("_inner").alias("_next"), F.col("_text").alias("_t"))
-        again = F.array_contains("_passed", F.col("_inner"))
-        level = open_.join(inner, "_inner", "left").select(
-            "idx", F.concat("_wraps", F.array_compact(F.array("_w"))).alias("_wraps"), F.when(~again, F.col("_next")).alias("_inner"),
-            F.when(again, F.lit("")).otherwise(F.coalesce("_t", F.lit(""))).alias("_text"), F.concat("_passed", F.array("_inner")).alias("_passed"))
+    chains = durable(nodes.select("idx", F.array_compact(F.array("_wrap")).alias("_wraps"), "_inner", "_text"), "render")
+    open_, before = chains.filter("_inner is not null").count(), None
+    while open_ and open_ != before:
+        ahead = chains.select(F.col("idx").alias("_inner"), F.col("_wraps").alias("_w"), F.col("_inner").alias("_next"), F.col("_text").alias("_t"))
+        running = chains.filter("_inner is not null").join(ahead, "_inner", "left").select(
+            "idx", F.concat("_wraps", F.coalesce("_w", F.array().cast(chains.schema["_wraps"].dataType))).alias("_wraps"), F.col("_next").alias("_inner"), F.coalesce("_t", F.lit("")).alias("_text"))
+        chains = durable(chains.filter("_inner is null").unionByName(running.select(*chains.columns)), "render")
+        open_, before = chains.filter("_inner is not null").count(), open_
+    finished = chains.select("idx", "_wraps", F.when(F.col("_inner").isNull(), F.col("_text")).otherwise("").alias("_text"))
 
     def wrap(state: Column, step: Column) -> Column:
         text, inner = state["text"], state["kind"]
@@ -152,17 +149,17 @@ def render_types(records: DataFrame, sizes: DataFrame) -> DataFrame:
 def enum_constants(enums: DataFrame, lists: DataFrame, constants: DataFrame) -> DataFrame:
     """(enum_name, name, value) over the field list of each enum and its continuations, duplicates removed.
 
-    A continuation that was read already is not read again, so lists in a cycle each count once.
+    Continuations are followed by doubling: when all lists up to a distance are known, one join with the jumps of that
+    distance finds those up to twice as far. Lists in a cycle each count once: a round that finds nothing new is the last.
     """
-    level = enums.select("enum_name", "list_id", F.array("list_id").alias("_passed"))
-    found = None
+    jump = durable(lists.filter("continuation is not null").select(F.col("list_id").alias("_from"), F.col("continuation").alias("_to")).distinct(), "continuation")
+    reached = durable(enums.select("enum_name", "list_id").distinct(), "continuation")
     while True:
-        level = durable(level, "continuation")
-        here = level.join(constants, "list_id").select("enum_name", "name", "value")
-        found = here if found is None else found.unionByName(here)
-        if _is_empty(level):
+        ahead = reached.join(jump, F.col("list_id") == F.col("_from")).select("enum_name", F.col("_to").alias("list_id")).distinct()
+        fresh = durable(ahead.join(reached, ["enum_name", "list_id"], "left_anti"), "continuation")
+        if _is_empty(fresh):
             break
-        ahead = F.col("continuation").isNotNull() & ~F.array_contains("_passed", F.col("continuation"))
-        level = level.join(lists, "list_id").filter(ahead).select(
-            "enum_name", F.col("continuation").alias("list_id"), F.concat("_passed", F.array("continuation")).alias("_passed"))
-    return found.dropDuplicates()
+        reached = reached.unionByName(fresh)
+        further = jump.select(F.col("_from").alias("_to"), F.col("_to").alias("_end"))
+        jump = durable(jump.join(further, "_to").select("_from", F.col("_end").alias("_to")).distinct(), "continuation")
+    return reached.join(constants, "list_id").select("enum_name", "name", "value").dropDuplicates()

@@ -135,3 +135,33 @@ def test_many_unions_of_one_type_stay_linear(spark, monkeypatch):
     got = quality.overlaps(df, quality.type_summary(df, types)).collect()
     assert sorted((r.earlier, r.later) for r in got) == [("m777", "m778"), ("m777", "m779")]
     assert seen["conflicts"] == 2 and seen["touching"] == 2 and seen["sweep-edges"] < 100
+
+
+def counting(monkeypatch, label):
+    made = []
+    was = hierarchy.durable
+    monkeypatch.setattr(hierarchy, "durable", lambda df, name: (made.append(name) if name == label else None, was(df, name))[1])
+    return made
+
+
+RECORD = "idx long, kind_group string, name string, kind string, is_forward boolean, size long, underlying long, primitive string, indirection string, is_const boolean, is_volatile boolean"
+
+
+def test_a_thousand_pointers_take_few_rounds(spark, monkeypatch):
+    chain = [(i, "g", f"#{i}", "pointer" if i else "primitive", False, 8, i - 1 if i else None, "Void" if not i else None, None, False, False) for i in range(1001)]
+    circle = [(5000 + i, "g", f"#{5000 + i}", "pointer", False, 8, 5000 + (i + 1) % 7, None, None, False, False) for i in range(7)]
+    leads = [(6000, "g", "#6000", "modifier", False, 0, 5003, None, None, True, False), (6001, "g", "#6001", "pointer", False, 8, 99999, None, None, False, False)]
+    records = spark.createDataFrame(chain + circle + leads, RECORD)
+    rounds = counting(monkeypatch, "render")
+    got = {r.idx: r.declared for r in hierarchy.render_types(records, hierarchy.resolve_sizes(records)).collect()}
+    assert len(rounds) <= 13 and got[1000] == "void" + " *" * 1000 and got[3] == "void * * *"
+    assert all(got[i] == "" for i in [*range(5000, 5007), 6000, 6001])
+
+
+def test_long_and_circular_continuations_take_few_rounds(spark, monkeypatch):
+    lists = spark.createDataFrame([(i, i + 1 if i < 499 else None) for i in range(500)] + [(1000 + i, 1000 + (i + 1) % 5) for i in range(5)], "list_id long, continuation long")
+    constants = lists.select("list_id", F.concat(F.lit("C"), "list_id").alias("name"), F.col("list_id").alias("value"))
+    enums = spark.createDataFrame([("long", 0), ("circle", 1002), ("end", 499), ("nowhere", 7777)], "enum_name string, list_id long")
+    rounds = counting(monkeypatch, "continuation")
+    got = Counter(r.enum_name for r in hierarchy.enum_constants(enums, lists, constants).collect())
+    assert got == {"long": 500, "circle": 5, "end": 1} and len(rounds) <= 22
