@@ -59,7 +59,7 @@ def _(fx):
     path = scratch_path(fx.spark, "index")
     objects = shaped(fx).groupBy(F.expr("cast(sha256 as bigint) div 50")).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("sha256", "entry")))).alias("value"))
     objects.select("value").write.option("compression", "gzip").text(path)
-    return index.read_index(fx.spark, path, one_object_per_line=True).select("sha256", F.col("entry.fileInfo.timestamp").alias("ts"), F.col("entry.fileInfo.version").alias("version"), F.size("entry.windowsVersions").alias("channels"))
+    return index.read_index(fx.spark, path).select("sha256", F.col("entry.fileInfo.timestamp").alias("ts"), F.col("entry.fileInfo.version").alias("version"), F.size("entry.windowsVersions").alias("channels"))
 
 
 @query("q_src1_rejected_texts", "select sha256 from idx_rows where ts % 13 in (0, 1)", *IDXV)

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,10 +38,98 @@ def rejected_texts(texts: DataFrame, column: str = "value", schema: str = INDEX)
     return texts.filter(F.from_json(column, schema).isNull())
 
 
-def read_index(spark: SparkSession, path: str, one_object_per_line: bool = False) -> DataFrame:
-    """Read ``*.json.gz`` indexes. A gzipped object is one unsplittable value, so many files read in parallel
-    but one file does not; the line form splits further when it is not gzipped."""
-    return parse_index(spark.read.text(path, wholetext=not one_object_per_line))
+class Entries:
+    """Cuts JSON objects that arrive in pieces into their entries, holding one entry at a time.
+
+    Every piece ends where a brace closes; that brace is not part of it. Objects may follow each other; a stray brace between
+    them is taken for white space, as the end of a file has one too many.
+    """
+
+    _MARK = re.compile(r'["\\{}]')
+    _DECODE = json.JSONDecoder()
+
+    def __init__(self, name: str = ""):
+        self.name, self.held, self.depth, self.quoted, self.skip, self.count = name, [], 0, False, False, 0
+
+    def _fail(self, why: str):
+        raise ValueError(f"{self.name}: {why}")
+
+    def feed(self, piece: str) -> tuple[str, str] | None:
+        """Key and JSON text of the entry that this piece completes, if it does."""
+        if not self.depth and not self.held and not piece.strip():
+            return None  # white space after the last object
+        text = piece + "}"
+        at = 1 if self.skip else 0
+        self.skip = False
+        while (mark := self._MARK.search(text, at)) is not None:
+            at, sign = mark.end(), mark[0]
+            if self.quoted:
+                if sign == "\\":
+                    self.skip = at == len(text)
+                    at += 1
+                elif sign == '"':
+                    self.quoted = False
+            elif sign == '"':
+                self.quoted = True
+            elif sign != "\\":
+                self.depth += 1 if sign == "{" else -1
+        self.held.append(text)
+        if self.quoted or self.skip or self.depth > 1:
+            return None
+        whole, self.held = "".join(self.held).strip(), []
+        if self.depth < 0 or self.depth == 0 and whole != ("}" if self.count else "{}"):
+            self._fail("not an object of objects")
+        if self.depth == 0:
+            self.count = 0
+            return None
+        if whole[0] != ("," if self.count else "{"):
+            self._fail("not an object of objects")
+        self.count += 1
+        rest = whole[1:].lstrip()
+        if not rest.startswith('"'):
+            self._fail("an entry without a key")
+        key, end = self._DECODE.raw_decode(rest)
+        value = rest[end:].lstrip()
+        if not value.startswith(":"):
+            self._fail("an entry without a value")
+        return key, value[1:].strip()
+
+    def end(self) -> None:
+        """Refuse an object that has not ended."""
+        if self.depth or self.held:
+            self._fail("ends within an object")
+
+
+def _entries_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    reader = None
+    for batch in batches:
+        keys, values = [], []
+        for piece, path, begin in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if reader is None or reader.name != path:
+                if reader is not None:
+                    reader.end()
+                if begin:
+                    raise ValueError(f"{path} is read in parts; compress it or raise spark.sql.files.maxPartitionBytes")
+                reader = Entries(path)
+            found = reader.feed(piece)
+            if found:
+                keys.append(found[0])
+                values.append(found[1])
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(values, pa.string())], names=["sha256", "value"])
+    if reader is not None:
+        reader.end()
+
+
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    """Rows (sha256, entry) of ``*.json.gz`` indexes, each one or more JSON objects.
+
+    A file is read from its beginning to its end, brace by brace, and handed on entry by entry: a task holds one entry
+    and a batch of pieces, however large the object is. Many files are read in parallel. What is no such object, or ends
+    within one, fails the job.
+    """
+    pieces = spark.read.option("lineSep", "}").text(path).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("begin"))
+    found = pieces.mapInArrow(_entries_of, "sha256 string, value string")
+    return found.repartition("sha256").select("sha256", F.from_json("value", ENTRY, {"mode": "FAILFAST"}).alias("entry"))
 
 
 def _truthy(column: Column) -> Column:

@@ -1,5 +1,10 @@
 """Literal cases of the column helpers."""
 
+import gzip
+import json
+import random
+
+import pytest
 from frames import rows
 from pyspark.sql import functions as F
 
@@ -86,3 +91,46 @@ def test_read_gzipped_index(spark, tmp_path):
     (tmp_path / "i.json.gz").write_bytes(gzip.compress(json.dumps({"s1": entry}, indent=1).encode()))
     got = index.with_derived(index.candidates(index.read_index(spark, str(tmp_path)))).head()
     assert (got.sha256, got.version, got.machine, got.kb, got.release_date) == ("s1", "10.0.1.2", "amd64", ["KB1", "KB2"], "2024-02-02")
+
+
+def cut(text):
+    """Entries of a text as the reader meets it: at its closing braces."""
+    reader, found = index.Entries("t"), []
+    *pieces, rest = text.split("}")
+    for piece in pieces + ([rest] if rest else []):
+        got = reader.feed(piece)
+        if got:
+            found.append((got[0], json.loads(got[1])))
+    reader.end()
+    return found
+
+
+def test_entries_are_cut_at_braces_outside_of_strings():
+    rnd = random.Random(8)
+    texts = ["", "}", "{", '"', "\\", '\\"', "a}b", "{}", ",", "\\}", "ö\n"]
+    value = lambda depth: {rnd.choice(texts) + str(i): rnd.choice([1, None, rnd.choice(texts), [rnd.choice(texts), {}]]) if depth == 0 else value(depth - 1) for i in range(rnd.randint(0, 3))}
+    for _ in range(500):
+        objects = [{rnd.choice(texts) + str(i): value(rnd.randint(0, 2)) for i in range(rnd.randint(0, 4))} for _ in range(rnd.randint(0, 3))]
+        text = rnd.choice(["", "\n", " "]).join(json.dumps(o, ensure_ascii=rnd.random() < 0.5, indent=rnd.choice([None, 1])) for o in objects) + rnd.choice(["", "\n"])
+        assert cut(text) == [entry for o in objects for entry in o.items()]
+
+
+@pytest.mark.parametrize("text", ['{"a": {"x": 1}', '{"a": {"x": 1', '{"a": {"x": 1},', '{"a": {"x": 1}, }', '[{"a": 1}]', '{"a": {}; "b": {}}', '{"a" {}}', '{"a": {"x": "}', '{, "a": {}}', '{"a": {}, "b": 1}'])
+def test_what_is_no_object_of_objects_is_refused(text):
+    with pytest.raises(ValueError):
+        cut(text)
+
+
+def test_an_index_is_read_entry_by_entry(spark, tmp_path):
+    name = '1 }{ \\" '
+    entry = {"fileInfo": {"timestamp": 5, "version": name}, "windowsVersions": {"c": {"KB1": {"updateInfo": {"releaseDate": "2024"}}}}}
+    for n in range(3):
+        with gzip.open(f"{tmp_path}/{n}.json.gz", "wt") as out:
+            json.dump({f"{n}-{i}": entry for i in range(3000)}, out)
+    read = index.read_index(spark, str(tmp_path))
+    assert read.count() == 9000 and read.select("sha256").distinct().count() == 9000
+    assert read.filter((F.col("entry.fileInfo.version") == name) & (F.map_keys("entry.windowsVersions")[0] == "c")).count() == 9000
+    with gzip.open(f"{tmp_path}/cut.json.gz", "wt") as out:
+        out.write(json.dumps({f"x{i}": entry for i in range(5)})[:-40])
+    with pytest.raises(Exception, match="ends within an object"):
+        index.read_index(spark, str(tmp_path)).count()
