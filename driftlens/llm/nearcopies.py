@@ -7,14 +7,15 @@ probability (1 - 0.8^5)^30, about 7 in a million. Every link is verified on the
 
 What is wanted are components, so a bucket of many near copies needs no pair of all:
 
-1. *Heads.* Each bucket's head is its member that shares buckets with most others, which in a family of altered copies is
-   the text nearest to all. Buckets with one head become one group, and every member is compared with the head.
+1. *Heads.* Each bucket's head is its member that shares buckets with most others, which in a family of altered copies is the
+   text nearest to all. Every member is compared with its head. Groups that then span several components are compared in
+   pairs if they have few members; larger ones are put together where their heads are in one component, below the
+   head that meets most, and compared with it.
 2. *Edits.* What is left are members of a group in different components. Write E(x) for the shingles that x and the head do
    not share. Two texts are similar if and only if |E(x) - E(y)| + |E(y) - E(x)| is at most a fixed part of their sizes, and of
    two texts in different components at least one is not similar to the head. So E(x) and E(y) must have a known
-   number s of edits in common, and then also one among the |E| - s + 1 rarest of each. Groups are cut into the groups that
-   share such an edit; edits that one member has alone cost nothing. Large ones get heads of their own, and so on.
-3. *Rest.* In groups of few pairs, or after ``ROUNDS``, the members of different components are compared in pairs.
+   number s of edits in common, hence one among the |E| - s + 1 rarest of each, with enough edits after it. Members meet by
+   such an edit only; edits that one member has alone cost nothing.
 
 No candidate is dropped: each step keeps every pair that can still be a link between two components.
 
@@ -39,8 +40,8 @@ from driftlens.runtime import durable
 BANDS, ROWS = 30, 5
 #: Shingles whose minimal hashes are taken at a time.
 BLOCK = 1 << 12
-#: Groups of at most FEW x FEW pairs are compared in pairs, larger ones get heads and are cut by edits, at most so many times.
-FEW, ROUNDS = 16, 3
+#: Groups of so many members are compared in pairs, larger ones by their edits.
+FEW = 16
 _DRAW = np.random.default_rng(22)
 _XOR = _DRAW.integers(0, 1 << 64, (BANDS * ROWS, 1), dtype=np.uint64, endpoint=False)
 _TIMES = _DRAW.integers(0, 1 << 64, (BANDS * ROWS, 1), dtype=np.uint64, endpoint=False) | np.uint64(1)
@@ -109,12 +110,12 @@ def _rooted(nodes: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _headed(groups: DataFrame) -> DataFrame:
-    """``head, nh, node, n, main``: members of ``groups(key, node, n, main)`` below the head of their group, groups of one head together."""
+    """``head, nh, node, n``: members of ``groups(key, node, n)`` below the head of their group, groups of one head together."""
     sizes = groups.groupBy("key").agg(F.count("*").alias("members"))
     known = groups.join(sizes.where("members > 1"), "key")
     shown = durable(known.join(known.groupBy("node").agg(F.sum("members").alias("met")), "node"), "near-groups")
     heads = shown.groupBy("key").agg(F.max(F.struct("met", "node", "n")).alias("h")).select("key", F.col("h.node").alias("head"), F.col("h.n").alias("nh"))
-    return durable(shown.join(heads, "key").where("node <> head").groupBy("head", "nh", "node", "n").agg(F.max("main").alias("main")), "near-heads")
+    return durable(shown.join(heads, "key").where("node <> head").select("head", "nh", "node", "n").distinct(), "near-heads")
 
 
 def _ceil(over: Column, under: int) -> Column:
@@ -123,69 +124,72 @@ def _ceil(over: Column, under: int) -> Column:
 
 
 def _by_edits(members: DataFrame, sets: DataFrame, parts_of: tuple[int, int]) -> DataFrame:
-    """``key, node, n, main``: members of one ``head`` below each edit by which two of different components could be similar.
+    """Pairs ``a, b, na, nb`` of members of one ``head`` in different components that may be similar, by an edit that they share.
 
-    Of two similar ones the one nearer to the head has the edit among its rarest few (``main``).
+    Of two similar ones the one nearer to the head has such an edit among its rarest few (``main``), and from the first one
+    that they share on both have enough edits left.
     """
     up, down = parts_of
     both, less = down + up, down - up
     held = sets.select("node", "hashes")
-    apart = members.select("head", "nh", "node", "n").join(held, "node").join(held.select(F.col("node").alias("head"), F.col("hashes").alias("base")), "head").select(
-        "head", "nh", "node", "n", F.array_union(F.array_except("hashes", "base"), F.array_except("base", "hashes")).alias("edits"))
+    apart = members.select("head", "nh", "node", "n", "root").join(held, "node").join(held.select(F.col("node").alias("head"), F.col("hashes").alias("base")), "head").select(
+        "head", "nh", "node", "n", "root", F.array_union(F.array_except("hashes", "base"), F.array_except("base", "hashes")).alias("edits"))
     apart = durable(apart, "near-edits")
-    rows = apart.select("head", "nh", "node", "n", F.size("edits").alias("e"), F.explode("edits").alias("edit"))
+    rows = apart.select("head", "nh", "node", "n", "root", F.size("edits").alias("e"), F.explode("edits").alias("edit"))
     rare = durable(rows.groupBy("head", "edit").agg(F.count("*").alias("times")), "near-rare")
-    sorted_ = rows.join(rare, ["head", "edit"]).groupBy("head", "nh", "node", "n", "e").agg(F.sort_array(F.collect_list(F.struct("times", "edit"))).alias("by_rarity"))
+    sorted_ = rows.join(rare, ["head", "edit"]).groupBy("head", "nh", "node", "n", "root", "e").agg(F.sort_array(F.collect_list(F.struct("times", "edit"))).alias("by_rarity"))
     # x and y are similar exactly if 2 * both * |E(x) and E(y)| >= a(x) + a(y); the head itself is the nearest possible partner
     a, top = both * F.col("e") - less * F.col("n"), less * F.col("nh")
     nearer = F.col("e") + 1 - F.greatest(F.lit(1), _ceil(F.greatest(2 * a, a + top + 1), 2 * both))  # the partner has the larger a
     farther = F.when(a > top, F.col("e") + 1 - F.greatest(F.lit(1), _ceil(a - top, 2 * both))).otherwise(0)  # the partner has the smaller a
-    placed = sorted_.select("head", "node", "n", nearer.alias("nearer"), farther.alias("farther"), F.posexplode("by_rarity").alias("at", "r"))
+    placed = sorted_.select("head", "node", "n", "root", "e", a.alias("apart"), nearer.alias("nearer"), farther.alias("farther"), F.posexplode("by_rarity").alias("at", "r"))
     kept = placed.where((F.col("at") < F.greatest("nearer", "farther")) & (F.col("r.times") > 1))
-    split = durable(kept.select(F.xxhash64("head", "r.edit").alias("key"), "node", "n", (F.col("at") < F.col("nearer")).alias("main")), "near-split")
-    useful = split.groupBy("key").agg(F.count("*").alias("members"), F.max("main").alias("mains")).where("members > 1 and mains").select("key")
-    return split.join(useful, "key")
+    split = durable(kept.select("head", F.col("r.edit").alias("edit"), "node", "n", "root", "apart", (F.col("e") - F.col("at")).alias("left"), (F.col("at") < F.col("nearer")).alias("main")), "near-split")
+    side = lambda k: [F.col(name).alias(f"{name}_{k}") for name in ("node", "n", "root", "apart", "left", "main")]
+    met = split.where("main").select("head", "edit", *side("x")).join(split.select("head", "edit", *side("y")), ["head", "edit"])
+    met = met.where((F.col("root_x") != F.col("root_y")) & (~F.col("main_y") | (F.col("node_x") < F.col("node_y"))))
+    met = met.where(2 * both * F.least("left_x", "left_y") >= F.col("apart_x") + F.col("apart_y"))
+    return _ordered(met, "node_x", "n_x", "node_y", "n_y")
 
 
-def _across(members: DataFrame, group: str) -> DataFrame:
-    """Pairs of members of one group in different components, at least one of each main."""
-    one = members.where("main").select(group, F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    two = members.select(group, F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), "main")
-    met = one.join(two, group).where((F.col("ra") != F.col("rb")) & (~F.col("main") | (F.col("a") < F.col("b"))))
-    low = F.col("a") < F.col("b")
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(low, F.col("na")).otherwise(F.col("nb")).alias("na"), F.when(low, F.col("nb")).otherwise(F.col("na")).alias("nb"))
+def _ordered(pairs: DataFrame, x: str, nx: str, y: str, ny: str) -> DataFrame:
+    """``a, b, na, nb`` with a < b."""
+    low = F.col(x) < F.col(y)
+    return pairs.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"), F.when(low, F.col(nx)).otherwise(F.col(ny)).alias("na"), F.when(low, F.col(ny)).otherwise(F.col(nx)).alias("nb"))
 
 
-def _open(members: DataFrame, group: str) -> DataFrame:
-    """The groups that still span several components, with the number of their ``pairs`` at most."""
-    sizes = members.groupBy(group).agg(F.min("root").alias("low"), F.max("root").alias("high"), (F.count("*") * F.count_if("main")).alias("pairs")).where("low <> high")
-    return durable(members.join(sizes.select(group, "pairs"), group), "near-open")
+def _across(members: DataFrame) -> DataFrame:
+    """Pairs of members of one ``head`` in different components."""
+    one, two = (members.select("head", *[F.col(name).alias(f"{name}_{k}") for name in ("node", "n", "root")]) for k in "xy")
+    met = one.join(two, "head").where((F.col("node_x") < F.col("node_y")) & (F.col("root_x") != F.col("root_y")))
+    return _ordered(met, "node_x", "n_x", "node_y", "n_y")
+
+
+def _compared(groups: DataFrame, nodes: DataFrame, links: DataFrame | None, sets: DataFrame, least: tuple[int, int]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links with those of members to their heads, components by them, and the members of groups that still span several."""
+    headed = _headed(groups)
+    found = durable(_verified(_ordered(headed, "node", "n", "head", "nh"), sets, least), "near-links")
+    links = found if links is None else links.union(found)
+    rooted = durable(_rooted(nodes, links), "near-rooted")
+    members = headed.join(rooted, "node")
+    sizes = members.groupBy("head").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members")).where("low <> high")
+    return links, rooted, durable(members.join(sizes.select("head", "members"), "head"), "near-open")
 
 
 def linked(buckets: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFrame:
     """``a, b``: links that join all members of ``buckets(key, node, n)`` that are similar, directly or by others."""
-    links, groups = None, buckets.withColumn("main", F.lit(True))
-    for turn in range(ROUNDS):
-        headed = _headed(groups)
-        low = F.col("node") < F.col("head")
-        pairs = headed.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b"), F.when(low, F.col("n")).otherwise(F.col("nh")).alias("na"), F.when(low, F.col("nh")).otherwise(F.col("n")).alias("nb"))
-        found = durable(_verified(pairs, sets, least), "near-links")
-        links = found if links is None else links.union(found)
-        rooted = durable(_rooted(buckets.select("node").distinct(), links), "near-rooted")
-        members = _open(headed.join(rooted, "node"), "head")
-        if turn + 1 == ROUNDS:
-            return links.union(durable(_verified(_across(members, "head"), sets, least), "near-links"))
-        many = members.where(F.col("pairs") > FEW * FEW)
-        few = _across(members.where(F.col("pairs") <= FEW * FEW), "head")
-        if many.isEmpty():
-            return links.union(durable(_verified(few, sets, least), "near-links"))
-        split = _open(_by_edits(many, sets, least).join(rooted, "node"), "key")
-        few = few.union(_across(split.where(F.col("pairs") <= FEW * FEW), "key"))
-        links = links.union(durable(_verified(few, sets, least), "near-links"))
-        groups = split.where(F.col("pairs") > FEW * FEW).select("key", "node", "n", "main")
-        if groups.isEmpty():
-            return links
-    return links
+    nodes = buckets.select("node").distinct()
+    links, rooted, members = _compared(buckets, nodes, None, sets, least)
+    links = links.union(durable(_verified(_across(members.where(F.col("members") <= FEW)), sets, least), "near-links"))
+    many = members.where(F.col("members") > FEW)
+    if many.isEmpty():
+        return links
+    # groups whose heads are in one component become one group, below the head that meets most
+    homes = many.join(rooted.select(F.col("node").alias("head"), F.col("root").alias("key")), "head")
+    merged = durable(homes.select("key", "node", "n").union(homes.select("key", F.col("head").alias("node"), F.col("nh").alias("n"))).distinct(), "near-merged")
+    links, _, members = _compared(merged, nodes, links, sets, least)
+    few = _across(members.where(F.col("members") <= FEW))
+    return links.union(durable(_verified(few.union(_by_edits(members.where(F.col("members") > FEW), sets, least)), sets, least), "near-links"))
 
 
 def groups(docs: DataFrame, words: int = 5, least: tuple[int, int] = (4, 5), seed: int = 42, distance: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -113,7 +113,7 @@ def test_few_pairs_are_compared_in_a_family(spark, monkeypatch):
     monkeypatch.setattr(nearcopies, "_verified", lambda pairs, sets, parts: (seen.append(pairs.distinct().count()), was(pairs, sets, parts))[1])
     rows = [(i, t, "en", "s", 1) for i, t in enumerate(family(1, 400, 150, (1, 2, 3, 4, 5, 6, 7)))]
     kept = {r.doc_id for r in nearcopies.keep_first(spark.createDataFrame(rows, SCHEMA)).collect()}
-    assert kept == plain_kept(rows) and sum(seen) < 12_000
+    assert kept == plain_kept(rows) and sum(seen) < 6_000
 
 
 def test_distances_that_halves_cannot_find_are_refused(spark):
