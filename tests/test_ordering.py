@@ -71,7 +71,7 @@ def test_neighbours_take_one_exchange_of_the_rows(spark, monkeypatch):
 @pytest.mark.parametrize("partitions", [1, 4, 40])
 def test_layout_runs_equal_plain_version(spark, partitions):
     rnd = random.Random(partitions)
-    made, layout = [], 0
+    made, layout = [], "0"
     for i in range(400):
         layout = layout if rnd.random() < 0.8 else rnd.choice([None, "A", "B", "C"])
         made.append(build(f"k{i:04d}", f"10.0.1.{i}", "", ["c"] if i % 9 else ["c", "d"], layout))
