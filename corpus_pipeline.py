@@ -1,4 +1,4 @@
-"""A pipeline over ``documents``: toxic texts go, repeated line chunks go, of near-duplicates one stays, sources are mixed, the rest is encoded.
+"""A pipeline over ``documents``: toxic texts go, repeated line chunks go, of near copies one stays, sources are mixed, the rest is encoded.
 
 Every stage takes (spark, docs, sf_dir), works on all rows that the stage before kept and returns a DataFrame, which is
 written as Parquet and read again as the next one's ``docs``. All but the last return the columns of documents.
@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from driftlens.llm import lines, mixing, nearcopies, pieces, toxicity
-from driftlens.runtime import durable
+from driftlens.runtime import scope, scratch_path
 
 #: SQL has no gradient steps, no rolling hashes and no piece encoder; the tests hold each stage against a plain version.
 ORACLE_SQL = None
@@ -51,9 +51,14 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages. What a stage writes for itself is deleted as soon as its result is written; the last one is read lazily."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = durable(docs, f"pipeline-{k}")
+        if k + 1 == len(STAGES):
+            return stage(spark, docs, sf_dir)
+        path = scratch_path(spark, f"pipeline-{k}")
+        with scope(spark):
+            made = stage(spark, docs, sf_dir)
+            made.write.parquet(path)
+        docs = spark.read.schema(made.schema).parquet(path)
     return docs
